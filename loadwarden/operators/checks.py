@@ -10,10 +10,11 @@ import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
+from loadwarden.frames import empty_frame, one_row
 from loadwarden.functions import percent_change, text_of
 from loadwarden.labels import (
     COLUMN_COUNT_TEST,
@@ -68,10 +69,6 @@ def _rows(measures: DataFrame, results: Sequence[Column]) -> DataFrame:
     return measures.select(F.inline(F.array(*results)))
 
 
-def _one_row(spark: SparkSession) -> DataFrame:
-    return spark.range(0, 1, 1, 1)
-
-
 def combine_results(*results: DataFrame) -> DataFrame:
     """The rows of several checks as one check log."""
     return reduce(DataFrame.unionByName, results)
@@ -105,8 +102,8 @@ def schema_conformance(
             )
         )
     if not results:
-        return df.sparkSession.createDataFrame([], RESULT_SCHEMA)
-    return _rows(_one_row(df.sparkSession), results)
+        return empty_frame(df.sparkSession, RESULT_SCHEMA)
+    return _rows(one_row(df.sparkSession), results)
 
 
 def column_count_check(
@@ -115,7 +112,7 @@ def column_count_check(
     """FAIL unless the table has exactly ``expected_count`` columns."""
     actual_count = len(df.columns)
     return _rows(
-        _one_row(df.sparkSession),
+        one_row(df.sparkSession),
         [
             _result(
                 table_name,

@@ -69,10 +69,18 @@ def _record(
 
 
 def unit_test_job(
-    spark: SparkSession, config: LoadConfig, run_date: Day = None, checked_at: Timestamp = None
+    spark: SparkSession,
+    config: LoadConfig,
+    run_date: Day = None,
+    checked_at: Timestamp = None,
+    table: DataFrame | None = None,
 ) -> DataFrame:
-    """Check the columns of the target files against the expected ones and record the outcome."""
-    table = read_parquet(spark, config.target_path)
+    """Check the columns of the loaded table against the expected ones and record the outcome.
+
+    ``table`` saves another listing of the target files where the caller has it.
+    """
+    if table is None:
+        table = read_parquet(spark, config.target_path)
     results = combine_results(
         schema_conformance(table, config.expected_columns, config.table, checked_at),
         column_count_check(table, len(config.expected_columns), config.table, checked_at),
@@ -86,13 +94,15 @@ def quality_job(
     previous: DataFrame | int | None = None,
     run_date: Day = None,
     checked_at: Timestamp = None,
+    table: DataFrame | None = None,
 ) -> DataFrame:
-    """Check keys and row counts of the target files and record the outcome.
+    """Check keys and row counts of the loaded table and record the outcome.
 
     ``previous`` is the table before this load or its row count. Without one the
     table is compared with itself, so a first load shows no growth.
     """
-    table = read_parquet(spark, config.target_path)
+    if table is None:
+        table = read_parquet(spark, config.target_path)
     results = quality_checks(
         table,
         config.key_columns,
@@ -127,8 +137,8 @@ def daily_run(
         analytics = run_sql_script(spark, script, script_params(config))
 
     logger.info("checking %s", config.target_path)
-    unit_tests = unit_test_job(spark, config, run_date, load_ts)
-    quality = quality_job(spark, config, previous, run_date, load_ts)
+    unit_tests = unit_test_job(spark, config, run_date, load_ts, table)
+    quality = quality_job(spark, config, previous, run_date, load_ts, table)
 
     ledger = read_ledger(spark, config.ledger_path)
     alert = load_alert(ledger, run_date)

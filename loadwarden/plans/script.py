@@ -66,7 +66,7 @@ def script_statements(script: str, params: Mapping[str, str] | None = None) -> l
     """
     values = {name: str(value) for name, value in (params or {}).items()}
     for name, value in values.items():
-        if re.search(r"['\"`\;]", value):
+        if re.search(r"['\"`;\\]", value):
             raise ValueError(f"the value of {name!r} holds a quote, backslash or semicolon")
 
     def fill(placeholder: re.Match[str]) -> str:

@@ -14,9 +14,7 @@ def scratch_root(spark: SparkSession) -> str:
     Only a local session without that setting falls back to the machine's own
     temporary folder; on a cluster other executors could not see it.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir"
-    )
+    shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):

@@ -38,8 +38,12 @@ def read_csv(
 def read_headed_csv(
     spark: SparkSession, path: str, headings: Mapping[str, str], schema: StructType
 ) -> DataFrame:
-    """The columns of ``schema`` from a CSV table that has them under other headings."""
-    stored = spark.read.csv(path, header=True)
+    """The columns of ``schema`` from a CSV table that has them under other headings.
+
+    A field with nothing in it is NULL, a quoted empty one is an empty text; with
+    Spark's own null value both would be NULL.
+    """
+    stored = spark.read.csv(path, header=True, nullValue="\u0000")
     return stored.select(
         *(
             F.col(f"`{headings[column.name]}`").cast(column.dataType).alias(column.name)
