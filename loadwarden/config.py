@@ -34,19 +34,13 @@ class LoadConfig:
     results_format: str = "parquet"
 
     @classmethod
-    def from_mapping(
-        cls,
-        settings: Mapping[str, Any],
-        *,
-        join_on: Sequence[str],
-        left_rename: Mapping[str, str] | None = None,
-        right_rename: Mapping[str, str] | None = None,
-        **overrides: Any,
-    ) -> LoadConfig:
-        """From the settings of a framework config file.
+    def from_mapping(cls, settings: Mapping[str, Any], **overrides: Any) -> LoadConfig:
+        """From the settings of a config file; ``overrides`` replace fields of the result.
 
-        Fixed values: the setting names read here are those of existing config
-        files. The join key and the renames are not among them.
+        Fixed values: the settings read by ``[]`` and the two scripts have the names
+        and nesting of existing config files. Those files do not tell the join key
+        and the renames, so ``join_on``, ``left_rename`` and ``right_rename`` are
+        settings of their own, as are the optional fields of this class.
         """
         database = settings["database"]
         sources = settings["input_path"]
@@ -56,22 +50,37 @@ class LoadConfig:
             name = database.get(setting)
             return None if name is None else f"{settings['code_path']}/{name}"
 
+        def source(file: str, rename: str) -> Source:
+            return Source(f"{sources}/{settings[file]}", rename=settings.get(rename, {}))
+
         values = {
-            "left": Source(f"{sources}/{settings['source_file1']}", rename=left_rename or {}),
-            "right": Source(f"{sources}/{settings['source_file2']}", rename=right_rename or {}),
-            "join_on": tuple(join_on),
+            "left": source("source_file1", "left_rename"),
+            "right": source("source_file2", "right_rename"),
+            "join_on": settings.get("join_on"),
             "database": database["db_name"],
             "table": database["table_name"],
             "target_path": f"{settings['output_path']}/{database['table_name']}",
             "results_path": monitoring,
             "ledger_path": f"{monitoring}/{settings['load_status_table']}",
-            "key_columns": tuple(settings["primary_key_columns"]),
-            "expected_columns": tuple((c["name"], c["type"]) for c in settings["columns"]),
+            "key_columns": settings["primary_key_columns"],
+            "expected_columns": [(c["name"], c["type"]) for c in settings["columns"]],
             "threshold_percentage": settings["threshold_percentage"],
             "ddl_script": script("ddl_script"),
             "analytics_script": script("analytics_script"),
         }
-        return cls(**{**values, **overrides})
+        values.update({name: settings[name] for name in _OPTIONAL if name in settings})
+        values.update(overrides)
+        if not values["join_on"]:
+            raise ValueError("join_on names no column")
+        return cls(**values)
+
+    def __post_init__(self) -> None:
+        for name in ("join_on", "key_columns", "expected_columns", "partition_by"):
+            object.__setattr__(self, name, tuple(getattr(self, name)))
+
+
+# Fields with a default that a config file may set.
+_OPTIONAL = ("minimum_rows", "batch_id", "partition_by", "max_records_per_file", "results_format")
 
 
 def read_settings(path: str) -> dict[str, Any]:

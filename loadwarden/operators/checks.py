@@ -169,12 +169,14 @@ def _floor_result(minimum: int, table_name: str, checked_at: Timestamp) -> Colum
     )
 
 
-def _with_previous(measures: DataFrame, previous: DataFrame | int) -> DataFrame:
-    """``previous_rows`` beside one row of measures.
+def _with_previous(measures: DataFrame, previous: DataFrame | int | None) -> DataFrame:
+    """``previous_rows`` beside one row of measures; without a previous table its own rows.
 
     The count of a previous table comes in by union and a final aggregate of two
     rows, since a join of two single rows has no key.
     """
+    if previous is None:
+        return measures.withColumn("previous_rows", F.col("num_rows"))
     if isinstance(previous, int):
         return measures.withColumn("previous_rows", F.lit(previous).cast("bigint"))
     both = measures.unionByName(row_count(previous, "previous_rows"), allowMissingColumns=True)
@@ -219,11 +221,14 @@ def quality_checks(
     table_name: str,
     *,
     threshold: float,
-    previous: DataFrame | int,
+    previous: DataFrame | int | None = None,
     minimum: int | None = None,
     checked_at: Timestamp = None,
 ) -> DataFrame:
-    """Key, growth and floor checks together, from one scan and one shuffle of the keys."""
+    """Key, growth and floor checks together, from one scan and one shuffle of the keys.
+
+    Without a ``previous`` table the growth is that of the table over itself, none.
+    """
     results = [
         _drift_result(threshold, table_name, checked_at),
         _primary_key_result(table_name, checked_at),

@@ -98,8 +98,8 @@ def quality_job(
 ) -> DataFrame:
     """Check keys and row counts of the loaded table and record the outcome.
 
-    ``previous`` is the table before this load or its row count. Without one the
-    table is compared with itself, so a first load shows no growth.
+    ``previous`` is the table before this load or its row count; a first load,
+    which has none, shows no growth.
     """
     if table is None:
         table = read_parquet(spark, config.target_path)
@@ -108,7 +108,7 @@ def quality_job(
         config.key_columns,
         config.table,
         threshold=config.threshold_percentage,
-        previous=table if previous is None else previous,
+        previous=previous,
         minimum=config.minimum_rows,
         checked_at=checked_at,
     )

@@ -17,7 +17,7 @@ def scratch_root(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return tempfile.gettempdir()
 

@@ -34,6 +34,8 @@ def sizing_conf(input_bytes: int) -> dict[str, str]:
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(
             64 * MIB if input_bytes < 1024 * GIB else 256 * MIB
         ),
+        # Merge up to the advisory size, which is also the size of the files written.
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     }
 
 

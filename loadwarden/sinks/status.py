@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loadwarden.labels import LEDGER_HEADINGS, RESULT_HEADINGS
 from loadwarden.sinks.files import overwrite_csv, overwrite_parquet
-from loadwarden.sources.ledger import LEDGER_SCHEMA, read_ledger
+from loadwarden.sources.ledger import LEDGER_SCHEMA, read_ledger, stored_ledger
 
 
 def _with_headings(df: DataFrame, headings: Mapping[str, str]) -> DataFrame:
@@ -35,7 +35,7 @@ def append_ledger(new: DataFrame, path: str) -> DataFrame:
     Partitions by date let a query for one day read that day only.
     """
     spark = new.sparkSession
-    unseen = new.select(*LEDGER_SCHEMA.names).subtract(read_ledger(spark, path))
+    unseen = new.select(*LEDGER_SCHEMA.names).subtract(stored_ledger(spark, path))
     unseen.write.mode("append").partitionBy("date").parquet(path)
     return read_ledger(spark, path)
 

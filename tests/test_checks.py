@@ -25,23 +25,23 @@ def outcome(df):
 
 @pytest.fixture
 def table(spark):
-    return spark.createDataFrame([(1, "a", 2)], "characterID int, name string, Power int")
+    return spark.createDataFrame([(1, "a", 2)], "personID int, name string, Wins int")
 
 
 def test_schema_conformance(table):
     expected = [
-        ("characterID", "bigint"),
+        ("personID", "bigint"),
         ("name", "string"),
         ("gone", "int"),
-        ("power", "int"),
-        ("Power", "int"),
+        ("wins", "int"),
+        ("Wins", "int"),
     ]
     assert outcome(schema_conformance(table, expected, "t")) == [
-        ("characterID data_type", "FAIL", "Expected bigint, but got int"),
+        ("personID data_type", "FAIL", "Expected bigint, but got int"),
         ("name data_type", "PASS", "Expected Datatype"),
         ("gone data_type", "FAIL", "Expected int, but the column is missing"),
-        ("power data_type", "FAIL", "Expected int, but the column is missing"),
-        ("Power data_type", "PASS", "Expected Datatype"),
+        ("wins data_type", "FAIL", "Expected int, but the column is missing"),
+        ("Wins data_type", "PASS", "Expected Datatype"),
     ]
 
 

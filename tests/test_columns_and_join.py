@@ -11,8 +11,8 @@ from loadwarden.operators import add_audit_columns, inner_join_using, rename_col
 
 
 def test_rename_keeps_position(spark):
-    df = spark.createDataFrame([(1, "a")], "Name int, Alignment string")
-    assert rename_columns(df, {"Name": "name"}).columns == ["name", "Alignment"]
+    df = spark.createDataFrame([(1, "a")], "Name int, Side string")
+    assert rename_columns(df, {"Name": "name"}).columns == ["name", "Side"]
 
 
 def test_rename_of_missing_column_is_an_error(spark):
@@ -22,8 +22,8 @@ def test_rename_of_missing_column_is_an_error(spark):
 
 def test_key_comes_once_and_first(spark):
     left = spark.createDataFrame([(1, "x")], "id int, name string")
-    right = spark.createDataFrame([("x", 7)], "name string, power int")
-    assert inner_join_using(left, right, ["name"]).columns == ["name", "id", "power"]
+    right = spark.createDataFrame([("x", 7)], "name string, wins int")
+    assert inner_join_using(left, right, ["name"]).columns == ["name", "id", "wins"]
 
 
 def test_duplicates_multiply_and_null_keys_drop(spark, rows):

@@ -24,8 +24,8 @@ def test_null_is_a_key_value(spark, rows):
 
 
 def test_null_is_a_group(spark, rows):
-    df = spark.createDataFrame([("good",), (None,), (None,)], "alignment string")
-    assert rows(group_count(df, ["alignment"], "total")) == [("good", 1), (None, 2)]
+    df = spark.createDataFrame([("good",), (None,), (None,)], "side string")
+    assert rows(group_count(df, ["side"], "total")) == [("good", 1), (None, 2)]
 
 
 def test_empty_table(spark, rows):

@@ -142,20 +142,19 @@ def test_missing_table_is_an_error(spark, tmp_path):
         publish_table(spark, "db_none", "t", str(tmp_path / "none"))
 
 
-def session_like(master, **conf):
-    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
-
-
 def test_scratch_goes_to_the_shared_folder():
-    cluster = session_like("yarn", **{"spark.checkpoint.dir": "hdfs:///shared/"})
+    cluster = SimpleNamespace(
+        conf={"spark.master": "yarn", "spark.checkpoint.dir": "hdfs:///shared/"}
+    )
     one, two = scratch_path(cluster, "x"), scratch_path(cluster, "x")
     assert one.startswith("hdfs:///shared/loadwarden-x-") and one != two
 
 
 def test_scratch_is_machine_local_only_in_a_local_session():
-    assert scratch_path(session_like("local[4]"), "x").startswith(tempfile.gettempdir())
+    local = SimpleNamespace(conf={"spark.master": "local[4]"})
+    assert scratch_path(local, "x").startswith(tempfile.gettempdir())
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        scratch_path(session_like("yarn"), "x")
+        scratch_path(SimpleNamespace(conf={"spark.master": "yarn"}), "x")
 
 
 def test_scratch_setting_is_read_from_the_session(spark):
