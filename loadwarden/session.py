@@ -8,14 +8,16 @@ MIB = 1024**2
 GIB = 1024**3
 
 # Load stamps and run dates are text and dates of the session time zone, so it
-# is pinned. The adaptive settings are Spark's defaults, stated because the
-# joins here rely on them: a hot join key is split at run time, and shuffle
-# partitions are merged down to the advisory size.
+# is pinned. The joins rely on adaptive execution: it splits the partition of a
+# hot key, merges small shuffle partitions, and joins by hash instead of sorting
+# both sides if every partition of one side was measured to be small.
 BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(64 * MIB),
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(64 * MIB),
 }
 
 
@@ -28,12 +30,12 @@ def sizing_conf(input_bytes: int) -> dict[str, str]:
     """
     split = min(max(input_bytes // 100_000, 128 * MIB), GIB)
     reducers = min(max(-(-input_bytes // (512 * MIB)), 200), 50_000)
+    advisory = (64 if input_bytes < 1024 * GIB else 128) * MIB
     return {
         "spark.sql.files.maxPartitionBytes": str(split),
         "spark.sql.shuffle.partitions": str(reducers),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(
-            64 * MIB if input_bytes < 1024 * GIB else 256 * MIB
-        ),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(advisory),
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(advisory),
         # Merge up to the advisory size, which is also the size of the files written.
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     }

@@ -73,6 +73,18 @@ def test_hot_join_key_is_split(spark, skewed):
     assert "skew=true" in final
 
 
+def test_small_partitions_are_joined_without_a_sort(spark, skewed):
+    keys = spark.range(0, 2000).selectExpr("id as k", "'x' as name")
+    no_broadcast = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }
+    with settings(spark, no_broadcast):
+        final = final_plan(inner_join_using(skewed, keys, ["k"]))
+    chosen = final.split("Initial Plan")[0]
+    assert "ShuffledHashJoin" in chosen and "SortMergeJoin" not in chosen
+
+
 def test_only_a_small_side_is_broadcast(spark, skewed):
     keys = spark.range(0, 2000).selectExpr("id as k", "'x' as name")
     assert "BroadcastHashJoin" in plan(inner_join_using(skewed, keys, ["k"]))
