@@ -1,37 +1,42 @@
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from loadwarden.names import checked_identifier, qualified_name
 
 
-def _location(spark: SparkSession, name: str) -> str:
-    """The path of a table as the catalog has it, without scheme."""
-    row = spark.sql(f"DESCRIBE FORMATTED {name}").where(F.col("col_name") == "Location").first()
-    return _without_scheme(row["data_type"])
+@dataclass(frozen=True)
+class _Definition:
+    """What the catalog says about a table besides its columns."""
+
+    kind: str
+    location: str
+    partitioned: bool
+
+
+def _definition(spark: SparkSession, name: str) -> _Definition:
+    described = spark.sql(f"DESCRIBE FORMATTED {name}").collect()
+    # The table's own columns come first and may have any name, so the last row wins.
+    details = {row["col_name"]: row["data_type"] for row in described}
+    return _Definition(
+        kind=details["Type"],
+        location=_without_scheme(details["Location"]),
+        partitioned="# Partition Information" in details,
+    )
 
 
 def _without_scheme(path: str) -> str:
     return re.sub(r"^\w+:/+", "/", path).rstrip("/")
 
 
-def _drop_outdated(spark: SparkSession, name: str, path: str) -> None:
-    """Drop the definition if it no longer fits the files; they stay, since it is external."""
-    if not spark.catalog.tableExists(name):
-        return
-    fits = (
-        spark.table(name).schema == spark.read.parquet(path).schema
-        and _location(spark, name) == _without_scheme(path)
+def _fits(spark: SparkSession, name: str, definition: _Definition, path: str) -> bool:
+    return (
+        definition.location == _without_scheme(path)
+        and spark.table(name).schema == spark.read.parquet(path).schema
     )
-    if fits:
-        return
-    kind = spark.catalog.getTable(name).tableType
-    if kind != "EXTERNAL":
-        raise ValueError(f"{name} is a {kind} table, dropping it would drop its data")
-    spark.sql(f"DROP TABLE {name}")
 
 
 def publish_table(spark: SparkSession, database: str, table: str, path: str) -> DataFrame:
@@ -39,13 +44,22 @@ def publish_table(spark: SparkSession, database: str, table: str, path: str) ->
 
     The catalog keeps the columns it saw when the table was created, so a
     definition whose columns or place differ from the files is created anew.
+    Dropping an external table leaves its files; a managed one is never dropped.
     """
     name = qualified_name(database, table)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{checked_identifier(database)}`")
-    _drop_outdated(spark, name, path)
-    if not spark.catalog.tableExists(name):
+    definition = _definition(spark, name) if spark.catalog.tableExists(name) else None
+    if definition is not None and not _fits(spark, name, definition, path):
+        if definition.kind != "EXTERNAL":
+            raise ValueError(
+                f"{name} is a {definition.kind} table, dropping it would drop its data"
+            )
+        spark.sql(f"DROP TABLE {name}")
+        definition = None
+    if definition is None:
         spark.catalog.createTable(name, path=path, source="parquet")
-    if any(column.isPartition for column in spark.catalog.listColumns(name)):
+        definition = _definition(spark, name)
+    if definition.partitioned:
         spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
     spark.catalog.refreshTable(name)
     return spark.table(name)
