@@ -3,8 +3,9 @@
 from loadwarden.functions.expressions import (
     load_stamp,
     percent_change,
+    plain_number,
     run_day,
     text_of,
 )
 
-__all__ = ["load_stamp", "percent_change", "run_day", "text_of"]
+__all__ = ["load_stamp", "percent_change", "plain_number", "run_day", "text_of"]

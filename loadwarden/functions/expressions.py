@@ -11,6 +11,15 @@ def percent_change(current: Column, previous: Column) -> Column:
     return F.try_divide(current - previous, previous) * F.lit(100)
 
 
+def plain_number(value: Column) -> Column:
+    """A double as text without exponent, with its shortest digits and at least one decimal.
+
+    Casting it to text would give 1.0E7 from ten millions on. Exact from 0.001 to 1e16.
+    """
+    padded = value.cast("decimal(38, 17)").cast("string")
+    return F.regexp_replace(padded, r"(\.\d+?)0+$", "$1")
+
+
 def load_stamp(load_ts: dt.datetime | str | None = None) -> Column:
     """The load time as text.
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from loadwarden.frames import empty_frame, one_row
-from loadwarden.functions import percent_change, text_of
+from loadwarden.functions import percent_change, plain_number, text_of
 from loadwarden.labels import (
     COLUMN_COUNT_TEST,
     COUNT_FLOOR_TEST,
@@ -152,7 +152,7 @@ def _drift_result(threshold: float, table_name: str, checked_at: Timestamp) -> C
         # Growth is NULL when there were no rows before: only no rows now passes.
         F.coalesce(growth < threshold, F.col("num_rows") == 0),
         INCREASE_BELOW.format(threshold=threshold),
-        F.coalesce(text_of(before, growth, after.format(threshold=threshold)), from_nothing),
+        F.coalesce(text_of(before, plain_number(growth), after.format(threshold=threshold)), from_nothing),
         checked_at,
     )
 
