@@ -13,13 +13,20 @@ from loadwarden.sources import read_source, read_table
 
 
 def published_rows(spark: SparkSession, config: LoadConfig) -> int | None:
-    """Rows of the table as it lies there now, from the Parquet footers; None if there is none."""
+    """Rows of the table as it lies there now, from the Parquet footers.
+
+    None if no load ever wrote it; 0 if a load that failed left it without files.
+    """
     try:
         return spark.read.parquet(config.target_path).count()
     except AnalysisException as error:
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        return None
+        match error.getCondition():
+            case "PATH_NOT_FOUND":
+                return None
+            case "UNABLE_TO_INFER_SCHEMA":
+                return 0
+            case _:
+                raise
 
 
 def publish(spark: SparkSession, config: LoadConfig) -> DataFrame:
