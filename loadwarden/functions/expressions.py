@@ -20,6 +20,11 @@ def plain_number(value: Column) -> Column:
     return F.regexp_replace(padded, r"(\.\d+?)0+$", "$1")
 
 
+def _checked_time(moment: dt.datetime | str) -> str:
+    """A time as text; one that is no time is an error, where a cast might give NULL."""
+    return str(dt.datetime.fromisoformat(moment) if isinstance(moment, str) else moment)
+
+
 def load_stamp(load_ts: dt.datetime | str | None = None) -> Column:
     """The load time as text.
 
@@ -28,14 +33,25 @@ def load_stamp(load_ts: dt.datetime | str | None = None) -> Column:
     """
     if load_ts is None:
         return F.current_timestamp().cast("string")
-    return F.lit(str(load_ts)).cast("timestamp_ntz").cast("string")
+    return F.lit(_checked_time(load_ts)).cast("timestamp_ntz").cast("string")
+
+
+def check_time(checked_at: dt.datetime | str | None = None) -> Column:
+    """The time of a check, now unless given; without an offset it is in the session time zone."""
+    if checked_at is None:
+        return F.current_timestamp()
+    return F.lit(_checked_time(checked_at)).cast("timestamp")
 
 
 def run_day(run_date: dt.date | str | None = None) -> Column:
     """The date of a run, today unless given."""
     if run_date is None:
         return F.current_date()
-    return F.lit(str(run_date)).cast("date")
+    if isinstance(run_date, str):
+        run_date = dt.date.fromisoformat(run_date)
+    if isinstance(run_date, dt.datetime):
+        run_date = run_date.date()
+    return F.lit(run_date)
 
 
 def text_of(*parts: Column | str | int | float) -> Column:

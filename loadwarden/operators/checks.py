@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from loadwarden.frames import empty_frame, one_row
-from loadwarden.functions import percent_change, plain_number, text_of
+from loadwarden.functions import check_time, percent_change, plain_number, text_of
 from loadwarden.labels import (
     COLUMN_COUNT_TEST,
     COUNT_FLOOR_TEST,
@@ -54,13 +54,12 @@ def _result(
     checked_at: Timestamp,
 ) -> Column:
     """One result row as a struct."""
-    moment = F.current_timestamp() if checked_at is None else F.lit(str(checked_at))
     return F.struct(
         F.lit(table_name).alias("table_name"),
         F.lit(test_name).alias("test_name"),
         F.when(passed, PASS).otherwise(FAIL).alias("status"),
         F.when(passed, text_of(pass_reason)).otherwise(text_of(fail_reason)).alias("reason"),
-        moment.cast("timestamp").alias("checked_at"),
+        check_time(checked_at).alias("checked_at"),
     )
 
 

@@ -7,7 +7,14 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from loadwarden.functions import load_stamp, percent_change, plain_number, run_day, text_of
+from loadwarden.functions import (
+    check_time,
+    load_stamp,
+    percent_change,
+    plain_number,
+    run_day,
+    text_of,
+)
 
 
 def values(spark, numbers, column):
@@ -46,7 +53,7 @@ def test_text(spark):
 def test_days_and_stamps(spark):
     row = spark.range(1).select(
         run_day("2024-02-29"),
-        run_day(dt.date(2024, 2, 29)),
+        run_day(dt.datetime(2024, 2, 29, 23, 59)),
         load_stamp("2024-02-29 01:02:03"),
         load_stamp(dt.datetime(2024, 2, 29, 1, 2, 3, 4)),
         run_day() == F.current_date(),
@@ -55,3 +62,14 @@ def test_days_and_stamps(spark):
     day = dt.date(2024, 2, 29)
     stamps = ("2024-02-29 01:02:03", "2024-02-29 01:02:03.000004")
     assert tuple(row.first()) == (day, day, *stamps, True, True)
+
+
+@pytest.mark.parametrize("function", [run_day, load_stamp, check_time])
+def test_what_is_no_time_is_an_error(spark, function):
+    with pytest.raises(ValueError, match="2024-02-30|day is out of range"):
+        function("2024-02-30")
+
+
+def test_check_time_may_have_an_offset(spark):
+    df = spark.range(1).select(check_time("2024-01-01 02:00:00+02:00").cast("string"))
+    assert df.first()[0] == "2024-01-01 00:00:00"
