@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
-from loadwarden.frames import empty_frame, one_row
+from loadwarden.frames import small_frame
 from loadwarden.functions import check_time, percent_change, plain_number, text_of
 from loadwarden.labels import (
     COLUMN_COUNT_TEST,
@@ -76,6 +76,26 @@ def combine_results(*results: DataFrame) -> DataFrame:
 # --- checks on the schema: they read metadata only
 
 
+def _known_results(
+    df: DataFrame,
+    table_name: str,
+    results: Sequence[tuple[str, bool, str]],
+    checked_at: Timestamp,
+) -> DataFrame:
+    """Rows of ``(test, passed, reason)`` that the schema of ``df`` alone decides."""
+    rows = [
+        {
+            "table_name": table_name,
+            "test_name": test,
+            "status": PASS if passed else FAIL,
+            "reason": reason,
+        }
+        for test, passed, reason in results
+    ]
+    outcome = small_frame(df.sparkSession, rows, StructType(RESULT_SCHEMA.fields[:-1]))
+    return outcome.withColumn("checked_at", check_time(checked_at))
+
+
 def schema_conformance(
     df: DataFrame,
     expected: Sequence[tuple[str, str]],
@@ -83,46 +103,30 @@ def schema_conformance(
     checked_at: Timestamp = None,
 ) -> DataFrame:
     """One row per expected ``(column, type)``; names are compared with case."""
-    actual = dict(df.dtypes)
+    types = dict(df.dtypes)
     results = []
     for column, expected_type in expected:
-        if column in actual:
-            mismatch = UNEXPECTED_TYPE.format(expected=expected_type, actual=actual[column])
+        actual = types.get(column)
+        if actual == expected_type:
+            reason = EXPECTED_TYPE
+        elif actual is None:
+            reason = f"Expected {expected_type}, but the column is missing"
         else:
-            mismatch = f"Expected {expected_type}, but the column is missing"
-        results.append(
-            _result(
-                table_name,
-                column + DATA_TYPE_TEST_SUFFIX,
-                F.lit(actual.get(column) == expected_type),
-                EXPECTED_TYPE,
-                mismatch,
-                checked_at,
-            )
-        )
-    if not results:
-        return empty_frame(df.sparkSession, RESULT_SCHEMA)
-    return _rows(one_row(df.sparkSession), results)
+            reason = UNEXPECTED_TYPE.format(expected=expected_type, actual=actual)
+        results.append((column + DATA_TYPE_TEST_SUFFIX, actual == expected_type, reason))
+    return _known_results(df, table_name, results, checked_at)
 
 
 def column_count_check(
     df: DataFrame, expected_count: int, table_name: str, checked_at: Timestamp = None
 ) -> DataFrame:
     """FAIL unless the table has exactly ``expected_count`` columns."""
-    actual_count = len(df.columns)
-    return _rows(
-        one_row(df.sparkSession),
-        [
-            _result(
-                table_name,
-                COLUMN_COUNT_TEST,
-                F.lit(actual_count == expected_count),
-                f"Expected {expected_count} columns",
-                f"Expected {expected_count} columns, but got {actual_count}",
-                checked_at,
-            )
-        ],
-    )
+    count = len(df.columns)
+    reason = f"Expected {expected_count} columns"
+    if count != expected_count:
+        reason += f", but got {count}"
+    result = (COLUMN_COUNT_TEST, count == expected_count, reason)
+    return _known_results(df, table_name, [result], checked_at)
 
 
 # --- checks on counts: each is a condition on one row of measures
