@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 from pathlib import Path
 from typing import Any
 
@@ -38,9 +38,9 @@ class LoadConfig:
         """From the settings of a config file; ``overrides`` replace fields of the result.
 
         Fixed values: the settings read by ``[]`` and the two scripts have the names
-        and nesting of existing config files. Those files do not tell the join key
-        and the renames, so ``join_on``, ``left_rename`` and ``right_rename`` are
-        settings of their own, as are the optional fields of this class.
+        and nesting of existing config files. What those files do not tell has
+        settings of its own: ``join_on``, the fields of each ``Source`` with the
+        prefix ``left_`` or ``right_``, and the optional fields of this class.
         """
         database = settings["database"]
         sources = settings["input_path"]
@@ -50,12 +50,16 @@ class LoadConfig:
             name = database.get(setting)
             return None if name is None else f"{settings['code_path']}/{name}"
 
-        def source(file: str, rename: str) -> Source:
-            return Source(f"{sources}/{settings[file]}", rename=settings.get(rename, {}))
+        def source(file: str, side: str) -> Source:
+            values = {"path": f"{sources}/{settings[file]}"}
+            for field in fields(Source):
+                if f"{side}_{field.name}" in settings:
+                    values[field.name] = settings[f"{side}_{field.name}"]
+            return Source(**values)
 
         values = {
-            "left": source("source_file1", "left_rename"),
-            "right": source("source_file2", "right_rename"),
+            "left": source("source_file1", "left"),
+            "right": source("source_file2", "right"),
             "join_on": settings.get("join_on"),
             "database": database["db_name"],
             "table": database["table_name"],
