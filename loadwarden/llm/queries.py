@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from loadwarden.llm import mixing
-from loadwarden.llm.sql import MIXING_SQL
+from loadwarden.llm import mixing, secrets
+from loadwarden.llm.sql import MIXING_SQL, SECRETS_SQL
 from loadwarden.sources import read_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +31,25 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_parquet(spark, f"{sf_dir}/{name}.parquet")
 
 
+@_query(SECRETS_SQL)
+def op2_find_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The secrets in all documents."""
+    found = secrets.find_secrets(_table(spark, sf_dir, "documents"))
+    base = [rule.kind for rule in secrets.BASE_RULES]
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *map(count, base),
+        F.sha2(secrets.joined(F.filter("spans", lambda s: s["kind"].isin(base))), 256).alias(
+            "base_sha256"
+        ),
+        secrets.joined(F.col("spans")).alias("spans"),
+    )
+
+
 @_query(MIXING_SQL)
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed at weights 5, 2, 1 in turn; what the mix takes of each."""

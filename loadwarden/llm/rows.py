@@ -56,19 +56,13 @@ def hash_fraction(key: Column, fraction: float, seed: int) -> Column:
     return F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1 << 30)) < int(min(1.0, fraction) * (1 << 30))
 
 
-def text_batches(batches: Iterable[pa.RecordBatch], most_bytes: int) -> Iterator[pa.RecordBatch]:
-    """The batches cut so that each has about ``most_bytes`` at most, or a single row."""
+def pieces(batches: Iterable[pa.RecordBatch], most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches cut into pieces of about ``most_bytes`` at most, or of a single larger row."""
     for batch in batches:
         start = 0
         while start < batch.num_rows:
             size = batch.num_rows - start
-            while size > 1 and batch.slice(start, size).get_total_buffer_size() and (
-                _referenced(batch, start, size) > most_bytes
-            ):
-                size = max(1, size // 2)
+            while size > 1 and batch.slice(start, size).nbytes > most_bytes:
+                size = (size + 1) // 2
             yield batch.slice(start, size)
             start += size
-
-
-def _referenced(batch: pa.RecordBatch, start: int, size: int) -> int:
-    return batch.slice(start, size).nbytes

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from loadwarden.llm.mixing import BLOCK_WORDS, MAX_REPEATS, SEED
+from loadwarden.llm.secrets import RULES
 
 MIXING_SQL = rf"""
 with sizes as (
@@ -45,3 +46,42 @@ select doc_id, any_value(size)::bigint as size, any_value(source_size)::bigint a
     (any_value(whole) * any_value(size) + sum(greatest(0, least(has, rest - first))))::bigint as taken
 from placed group by doc_id
 """
+
+
+def _lists(number: int) -> str:
+    """The rule's matches, what lies between them, and the part of each match that is measured."""
+    rule = RULES[number]
+    pattern = ("(?i)" if rule.any_case else "") + rule.pattern.replace("'", "''")
+    if rule.kind == "hex":  # whole runs of its characters, so that a least length can be asked for at once
+        pattern = pattern.replace("+", f"{{{rule.least},}}")
+    return f"""regexp_extract_all(t, '{pattern}') as m{number}, regexp_split_to_array(t, '{pattern}') as p{number},
+        regexp_extract_all(t, '{pattern}', {rule.group}) as g{number}"""
+
+
+def _spans(number: int) -> str:
+    """A list of the rule's spans: what comes before a match tells where it starts."""
+    return f"""list_filter(list_transform(range(1, len(m{number}) + 1), lambda i: {{
+        's': (length(array_to_string(p{number}[1:i], '')) + length(array_to_string(m{number}[1:i - 1], '')))::bigint,
+        'k': {number}, 'n': length(m{number}[i]), 'g': length(g{number}[i])}}),
+        lambda x: x.g >= {RULES[number].least})"""
+
+
+_KINDS = "[" + ", ".join(f"'{rule.kind}'" for rule in RULES) + "]"
+_JOINED = f"""array_to_string(list_transform({{spans}},
+    lambda x: {_KINDS}[x.k + 1] || ':' || x.s || ':' || (x.s + x.n)), ',')"""
+
+SECRETS_SQL = f"""
+with matched as materialized (
+    select doc_id, {", ".join(map(_lists, range(len(RULES))))}
+    from (select doc_id, coalesce(text, '') as t from documents)
+), found as (
+    select doc_id, list_sort({" || ".join(map(_spans, range(len(RULES))))}) as all_spans from matched
+), based as (select doc_id, all_spans, list_filter(all_spans, lambda x: x.k < 3) as base from found)
+select doc_id,
+    len(list_filter(base, lambda x: x.k = 0)) as n_assign,
+    len(list_filter(base, lambda x: x.k = 1)) as n_access,
+    len(list_filter(base, lambda x: x.k = 2)) as n_hex,
+    sha256({_JOINED.format(spans="base")}) as base_sha256,
+    {_JOINED.format(spans="all_spans")} as spans
+from based
+"""
