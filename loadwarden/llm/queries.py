@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadwarden.llm import mixing, secrets
+from loadwarden.llm import mixing, packing, secrets
 from loadwarden.llm.sql import MIXING_SQL, SECRETS_SQL
 from loadwarden.sources import read_parquet
 
@@ -50,9 +51,18 @@ def op2_find_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query()
+def op3_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 2,048 tokens."""
+    docs = _table(spark, sf_dir, "documents")
+    packed = packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 @_query(MIXING_SQL)
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed at weights 5, 2, 1 in turn; what the mix takes of each."""
     sizes = mixing.measured(_table(spark, sf_dir, "documents"))
     targets = mixing.source_targets(sizes)
     return mixing.taken_words(sizes, targets, mixing.mix_blocks(sizes, targets))
+
