@@ -8,8 +8,10 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadwarden.llm import mixing, packing, secrets
+from loadwarden.llm import mixing, packing, secrets, token_files
 from loadwarden.llm.sql import MIXING_SQL, SECRETS_SQL
+from loadwarden.llm.tokens import loaded
+from loadwarden.scratch import scratch_path
 from loadwarden.sources import read_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,3 +68,11 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     targets = mixing.source_targets(sizes)
     return mixing.taken_words(sizes, targets, mixing.mix_blocks(sizes, targets))
 
+
+@_query()
+def op9_write_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The token ids of all documents, written as coded blocks and read back."""
+    tokenizer, folder = public_tokenizers.path("word_bpe_49k.json"), scratch_path(spark, "tokens")
+    token_files.write_tokens(_table(spark, sf_dir, "documents"), tokenizer, folder, end_id=2)
+    read = token_files.read_tokens(spark, folder, loaded(tokenizer).vocabulary)
+    return read.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
