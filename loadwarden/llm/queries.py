@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadwarden.llm import mixing, packing, secrets, token_files
+from loadwarden.llm import language, mixing, packing, quality, secrets, token_files
+from loadwarden.llm.splits import held_out
 from loadwarden.llm.sql import MIXING_SQL, SECRETS_SQL
 from loadwarden.llm.tokens import loaded
 from loadwarden.scratch import scratch_path
@@ -61,6 +62,29 @@ def op3_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+@_query()
+def op5_score_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of all documents, learned from the labels outside the held-out third."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = quality.fit_quality(docs, labels.where(~held_out(F.col("doc_id"))))
+    return quality.score_quality(docs, model).select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+@_query()
+def op6_identify_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of all documents, learned from those outside the held-out third."""
+    docs = _table(spark, sf_dir, "documents")
+    model = language.fit_language(docs.where(~held_out(F.col("doc_id"))))
+    return language.identify_language(docs, model).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"
+    )
+
+
 @_query(MIXING_SQL)
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed at weights 5, 2, 1 in turn; what the mix takes of each."""
