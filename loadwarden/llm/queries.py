@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadwarden.llm import language, mixing, packing, quality, secrets, token_files
+from loadwarden.llm import language, minhash, mixing, packing, quality, secrets, token_files
 from loadwarden.llm.splits import held_out
 from loadwarden.llm.sql import MIXING_SQL, SECRETS_SQL
 from loadwarden.llm.tokens import loaded
@@ -100,3 +100,9 @@ def op9_write_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     token_files.write_tokens(_table(spark, sf_dir, "documents"), tokenizer, folder, end_id=2)
     read = token_files.read_tokens(spark, folder, loaded(tokenizer).vocabulary)
     return read.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+@_query()
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with the smallest document that near-duplicate links lead to."""
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
