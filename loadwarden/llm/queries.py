@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadwarden.llm import language, minhash, mixing, packing, quality, secrets, token_files
+from loadwarden.llm import fingerprints, language, minhash, mixing, packing, quality, secrets, token_files
 from loadwarden.llm.splits import held_out
 from loadwarden.llm.sql import MIXING_SQL, SECRETS_SQL
 from loadwarden.llm.tokens import loaded
@@ -85,6 +85,12 @@ def op6_identify_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query()
+def op7_fingerprint_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fingerprints of all documents and of their edited texts."""
+    return fingerprints.fingerprint_neighbours(_table(spark, sf_dir, "documents"))
+
+
 @_query(MIXING_SQL)
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed at weights 5, 2, 1 in turn; what the mix takes of each."""
