@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadwarden.llm import fingerprints, language, minhash, mixing, packing, quality, secrets, token_files
+from loadwarden.llm import fingerprints, language, minhash, mixing, packing, quality, secrets, substring_dedup, token_files
 from loadwarden.llm.splits import held_out
 from loadwarden.llm.sql import MIXING_SQL, SECRETS_SQL
 from loadwarden.llm.tokens import loaded
@@ -35,6 +35,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_parquet(spark, f"{sf_dir}/{name}.parquet")
 
 
+@_query()
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The passages of all documents that repeat earlier ones, unit by unit."""
+    return substring_dedup.find_repeats(_table(spark, sf_dir, "documents"))
+
+
 @_query(SECRETS_SQL)
 def op2_find_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The secrets in all documents."""

@@ -34,15 +34,24 @@ def packed(docs: DataFrame) -> DataFrame:
     return docs.select(row_id().alias(ROW_ID), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"))
 
 
-def unpacked(df: DataFrame, docs: DataFrame, new: dict[str, Column] | None = None) -> DataFrame:
-    """The columns of ``docs`` from ``doc``; those in ``new`` replaced, with the types they had."""
+def unpacked(
+    df: DataFrame, docs: DataFrame, new: dict[str, Column] | None = None, more: dict[str, Column] | None = None
+) -> DataFrame:
+    """The columns of ``docs`` from ``doc``; those in ``new`` replaced, with the types they had.
+
+    Columns of ``more`` are added; one whose name ``docs`` has already gets an underscore before it.
+    """
     new = new or {}
-    return df.select(
-        *(
-            (new[f.name].cast(f.dataType) if f.name in new else F.col(f"doc.`{f.name}`")).alias(f.name)
-            for f in docs.schema
-        )
-    )
+    columns = [
+        (new[f.name].cast(f.dataType) if f.name in new else F.col(f"doc.`{f.name}`")).alias(f.name)
+        for f in docs.schema
+    ]
+    taken = {c.lower() for c in docs.columns}
+    for name, column in (more or {}).items():
+        while name.lower() in taken:
+            name = f"_{name}"
+        columns.append(column.alias(name))
+    return df.select(*columns)
 
 
 def arrow_map(
