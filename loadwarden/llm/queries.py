@@ -8,9 +8,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadwarden.llm import fingerprints, language, minhash, mixing, packing, quality, secrets, substring_dedup, token_files
+from loadwarden.llm import fingerprints, language, minhash, mixing, packing, quality, secrets, substring_dedup, token_files, vectors
 from loadwarden.llm.splits import held_out
-from loadwarden.llm.sql import MIXING_SQL, SECRETS_SQL
+from loadwarden.llm.sql import MIXING_SQL, SECRETS_SQL, VECTORS_SQL
 from loadwarden.llm.tokens import loaded
 from loadwarden.scratch import scratch_path
 from loadwarden.sources import read_parquet
@@ -68,6 +68,12 @@ def op3_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+@_query(VECTORS_SQL)
+def op4_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors with their links and the smallest vector that links lead to."""
+    return vectors.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 @_query()
 def op5_score_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quality of all documents, learned from the labels outside the held-out third."""

@@ -85,3 +85,23 @@ select doc_id,
     {_JOINED.format(spans="all_spans")} as spans
 from based
 """
+
+
+VECTORS_SQL = """
+with recursive vectors as materialized (
+    select vec_id, case when embedding is not null and len(embedding) > 0
+            and not list_bool_or(list_transform(embedding, lambda x: x is null or not isfinite(x)))
+            and list_bool_or(list_transform(embedding, lambda x: x <> 0)) then embedding::double[] end as e
+    from embeddings
+), links as materialized (
+    select a.vec_id as a, b.vec_id as b from vectors a join vectors b
+        on a.vec_id <> b.vec_id and len(a.e) = len(b.e) and list_cosine_similarity(a.e, b.e) >= 0.9
+), reached as (
+    select vec_id, vec_id as other from vectors
+    union
+    select r.vec_id, l.b from reached r join links l on r.other = l.a
+), smallest as (select vec_id, min(other) as component_id from reached group by vec_id)
+select vec_id, (select count(*) from links where a = vec_id)::bigint as n_links, component_id,
+    vec_id = component_id as kept
+from smallest
+"""
