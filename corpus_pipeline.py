@@ -4,14 +4,53 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from loadwarden.llm.minhash import drop_near_duplicates
+from loadwarden.llm.mixing import mix_documents
+from loadwarden.llm.packing import pack_documents
+from loadwarden.llm.quality import fit_quality, keep_good
 from loadwarden.llm.rows import stored
+from loadwarden.llm.secrets import redact_secrets
 from loadwarden.sources import read_parquet
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that are likelier good than bad, learned from all labels."""
+    labels = read_parquet(spark, f"{sf_dir}/labels.parquet")
+    return keep_good(docs, fit_quality(docs, labels))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, that with the smallest doc_id."""
+    return drop_near_duplicates(docs)
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with a mark in place of each secret."""
+    return redact_secrets(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Blocks of documents as the mix of sources takes them; one that it repeats is a row each time."""
+    return mix_documents(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all packed sequences, with their token ids."""
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", quality),
+    ("near_dedup", near_dedup),
+    ("secrets", secrets),
+    ("mix", mix),
+    ("pack", pack),
+]
 
 #: A classifier fitted on compressed sizes and a tokenizer have no counterpart in SQL.
 ORACLE_SQL = None
