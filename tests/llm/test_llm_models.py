@@ -1,0 +1,161 @@
+"""Quality, language and fingerprints on small texts."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+
+import numpy as np
+from tests_llm_data import ODD, sentence, texts_like_prose
+
+from loadwarden.llm import fingerprints, language, quality
+from loadwarden.llm.splits import held_out
+
+
+def test_held_out_is_a_third_by_checksum(make_docs):
+    docs = make_docs([(i, "") for i in range(60)] + [(None, "")])
+    rows = docs.select("doc_id", held_out(docs["doc_id"]).alias("h")).collect()
+    for row in rows:
+        expected = row.doc_id is not None and zlib.crc32(str(row.doc_id).encode()) % 3 == 1
+        assert row.h == expected
+
+
+# --- quality
+
+
+def _graded(n):
+    rng = random.Random(4)
+    rows = []
+    for i in range(n):
+        good = i % 3 > 0
+        text = " ".join(sentence(rng) for _ in range(rng.randint(2, 12)))
+        rows.append((i, text if good else " $$$ ".join(text.split()), int(good)))
+    return rows
+
+
+def test_quality_tells_held_out_texts(spark, make_docs):
+    rows = _graded(360)
+    docs = make_docs([r[:2] for r in rows] + [(1000 + (i or 50), t) for i, t in ODD])
+    labels = spark.createDataFrame([(i, q) for i, _, q in rows if i < 240] + [(9999, 1)], "doc_id long, quality int")
+    model = quality.fit_quality(docs, labels)
+    score = {r.doc_id: r.score for r in quality.score_quality(docs, model).collect()}
+    assert set(score) == {r.doc_id for r in docs.collect()}
+    assert all(0 <= s <= 1 for s in score.values())
+    right = [(score[i] >= 0.5) == bool(q) for i, _, q in rows if i >= 240]
+    assert np.mean(right) > 0.95
+    kept = quality.keep_good(docs, model)
+    assert kept.schema == docs.schema
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(
+        i for i in score for _ in range(2 if i == 1006 else 1) if score[i] >= 0.5
+    )
+
+
+def test_quality_without_both_labels(spark, make_docs):
+    docs = make_docs(ODD)
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    only_good = spark.createDataFrame([(5, 1), (6, 1), (4, None), (None, 0)], "doc_id long, quality int")
+    disputed = spark.createDataFrame([(5, 1), (5, 0)], "doc_id long, quality int")
+    for labels, score in ((none, 0.5), (only_good, 1.0), (disputed, 0.5)):
+        found = quality.score_quality(docs, quality.fit_quality(docs, labels)).collect()
+        assert [r.score for r in found] == [score] * len(ODD)
+
+
+# --- language
+
+
+def _spoken(n):
+    rng = random.Random(5)
+    kinds = {"aa": "aeo", "bb": "iuy", "cc": "áéø"}
+    rows = []
+    for i in range(n):
+        lang = list(kinds)[i % 3]
+        rows.append((i, " ".join(sentence(rng, 8, kinds[lang]) for _ in range(3)), lang, None))
+    return rows, kinds, rng
+
+
+def test_language_of_texts_and_of_mixed_ones(make_docs):
+    rows, kinds, rng = _spoken(90)
+    greek = [(900, "αβγδ εζηθ ικλμ", "el", None)]
+    model = language.fit_language(make_docs(rows[:60] + greek))
+    assert model.languages == ["aa", "bb", "cc", "el"]
+    mixed = sentence(rng, 30, "iuy") + " " + sentence(rng, 10, "aeo")
+    more = [(901, "ζηθα", None, None), (902, mixed, None, None), (903, "123 ... !", None, None), (904, "漢字", None, None)]
+    found = language.identify_language(make_docs(rows[60:] + more + ODD), model).collect()
+    assert len(found) == 30 + len(more) + len(ODD)
+    pred = {r.doc_id: r.lang_pred for r in found}
+    score = {r.doc_id: r.score for r in found}
+    assert np.mean([pred[i] == lang for i, _, lang, _ in rows[60:]]) > 0.95
+    assert pred[901] == "el" and pred[902] == "bb" and 0.5 < score[902] < 1
+    assert pred[903] == pred[1] == pred[2] == pred[3] == "und" and score[903] == 0
+    assert pred[904] in model.languages
+    nothing = language.fit_language(make_docs(ODD))
+    assert {r.lang_pred for r in language.identify_language(make_docs(ODD), nothing).collect()} == {"und"}
+
+
+def _path(scores, switch):
+    best, back = scores[0].copy(), []
+    for s in scores[1:]:
+        moves = best[:, None] - switch * (1 - np.eye(len(best)))
+        back.append(moves.argmax(axis=0))
+        best = moves.max(axis=0) + s
+    path = [int(best.argmax())]
+    for b in reversed(back):
+        path.append(int(b[path[-1]]))
+    total = sum(scores[t][k] for t, k in enumerate(reversed(path)))
+    return total - switch * sum(a != b for a, b in zip(path, path[1:]))
+
+
+def test_paths_are_the_best_ones():
+    rng = np.random.default_rng(6)
+    scores = rng.normal(size=(40, 3)).astype(np.float32) * 2
+    sizes = np.array([5, 0, 17, 1, 30])
+    places = rng.integers(0, 40, sizes.sum())
+    path = language.viterbi(scores, places, sizes, 1.5)
+    at = 0
+    for n in sizes:
+        s, p = scores[places[at : at + n]].astype(float), path[at : at + n]
+        if n:
+            total = s[np.arange(n), p].sum() - 1.5 * (p[1:] != p[:-1]).sum()
+            assert abs(total - _path(s, 1.5)) < 1e-6
+        at += n
+
+
+# --- fingerprints
+
+
+def test_neighbours_in_descending_order(make_docs):
+    rows = [r for r in ODD if r[0] != 6] + texts_like_prose(60, first=20)
+    found = fingerprints.fingerprint_neighbours(make_docs(rows), rows_per_range=9).collect()
+    assert len(found) == len(rows)
+    ordered = sorted(rows, key=lambda r: -(r[0] if r[0] is not None else -1))
+    by_id = {r.doc_id: r for r in found}
+    for (doc_id, text), (_, after) in zip(ordered, ordered[1:] + ordered[:1]):
+        row, text, after = by_id[doc_id], text or "", after or ""
+        changed = fingerprints.edited(text, after)
+        assert len(changed) <= len(text)
+        assert row.n_chars == len(text)
+        assert row.edited_sha256 == hashlib.sha256(changed.encode()).hexdigest()
+        assert row.fingerprint == fingerprints.fingerprint(text)
+        assert row.near_edited == fingerprints.likeness(row.fingerprint, fingerprints.fingerprint(changed))
+        assert row.near_next == fingerprints.likeness(row.fingerprint, fingerprints.fingerprint(after))
+    prose = [by_id[i] for i, _ in rows if i is not None and i >= 20]
+    assert np.mean([r.near_edited > r.near_next for r in prose]) > 0.9
+
+
+def test_neighbours_of_one_of_none_and_of_equal_ids(make_docs):
+    one = fingerprints.fingerprint_neighbours(make_docs([(1, "abcdef")])).collect()
+    assert [(r.near_next, r.edited_sha256) for r in one] == [(1.0, hashlib.sha256(b"abcdab").hexdigest())]
+    assert fingerprints.fingerprint_neighbours(make_docs([(1, "")]).limit(0)).collect() == []
+    same = fingerprints.fingerprint_neighbours(make_docs([(1, "b" * 9), (1, "a" * 9), (0, None)])).collect()
+    assert sorted(r.edited_sha256 for r in same) == sorted(
+        hashlib.sha256(x).hexdigest() for x in (b"aaaaaabbb", b"bbbbbb", b"")
+    )
+
+
+def test_likeness_is_bounded():
+    marks = [fingerprints.fingerprint(t) for _, t in ODD + texts_like_prose(20)]
+    for a in marks:
+        assert fingerprints.likeness(a, a) == 1
+        for b in marks:
+            assert 0 <= fingerprints.likeness(a, b) == fingerprints.likeness(b, a) <= 1
