@@ -18,10 +18,10 @@ from loadwarden.plans import (
     quality_job,
     show_results,
     unit_test_job,
+    watched_ledger,
 )
 from loadwarden.plans.load import script_text
 from loadwarden.session import build_session
-from loadwarden.sources import read_ledger
 
 
 def _load(spark: SparkSession, config: LoadConfig, args: argparse.Namespace) -> bool:
@@ -32,7 +32,8 @@ def _load(spark: SparkSession, config: LoadConfig, args: argparse.Namespace) ->
 def _analytics(spark: SparkSession, config: LoadConfig, args: argparse.Namespace) -> bool:
     if config.analytics_script is None:
         raise ValueError("the config names no analytics_script")
-    show_results(analytics_job(spark, config, script_text(spark, config.analytics_script)))
+    results = analytics_job(spark, config, script_text(spark, config.analytics_script))
+    show_results(results, args.rows)
     return False
 
 
@@ -48,14 +49,14 @@ def _quality(spark: SparkSession, config: LoadConfig, args: argparse.Namespace)
 
 def _monitor(spark: SparkSession, config: LoadConfig, args: argparse.Namespace) -> bool:
     alert = monitoring_job(spark, config, args.run_date)
-    failed = failing_rows(read_ledger(spark, config.ledger_path), args.run_date)
-    show_results([alert, failed])
+    show_results([alert, failing_rows(watched_ledger(spark, config, args.run_date))])
     return alert.first()["any_fail"]
 
 
 def _daily(spark: SparkSession, config: LoadConfig, args: argparse.Namespace) -> bool:
     run = daily_run(spark, config, args.run_date)
-    show_results([*run.analytics, run.unit_tests, run.quality, run.ledger, run.alert])
+    show_results(run.analytics, args.rows)
+    show_results([run.unit_tests, run.quality, run.ledger, run.alert])
     return run.alert.first()["any_fail"]
 
 
@@ -75,6 +76,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--config", required=True, help="JSON or YAML settings file")
     parser.add_argument("--run-date", help="YYYY-MM-DD; today, or all dates for monitor")
     parser.add_argument("--previous-rows", type=int, help="rows before this load, for quality")
+    parser.add_argument("--rows", type=int, default=50, help="rows shown of each analytics result")
     parser.add_argument("--input-bytes", type=int, help="size of the sources, to size the session")
     parser.add_argument("--fail-on-alert", action="store_true", help="exit with 2 on an alert")
     args = parser.parse_args(argv)

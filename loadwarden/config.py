@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import posixpath
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, fields
 from pathlib import Path
@@ -32,6 +34,8 @@ class LoadConfig:
     ddl_script: str | None = None
     analytics_script: str | None = None
     results_format: str = "parquet"
+    #: Loads whose files are kept; None keeps all of them.
+    keep_loads: int | None = None
 
     @classmethod
     def from_mapping(cls, settings: Mapping[str, Any], **overrides: Any) -> LoadConfig:
@@ -80,11 +84,28 @@ class LoadConfig:
 
     def __post_init__(self) -> None:
         for name in ("join_on", "key_columns", "expected_columns", "partition_by"):
-            object.__setattr__(self, name, tuple(getattr(self, name)))
+            value = getattr(self, name)
+            if isinstance(value, str):
+                raise ValueError(f"{name} is a list, not the text {value!r}")
+            object.__setattr__(self, name, tuple(value))
+        for side in (self.left, self.right):
+            if _overlap(self.target_path, side.path):
+                raise ValueError(f"the target {self.target_path} and the source {side.path} overlap")
+        if self.keep_loads is not None and self.keep_loads < 1:
+            raise ValueError("keep_loads is 1 at least")
 
 
 # Fields with a default that a config file may set.
-_OPTIONAL = ("minimum_rows", "batch_id", "partition_by", "max_records_per_file", "results_format")
+_OPTIONAL = ("minimum_rows", "batch_id", "partition_by", "max_records_per_file", "results_format", "keep_loads")
+
+
+def _overlap(a: str, b: str) -> bool:
+    """Whether one path is or lies in the other one, whatever their scheme."""
+    a, b = (
+        posixpath.normpath(re.sub(r"^\w+:/*", "/", path) if ":/" in path else path).rstrip("/") + "/"
+        for path in (a, b)
+    )
+    return a.startswith(b) or b.startswith(a)
 
 
 def read_settings(path: str) -> dict[str, Any]:

@@ -29,11 +29,14 @@ def load_stamp(load_ts: dt.datetime | str | None = None) -> Column:
     """The load time as text.
 
     The current time is one value for the whole query. A given time is taken as
-    wall-clock time, whatever the session time zone is.
+    wall-clock time, whatever the session time zone is; one with an offset is shown
+    in the session time zone.
     """
     if load_ts is None:
         return F.current_timestamp().cast("string")
-    return F.lit(_checked_time(load_ts)).cast("timestamp_ntz").cast("string")
+    moment = _checked_time(load_ts)
+    has_offset = dt.datetime.fromisoformat(moment).tzinfo is not None
+    return F.lit(moment).cast("timestamp" if has_offset else "timestamp_ntz").cast("string")
 
 
 def check_time(checked_at: dt.datetime | str | None = None) -> Column:

@@ -27,6 +27,9 @@ ALERT_FAILED = (
     "Please check Data Quality log for detailed failures. "
     "Please find the attached table log for details."
 )
+# A status that ought to be there and is not.
+MISSING = "MISSING"
+ALERT_MISSING = "A status that was expected is missing in the ledger."
 ALERT_PASSED = "Data Quality Job completed successfully without failures."
 
 # Batch id of a load that names none.

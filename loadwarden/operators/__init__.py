@@ -25,6 +25,7 @@ from loadwarden.operators.status import (
     merge_ledger,
     status_gate,
     status_rollup,
+    with_missing,
 )
 
 __all__ = [
@@ -49,4 +50,5 @@ __all__ = [
     "schema_conformance",
     "status_gate",
     "status_rollup",
+    "with_missing",
 ]

@@ -145,6 +145,17 @@ def _primary_key_result(table_name: str, checked_at: Timestamp) -> Column:
     )
 
 
+def _missing_keys(df: DataFrame, keys: Sequence[str]) -> list[str]:
+    """The keys that are no column, in any letter case, as Spark finds columns."""
+    known = {name.lower() for name in df.columns}
+    return [key for key in keys if key.lower() not in known]
+
+
+def _missing_keys_result(missing: list[str], table_name: str, checked_at: Timestamp) -> Column:
+    reason = f"Key columns are missing: {', '.join(missing)}"
+    return _result(table_name, PRIMARY_KEY_TEST, F.lit(False), reason, reason, checked_at)
+
+
 def _drift_result(threshold: float, table_name: str, checked_at: Timestamp) -> Column:
     growth = percent_change(F.col("num_rows"), F.col("previous_rows"))
     before, after = INCREASE_ABOVE
@@ -190,6 +201,9 @@ def primary_key_check(
     df: DataFrame, keys: Sequence[str], table_name: str, checked_at: Timestamp = None
 ) -> DataFrame:
     """FAIL with the number of surplus rows unless every key is unique; NULL is a key value."""
+    missing = _missing_keys(df, keys)
+    if missing:
+        return _rows(row_count(df), [_missing_keys_result(missing, table_name, checked_at)])
     return _rows(key_counts(df, keys), [_primary_key_result(table_name, checked_at)])
 
 
@@ -232,10 +246,12 @@ def quality_checks(
 
     Without a ``previous`` table the growth is that of the table over itself, none.
     """
-    results = [
-        _drift_result(threshold, table_name, checked_at),
-        _primary_key_result(table_name, checked_at),
-    ]
+    missing = _missing_keys(df, keys)
+    key_result = _primary_key_result(table_name, checked_at)
+    if missing:
+        key_result = _missing_keys_result(missing, table_name, checked_at)
+    results = [_drift_result(threshold, table_name, checked_at), key_result]
     if minimum is not None:
         results.append(_floor_result(minimum, table_name, checked_at))
-    return _rows(_with_previous(key_counts(df, keys), previous), results)
+    measures = row_count(df) if missing else key_counts(df, keys)
+    return _rows(_with_previous(measures, previous), results)

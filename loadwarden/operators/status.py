@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from loadwarden.functions import run_day
-from loadwarden.labels import ALERT_FAILED, ALERT_PASSED, FAIL, PASS
+from loadwarden.frames import small_frame
+from loadwarden.labels import ALERT_FAILED, ALERT_MISSING, ALERT_PASSED, FAIL, MISSING, PASS
 
 
 def _any(condition: Column) -> Column:
@@ -44,19 +47,50 @@ def _of_day(ledger: DataFrame, run_date: dt.date | str | None) -> DataFrame:
     return ledger if run_date is None else ledger.where(F.col("date") == run_day(run_date))
 
 
+def with_missing(
+    ledger: DataFrame, expected: Sequence[tuple[str, str]], run_date: dt.date | str | None = None
+) -> DataFrame:
+    """The ledger, of one day if one is given, and a MISSING row for each expected status it lacks.
+
+    ``expected`` has pairs of table and test type; they come from a configuration and are few.
+    """
+    rows = _of_day(ledger, run_date)
+    names = ["table_name", "test_type"]
+    wanted = small_frame(
+        ledger.sparkSession,
+        [dict(zip(names, pair)) for pair in expected],
+        StructType([StructField(name, StringType()) for name in names]),
+    )
+    missing = wanted.join(rows.select(*names).distinct(), names, "left_anti").select(
+        "table_name",
+        F.lit(MISSING).alias("status"),
+        "test_type",
+        (F.lit(None).cast("date") if run_date is None else run_day(run_date)).alias("date"),
+    )
+    return rows.unionByName(missing)
+
+
 def load_alert(ledger: DataFrame, run_date: dt.date | str | None = None) -> DataFrame:
     """One row ``(any_fail, n_fail, message)`` over all dates or over one.
 
-    A FAIL stays in the ledger when a later run of the day passes, and still alerts.
+    A FAIL stays in the ledger when a later run of the day passes, and still alerts. So
+    does a MISSING row of ``with_missing``.
     """
-    failed = F.col("status") == FAIL
+    failed = F.col("status").isin(FAIL, MISSING)
+    message = F.when(F.col("any_fail") & F.col("_found"), ALERT_FAILED).when(
+        F.col("any_fail"), ALERT_MISSING
+    )
     return (
         _of_day(ledger, run_date)
-        .agg(_any(failed).alias("any_fail"), F.count_if(failed).alias("n_fail"))
-        .withColumn("message", F.when(F.col("any_fail"), ALERT_FAILED).otherwise(ALERT_PASSED))
+        .agg(
+            _any(failed).alias("any_fail"),
+            F.count_if(failed).alias("n_fail"),
+            _any(F.col("status") == FAIL).alias("_found"),
+        )
+        .select("any_fail", "n_fail", message.otherwise(ALERT_PASSED).alias("message"))
     )
 
 
 def failing_rows(ledger: DataFrame, run_date: dt.date | str | None = None) -> DataFrame:
     """The ledger rows behind an alert."""
-    return _of_day(ledger, run_date).where(F.col("status") == FAIL)
+    return _of_day(ledger, run_date).where(F.col("status").isin(FAIL, MISSING))

@@ -7,8 +7,9 @@ from loadwarden.plans.jobs import (
     monitoring_job,
     quality_job,
     unit_test_job,
+    watched_ledger,
 )
-from loadwarden.plans.load import load_pipeline, published_rows
+from loadwarden.plans.load import load_pipeline, publish, published_rows
 from loadwarden.plans.script import run_sql_script, script_statements, show_results
 
 __all__ = [
@@ -16,6 +17,7 @@ __all__ = [
     "analytics_job",
     "daily_run",
     "load_pipeline",
+    "publish",
     "monitoring_job",
     "published_rows",
     "quality_job",
@@ -23,4 +25,5 @@ __all__ = [
     "script_statements",
     "show_results",
     "unit_test_job",
+    "watched_ledger",
 ]

@@ -10,6 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from loadwarden.config import LoadConfig
+from loadwarden.history import baseline, read_loads, record_check
 from loadwarden.labels import DATA_QUALITY, UNIT_TEST
 from loadwarden.operators import (
     column_count_check,
@@ -18,16 +19,11 @@ from loadwarden.operators import (
     quality_checks,
     schema_conformance,
     status_rollup,
+    with_missing,
 )
-from loadwarden.plans.load import (
-    load_pipeline,
-    publish,
-    published_rows,
-    script_params,
-    script_text,
-)
+from loadwarden.plans.load import load_pipeline, loaded, publish, script_params, script_text
 from loadwarden.plans.script import run_sql_script
-from loadwarden.sinks import append_ledger, write_results
+from loadwarden.sinks import append_ledger, overwrite_parquet, write_results
 from loadwarden.sources import read_ledger, read_parquet, read_results
 
 logger = logging.getLogger(__name__)
@@ -51,7 +47,28 @@ class DailyRun:
 def analytics_job(spark: SparkSession, config: LoadConfig, script: str) -> list[DataFrame]:
     """Publish the target table in this session and run a script text over it."""
     publish(spark, config)
-    return run_sql_script(spark, script, script_params(config))
+    return _analysed(spark, config, script)
+
+
+def _analysed(spark: SparkSession, config: LoadConfig, script: str) -> list[DataFrame]:
+    """The results of a script's statements; those of queries are computed here, once, and stored.
+
+    A query that fails fails the job. Column names that a result has twice get a number.
+    """
+    results = []
+    for number, found in enumerate(run_sql_script(spark, script, script_params(config, loaded(spark, config)))):
+        if not found.columns or found.isLocal():  # a command has done its work
+            results.append(found)
+            continue
+        seen: dict[str, int] = {}
+        names = []
+        for name in found.columns:
+            seen[name.lower()] = seen.get(name.lower(), 0) + 1
+            names.append(name if seen[name.lower()] == 1 else f"{name}_{seen[name.lower()]}")
+        path = f"{config.results_path}/Analytics/{config.table}/{number}"
+        overwrite_parquet(found.toDF(*names), path)
+        results.append(read_parquet(spark, path))
+    return results
 
 
 def _record(
@@ -61,7 +78,7 @@ def _record(
 
     The checks run once, in the write; the roll-up reads what was written.
     """
-    path = f"{config.results_path}/{test_type}"
+    path = f"{config.results_path}/{test_type}/{config.table}"
     write_results(results, path, config.results_format)
     written = read_results(spark, path, config.results_format)
     append_ledger(status_rollup(written, test_type, run_date), config.ledger_path)
@@ -80,7 +97,7 @@ def unit_test_job(
     ``table`` saves another listing of the target files where the caller has it.
     """
     if table is None:
-        table = read_parquet(spark, config.target_path)
+        table = loaded(spark, config).read(spark)
     results = combine_results(
         schema_conformance(table, config.expected_columns, config.table, checked_at),
         column_count_check(table, len(config.expected_columns), config.table, checked_at),
@@ -98,11 +115,17 @@ def quality_job(
 ) -> DataFrame:
     """Check keys and row counts of the loaded table and record the outcome.
 
-    ``previous`` is the table before this load or its row count; a first load,
-    which has none, shows no growth.
+    ``previous`` is the table before this load or its row count. Without it, the load is
+    compared with the newest earlier one that was checked, as the history of loads has it; a
+    first load shows no growth.
     """
+    loads = read_loads(spark, config.target_path)
+    if not loads:
+        raise ValueError(f"no load of {config.target_path} was completed")
     if table is None:
-        table = read_parquet(spark, config.target_path)
+        table = loads[-1].read(spark)
+    if previous is None and (before := baseline(loads)) is not None:
+        previous = before.num_rows
     results = quality_checks(
         table,
         config.key_columns,
@@ -112,12 +135,20 @@ def quality_job(
         minimum=config.minimum_rows,
         checked_at=checked_at,
     )
-    return _record(spark, results, config, DATA_QUALITY, run_date)
+    written = _record(spark, results, config, DATA_QUALITY, run_date)
+    record_check(spark, config.target_path, loads[-1])
+    return written
 
 
 def monitoring_job(spark: SparkSession, config: LoadConfig, run_date: Day = None) -> DataFrame:
     """The alert row over the ledger, for all dates unless one is given."""
-    return load_alert(read_ledger(spark, config.ledger_path), run_date)
+    return load_alert(watched_ledger(spark, config, run_date))
+
+
+def watched_ledger(spark: SparkSession, config: LoadConfig, run_date: Day = None) -> DataFrame:
+    """The ledger, of one day if one is given, with a row for each status that the table lacks there."""
+    expected = [(config.table, UNIT_TEST), (config.table, DATA_QUALITY)]
+    return with_missing(read_ledger(spark, config.ledger_path), expected, run_date)
 
 
 def daily_run(
@@ -127,20 +158,20 @@ def daily_run(
     load_ts: Timestamp = None,
 ) -> DailyRun:
     """Load, analytics, unit tests, quality checks and monitoring, in this order."""
-    previous = published_rows(spark, config)
-    logger.info("loading %s.%s, %s rows before", config.database, config.table, previous)
+    logger.info("loading %s.%s", config.database, config.table)
     table = load_pipeline(spark, config, load_ts)
 
     analytics: list[DataFrame] = []
     if config.analytics_script is not None:
         script = script_text(spark, config.analytics_script)
-        analytics = run_sql_script(spark, script, script_params(config))
+        analytics = _analysed(spark, config, script)
 
     logger.info("checking %s", config.target_path)
     unit_tests = unit_test_job(spark, config, run_date, load_ts, table)
-    quality = quality_job(spark, config, previous, run_date, load_ts, table)
+    quality = quality_job(spark, config, None, run_date, load_ts, table)
 
     ledger = read_ledger(spark, config.ledger_path)
-    alert = load_alert(ledger, run_date)
+    today = run_date if run_date is not None else spark.sql("select current_date()").first()[0]
+    alert = load_alert(watched_ledger(spark, config, today))
     logger.info("recorded the run in %s", config.ledger_path)
     return DailyRun(table, analytics, unit_tests, quality, ledger, alert)

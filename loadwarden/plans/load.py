@@ -3,40 +3,42 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from loadwarden.config import LoadConfig
+from loadwarden.history import Load, loads_path, new_load_id, read_loads, record_load
 from loadwarden.operators import add_audit_columns, inner_join_using
 from loadwarden.plans.script import run_sql_script
 from loadwarden.sinks import overwrite_parquet, publish_table
 from loadwarden.sources import read_source, read_table
 
 
-def published_rows(spark: SparkSession, config: LoadConfig) -> int | None:
-    """Rows of the table as it lies there now, from the Parquet footers.
+def loaded(spark: SparkSession, config: LoadConfig) -> Load:
+    """The newest load of the target table."""
+    loads = read_loads(spark, config.target_path)
+    if not loads:
+        raise ValueError(f"no load of {config.target_path} was completed")
+    return loads[-1]
 
-    None if no load ever wrote it; 0 if a load that failed left it without files.
-    """
-    try:
-        return spark.read.parquet(config.target_path).count()
-    except AnalysisException as error:
-        match error.getCondition():
-            case "PATH_NOT_FOUND":
-                return None
-            case "UNABLE_TO_INFER_SCHEMA":
-                return 0
-            case _:
-                raise
+
+def published_rows(spark: SparkSession, config: LoadConfig) -> int | None:
+    """Rows of the newest load; None if there never was one."""
+    loads = read_loads(spark, config.target_path)
+    return loads[-1].num_rows if loads else None
 
 
 def publish(spark: SparkSession, config: LoadConfig) -> DataFrame:
-    """The target files as the configured catalog table.
+    """The newest load as the configured catalog table.
 
     A configured DDL script is run after that, for what else it defines.
     """
-    publish_table(spark, config.database, config.table, config.target_path)
+    load = loaded(spark, config)
+    publish_table(
+        spark, config.database, config.table, load.folder, load.columns, config.partition_by
+    )
     if config.ddl_script is not None:
-        run_sql_script(spark, script_text(spark, config.ddl_script), script_params(config))
+        run_sql_script(spark, script_text(spark, config.ddl_script), script_params(config, load))
     return read_table(spark, config.database, config.table)
 
 
@@ -45,25 +47,67 @@ def script_text(spark: SparkSession, path: str) -> str:
     return spark.read.text(path, wholetext=True).first()["value"]
 
 
-def script_params(config: LoadConfig) -> dict[str, str]:
+def script_params(config: LoadConfig, load: Load) -> dict[str, str]:
     return {
         "db_name": config.database,
         "table_name": config.table,
-        "parquet_path": config.target_path,
+        "parquet_path": load.folder,
     }
 
 
+def _adopt(spark: SparkSession, config: LoadConfig) -> None:
+    """Take a table that lies at the target itself, from before there was a history, into it."""
+    if read_loads(spark, config.target_path):
+        return
+    try:
+        table = spark.read.parquet(config.target_path)
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return
+    record_load(
+        spark,
+        config.target_path,
+        Load("0-before", table.count(), config.target_path, table.schema, True),
+    )
+
+
 def load_pipeline(
     spark: SparkSession, config: LoadConfig, load_ts: dt.datetime | str | None = None
 ) -> DataFrame:
-    """Join the two sources, stamp the rows, replace the target table and publish it."""
+    """Join the two sources, stamp the rows, write them as a new load and publish it.
+
+    Each load has a folder of its own beside the target path. The table is pointed to it only
+    after all of it was written, so a load that fails leaves the former one as it is.
+    """
+    _adopt(spark, config)
     joined = inner_join_using(
         read_source(spark, config.left), read_source(spark, config.right), config.join_on
     )
+    stamped = add_audit_columns(joined, config.batch_id, load_ts)
+    load_id = new_load_id()
+    folder = f"{loads_path(config.target_path)}/{load_id}"
+    seen = Observation()
     overwrite_parquet(
-        add_audit_columns(joined, config.batch_id, load_ts),
-        config.target_path,
+        stamped.observe(seen, F.count(F.lit(1)).alias("num_rows")),
+        folder,
         config.partition_by,
         config.max_records_per_file,
     )
-    return publish(spark, config)
+    record_load(
+        spark, config.target_path, Load(load_id, seen.get["num_rows"], folder, stamped.schema, False)
+    )
+    table = publish(spark, config)
+    _remove_old(spark, config)
+    return table
+
+
+def _remove_old(spark: SparkSession, config: LoadConfig) -> None:
+    """Remove the files of all but the newest ``keep_loads`` loads; the history keeps its rows."""
+    if config.keep_loads is None:
+        return
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    for load in read_loads(spark, config.target_path)[: -config.keep_loads]:
+        if load.folder.startswith(loads_path(config.target_path)):
+            folder = path(load.folder)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -95,7 +95,13 @@ def run_sql_script(
     ]
 
 
-def show_results(results: Iterable[DataFrame], rows: int = 50) -> None:
-    """Print the first rows of each result in full width."""
+def show_results(results: Iterable[DataFrame], rows: int | None = None) -> None:
+    """Print each result in full width: all of its rows, a partition at a time, or the first ``rows``."""
     for result in results:
-        result.show(rows, truncate=False)
+        if rows is not None:
+            result.show(rows, truncate=False)
+            continue
+        print("|" + "|".join(result.columns) + "|")
+        for row in result.toLocalIterator():
+            print("|" + "|".join(str(value) for value in row) + "|")
+        print()

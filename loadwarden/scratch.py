@@ -23,5 +23,9 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path that no other call gets; nothing is created there yet."""
-    return f"{scratch_root(spark)}/loadwarden-{name}-{uuid.uuid4().hex}"
+    """A path that no other call gets; nothing is created there yet.
+
+    All paths of an application lie in one folder, which can be removed when it has ended.
+    """
+    root = scratch_root(spark)
+    return f"{root}/loadwarden-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"

@@ -5,37 +5,39 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 MIB = 1024**2
-GIB = 1024**3
 
 # Load stamps and run dates are text and dates of the session time zone, so it
 # is pinned. The joins rely on adaptive execution: it splits the partition of a
-# hot key, merges small shuffle partitions, and joins by hash instead of sorting
-# both sides if every partition of one side was measured to be small.
+# hot key and merges small shuffle partitions. Joins sort, and so can spill.
 BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(64 * MIB),
-    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(64 * MIB),
 }
 
 
-def sizing_conf(input_bytes: int) -> dict[str, str]:
+def sizing_conf(
+    input_bytes: int,
+    *,
+    map_tasks: int = 100_000,
+    bytes_per_reducer: int = 512 * MIB,
+    least_split: int = 128 * MIB,
+    least_reducers: int = 200,
+) -> dict[str, str]:
     """Scan split and first shuffle width for a job that reads ``input_bytes``.
 
-    The number of shuffle blocks is map tasks times reduce tasks, so both are
-    bounded: splits grow to 1 GiB before the map side passes 100,000 tasks, and
-    the reduce side stops at 50,000. Adaptive execution merges what is too fine.
+    Splits grow with the input so that there are about ``map_tasks`` of them, and every
+    reducer gets ``bytes_per_reducer``, at any size. The shuffle has map tasks times
+    reducers blocks; where these become too many, more bytes per reducer are the way. Adaptive
+    execution merges what is too fine.
     """
-    split = min(max(input_bytes // 100_000, 128 * MIB), GIB)
-    reducers = min(max(-(-input_bytes // (512 * MIB)), 200), 50_000)
-    advisory = (64 if input_bytes < 1024 * GIB else 128) * MIB
+    split = max(input_bytes // map_tasks, least_split)
+    reducers = max(-(-input_bytes // bytes_per_reducer), least_reducers)
     return {
         "spark.sql.files.maxPartitionBytes": str(split),
         "spark.sql.shuffle.partitions": str(reducers),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(advisory),
-        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(advisory),
         # Merge up to the advisory size, which is also the size of the files written.
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     }

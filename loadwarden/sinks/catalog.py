@@ -1,65 +1,165 @@
 from __future__ import annotations
 
-import re
-from dataclasses import dataclass
+from collections.abc import Sequence
+from dataclasses import dataclass, field
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from loadwarden.names import checked_identifier, qualified_name
 
+# Properties that Spark keeps for itself and takes from no statement.
+_OWN_PROPERTIES = ("spark.sql.", "transient_lastDdlTime", "numFiles", "totalSize", "EXTERNAL")
+
 
 @dataclass(frozen=True)
 class _Definition:
-    """What the catalog says about a table besides its columns."""
+    """What the catalog says about a table."""
 
     kind: str
     location: str
-    partitioned: bool
+    columns: StructType
+    partitions: tuple[str, ...] = ()
+    comment: str | None = None
+    properties: dict[str, str] = field(default_factory=dict)
 
 
 def _definition(spark: SparkSession, name: str) -> _Definition:
     described = spark.sql(f"DESCRIBE FORMATTED {name}").collect()
     # The table's own columns come first and may have any name, so the last row wins.
     details = {row["col_name"]: row["data_type"] for row in described}
+    properties = {
+        row["key"]: row["value"]
+        for row in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
+        if not row["key"].startswith(_OWN_PROPERTIES)
+    }
+    database, table = (part.strip("`") for part in name.split("."))
+    columns = spark.catalog.listColumns(f"{database}.{table}")
     return _Definition(
         kind=details["Type"],
-        location=_without_scheme(details["Location"]),
-        partitioned="# Partition Information" in details,
+        location=details["Location"],
+        columns=spark.table(name).schema,
+        partitions=tuple(c.name for c in columns if c.isPartition),
+        comment=details.get("Comment"),
+        properties=properties,
     )
 
 
-def _without_scheme(path: str) -> str:
-    return re.sub(r"^\w+:/+", "/", path).rstrip("/")
+def qualified_path(spark: SparkSession, path: str) -> str:
+    """The path with the scheme and the host that the session's file systems give it."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.makeQualified(hadoop).toString().rstrip("/")
 
 
-def _fits(spark: SparkSession, name: str, definition: _Definition, path: str) -> bool:
-    return (
-        definition.location == _without_scheme(path)
-        and spark.table(name).schema == spark.read.parquet(path).schema
-    )
+def _folders(stored: DataFrame) -> tuple[str, ...]:
+    """The partition columns that the folders of the files name."""
+    files = stored.inputFiles()
+    folders = files[0].split("/")[:-1] if files else []
+    named = [unquote(folder.split("=", 1)[0]) for folder in folders if "=" in folder]
+    return tuple(name for name in named if name in stored.columns)
+
+
+def _types(schema: StructType, partitions: Sequence[str]) -> list[tuple[str, str]]:
+    """Names and types, the partition columns last, as the catalog has them."""
+    found = [(c.name, c.dataType.simpleString()) for c in schema]
+    return [c for c in found if c[0] not in partitions] + [
+        c for p in partitions for c in found if c[0] == p
+    ]
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
 
+def _column(name: str, kind: str, comments: dict[str, str]) -> str:
+    comment = f" COMMENT {_text(comments[name])}" if name in comments else ""
+    return f"`{name.replace('`', '``')}` {kind}{comment}"
 
-def publish_table(spark: SparkSession, database: str, table: str, path: str) -> DataFrame:
+
+def _create(
+    spark: SparkSession,
+    name: str,
+    path: str,
+    columns: list[tuple[str, str]],
+    partitions: Sequence[str],
+    former: _Definition | None,
+) -> None:
+    """Define the table; comments and properties of a former definition are carried over."""
+    comments = {}
+    if former is not None:
+        comments = {
+            c.name: c.metadata["comment"] for c in former.columns if c.metadata.get("comment")
+        }
+    listed = ", ".join(_column(c, kind, comments) for c, kind in columns)
+    parts = [f"CREATE TABLE {name} ({listed}) USING parquet"]
+    if partitions:
+        parts.append("PARTITIONED BY (" + ", ".join(f"`{p}`" for p in partitions) + ")")
+    parts.append(f"LOCATION {_text(path)}")
+    if former is not None and former.comment:
+        parts.append(f"COMMENT {_text(former.comment)}")
+    if former is not None and former.properties:
+        listed = ", ".join(f"{_text(k)} = {_text(v)}" for k, v in former.properties.items())
+        parts.append(f"TBLPROPERTIES ({listed})")
+    spark.sql(" ".join(parts))
+
+
+def publish_table(
+    spark: SparkSession,
+    database: str,
+    table: str,
+    path: str,
+    schema: StructType | None = None,
+    partition_by: Sequence[str] = (),
+) -> DataFrame:
     """Make the Parquet table at ``path`` readable as ``database.table``.
 
-    The catalog keeps the columns it saw when the table was created, so a
-    definition whose columns or place differ from the files is created anew.
+    ``schema`` is that of the written rows; without it, it is read from the files, and
+    partition columns have the types that their folders' names look like. A
+    definition with the same columns is pointed to the path, and added columns are added to
+    it. For other changes it is created anew, with the comments and properties it had.
     Dropping an external table leaves its files; a managed one is never dropped.
     """
     name = qualified_name(database, table)
+    if schema is None:
+        stored = spark.read.parquet(path)
+        schema, partition_by = stored.schema, _folders(stored)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{checked_identifier(database)}`")
-    definition = _definition(spark, name) if spark.catalog.tableExists(name) else None
-    if definition is not None and not _fits(spark, name, definition, path):
-        if definition.kind != "EXTERNAL":
-            raise ValueError(
-                f"{name} is a {definition.kind} table, dropping it would drop its data"
-            )
-        spark.sql(f"DROP TABLE {name}")
-        definition = None
-    if definition is None:
-        spark.catalog.createTable(name, path=path, source="parquet")
-        definition = _definition(spark, name)
-    if definition.partitioned:
+    columns = _types(schema, partition_by)
+    former = _definition(spark, name) if spark.catalog.tableExists(name) else None
+    if former is None:
+        _create(spark, name, path, columns, partition_by, None)
+    else:
+        _redefine(spark, name, path, columns, tuple(partition_by), former)
+    if partition_by:
         spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
     spark.catalog.refreshTable(name)
     return spark.table(name)
+
+
+def _redefine(
+    spark: SparkSession,
+    name: str,
+    path: str,
+    columns: list[tuple[str, str]],
+    partitions: tuple[str, ...],
+    former: _Definition,
+) -> None:
+    known = _types(former.columns, former.partitions)
+    moved = qualified_path(spark, former.location) != qualified_path(spark, path)
+    if known == columns and former.partitions == partitions and not moved:
+        return
+    if former.kind != "EXTERNAL":
+        raise ValueError(f"{name} is a {former.kind} table, dropping it would drop its data")
+    added = columns[len(known) :]
+    # The catalog keeps the place of every partition, so a partitioned table cannot just move.
+    if partitions or former.partitions or known != columns[: len(known)]:
+        spark.sql(f"DROP TABLE {name}")
+        _create(spark, name, path, columns, partitions, former)
+        return
+    if added:
+        listed = ", ".join(_column(c, kind, {}) for c, kind in added)
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({listed})")
+    if moved:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION {_text(path)}")

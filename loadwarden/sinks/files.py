@@ -3,6 +3,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def overwrite_parquet(
@@ -19,7 +20,7 @@ def overwrite_parquet(
     execution splits a partition that holds most of the rows.
     """
     if partition_by:
-        df = df.hint("rebalance", *partition_by)
+        df = _with_named_partitions(df, partition_by).hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -28,6 +29,17 @@ def overwrite_parquet(
     writer.parquet(path)
 
 
+def _with_named_partitions(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """``df``, failing on an empty text in a partition column: as a folder's name it would be NULL."""
+    types = dict(df.dtypes)
+    for name in partition_by:
+        if types[name] == "string":
+            empty = F.raise_error(F.lit(f"an empty text in the partition column {name}"))
+            column = F.col(f"`{name}`")
+            df = df.withColumn(name, F.when(column == "", empty).otherwise(column))
+    return df
+
+
 # Spark's own formats stop at milliseconds.
 _CSV_FORMATS = {
     "timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSSXXX",
@@ -35,6 +47,25 @@ _CSV_FORMATS = {
 }
 
 
-def overwrite_csv(df: DataFrame, path: str, **options: str) -> None:
-    """Replace the CSV table at ``path``, with a header line in each file."""
-    df.write.options(header=True, **{**_CSV_FORMATS, **options}).mode("overwrite").csv(path)
+# Blanks at the ends of a value are kept, and a quote in one is doubled.
+_CSV_FIDELITY = {
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+    "escape": '"',
+}
+
+
+def overwrite_csv(df: DataFrame, path: str, multiLine: bool = False, **options: str) -> None:
+    """Replace the CSV table at ``path``, with a header line in each file.
+
+    A text with a line break is an error unless ``multiLine`` is given; files with such
+    texts have to be read with ``multiLine=True``, a file per task.
+    """
+    if not multiLine:
+        for name, kind in df.dtypes:
+            if kind == "string":
+                column = F.col(f"`{name}`")
+                broken = F.raise_error(F.lit(f"a line break in the column {name}; see multiLine"))
+                df = df.withColumn(name, F.when(column.rlike("[\r\n]"), broken).otherwise(column))
+    settings = {**_CSV_FORMATS, **_CSV_FIDELITY, **options}
+    df.write.options(header=True, **settings).mode("overwrite").csv(path)

@@ -21,18 +21,27 @@ class Source:
     options: Mapping[str, str] = field(default_factory=dict)
 
 
+# What is no value stays told from an empty one; with Spark's own null value both are NULL.
+_CSV_FIDELITY = {"nullValue": "\u0000", "escape": '"'}
+_CSV_STRICT = {"enforceSchema": False, "mode": "FAILFAST"}
+
+
 def read_csv(
     spark: SparkSession, path: str, schema: StructType | str | None = None, **options: str
 ) -> DataFrame:
     """A CSV table with a header line.
 
     Without ``schema`` the types are inferred, which reads the whole input once
-    more before the query starts: give one for large inputs.
+    more before the query starts: give one for large inputs. With one, a header that
+    does not have its columns in its order and a value that is not of its type are errors.
+    A field with nothing in it is NULL, a quoted empty one is an empty text, and a quote
+    in a quoted field is doubled. ``options`` win over all of that.
     """
-    reader = spark.read.options(header=True, **options)
+    settings = {**_CSV_FIDELITY, **options}
     if schema is None:
-        return reader.csv(path, inferSchema=True)
-    return reader.csv(path, schema=schema)
+        return spark.read.options(header=True, **settings).csv(path, inferSchema=True)
+    settings = {**_CSV_STRICT, **settings}
+    return spark.read.options(header=True, **settings).csv(path, schema=schema)
 
 
 def read_headed_csv(
@@ -43,7 +52,7 @@ def read_headed_csv(
     A field with nothing in it is NULL, a quoted empty one is an empty text; with
     Spark's own null value both would be NULL.
     """
-    stored = spark.read.csv(path, header=True, nullValue="\u0000")
+    stored = spark.read.options(header=True, **_CSV_FIDELITY).csv(path)
     return stored.select(
         *(
             F.col(f"`{headings[column.name]}`").cast(column.dataType).alias(column.name)

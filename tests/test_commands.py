@@ -52,7 +52,7 @@ def test_jobs_in_order(spark, config_file, capsys):
     code, printed = run("monitor", *day)
     assert code == 0 and "Please check Data Quality log" in printed
     assert run("monitor", "--fail-on-alert", *day)[0] == 2
-    assert run("monitor", "--fail-on-alert", "--run-date", "2024-01-02")[0] == 0
+    assert run("monitor", "--fail-on-alert", "--run-date", "2024-01-02")[0] == 2
 
 
 def test_daily(spark, config_file, capsys):

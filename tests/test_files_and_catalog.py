@@ -38,6 +38,30 @@ def test_csv_with_schema_reads_nothing_before_the_query(spark, tmp_path):
     assert [tuple(r) for r in df.collect()] == [(1, "a")]
 
 
+def test_csv_header_and_values_are_held_to_the_schema(spark, tmp_path):
+    file = tmp_path / "t.csv"
+    file.write_text("name,id\nAsh,1\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv(spark, str(file), "id int, name string").collect()
+    file.write_text("id,name\n1,Ash\nx,Birch\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_csv(spark, str(file), "id int, name string").collect()
+    assert read_csv(spark, str(file), "id int, name string", mode="PERMISSIVE").count() == 2
+
+
+def test_csv_round_trip_changes_no_text(spark, rows, tmp_path):
+    texts = ["Elm ", " Elm", "", None, 'a "b", c', '"', "\\", 'x\\"y', "é,\t|", "''"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "id int, s string")
+    path = str(tmp_path / "t")
+    overwrite_csv(frame, path)
+    assert rows(read_csv(spark, path, frame.schema)) == rows(frame)
+    broken = spark.createDataFrame([(1, "a\nb"), (2, "c\r\nd")], frame.schema)
+    with pytest.raises(Exception, match="line break"):
+        overwrite_csv(broken, path)
+    overwrite_csv(broken, path, multiLine=True)
+    assert rows(read_csv(spark, path, frame.schema, multiLine=True)) == rows(broken)
+
+
 def test_csv_keeps_microseconds(spark, rows, tmp_path):
     df = spark.sql(
         "select timestamp'2024-01-01 00:00:00.123456' a, timestamp_ntz'2024-01-01 00:00:00.654321' b"
@@ -119,6 +143,21 @@ def test_partitions_follow_the_files(spark, rows, tmp_path):
     assert rows(table.select("part").distinct()) == [(1,), (2,)]
 
 
+def test_comments_and_properties_survive_a_reload(spark, rows, tmp_path):
+    old, new, other = (str(tmp_path / name) for name in ("old", "new", "other"))
+    overwrite_parquet(spark.range(3), old)
+    publish_table(spark, "db_meta", "t", old)
+    spark.sql("alter table db_meta.t set tblproperties ('owner.team' = 'a b')")
+    spark.sql("alter table db_meta.t alter column id comment 'the id'")
+    overwrite_parquet(spark.range(1).selectExpr("id", "'x' as extra"), new)
+    assert rows(publish_table(spark, "db_meta", "t", new)) == [(0, "x")]
+    overwrite_parquet(spark.range(1).selectExpr("'x' as extra", "id"), other)
+    assert rows(publish_table(spark, "db_meta", "t", other)) == [("x", 0)]
+    properties = {r["key"]: r["value"] for r in spark.sql("show tblproperties db_meta.t").collect()}
+    assert properties["owner.team"] == "a b"
+    assert spark.table("db_meta.t").schema["id"].metadata["comment"] == "the id"
+
+
 def test_managed_table_is_never_dropped(spark, tmp_path):
     spark.sql("create database if not exists db_managed")
     spark.range(1).write.mode("overwrite").saveAsTable("db_managed.t")
@@ -144,14 +183,16 @@ def test_missing_table_is_an_error(spark, tmp_path):
 
 def test_scratch_goes_to_the_shared_folder():
     cluster = SimpleNamespace(
-        conf={"spark.master": "yarn", "spark.checkpoint.dir": "hdfs:///shared/"}
+        conf={"spark.master": "yarn", "spark.checkpoint.dir": "hdfs:///shared/"},
+        sparkContext=SimpleNamespace(applicationId="app-1"),
     )
     one, two = scratch_path(cluster, "x"), scratch_path(cluster, "x")
-    assert one.startswith("hdfs:///shared/loadwarden-x-") and one != two
+    assert one.startswith("hdfs:///shared/loadwarden-app-1/x-") and one != two
 
 
 def test_scratch_is_machine_local_only_in_a_local_session():
-    local = SimpleNamespace(conf={"spark.master": "local[4]"})
+    application = SimpleNamespace(applicationId="app-1")
+    local = SimpleNamespace(conf={"spark.master": "local[4]"}, sparkContext=application)
     assert scratch_path(local, "x").startswith(tempfile.gettempdir())
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch_path(SimpleNamespace(conf={"spark.master": "yarn"}), "x")

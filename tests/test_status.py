@@ -4,12 +4,14 @@ import datetime as dt
 
 import pytest
 
+from loadwarden.labels import ALERT_MISSING
 from loadwarden.operators import (
     failing_rows,
     load_alert,
     merge_ledger,
     status_gate,
     status_rollup,
+    with_missing,
 )
 from loadwarden.sinks import append_ledger, write_ledger_csv, write_results
 from loadwarden.sources import read_ledger, read_ledger_csv, read_results
@@ -117,7 +119,25 @@ def test_alert_takes_the_exact_case_and_an_empty_ledger(spark, rows):
     assert rows(load_alert(ledger_of(spark, ("t", "fail", "UnitTest", DAY1)))) == [
         (False, 0, PASSED)
     ]
+    # Nothing was expected of this ledger; what is expected and missing alerts.
     assert rows(load_alert(ledger_of(spark))) == [(False, 0, PASSED)]
+    watched = with_missing(ledger_of(spark), [("t", "UnitTest"), ("t", "DataQuality")], DAY1)
+    assert rows(load_alert(watched)) == [(True, 2, ALERT_MISSING)]
+    assert rows(failing_rows(watched)) == [
+        ("t", "MISSING", "DataQuality", DAY1),
+        ("t", "MISSING", "UnitTest", DAY1),
+    ]
+
+
+def test_what_is_missing_of_a_day(spark, rows):
+    ledger = ledger_of(spark, ("t", "PASS", "UnitTest", DAY1), ("u", "FAIL", "UnitTest", DAY2))
+    expected = [("t", "UnitTest"), ("u", "UnitTest")]
+    assert rows(with_missing(ledger, expected)) == rows(ledger)
+    assert rows(with_missing(ledger, expected, DAY1)) == [
+        ("t", "PASS", "UnitTest", DAY1),
+        ("u", "MISSING", "UnitTest", DAY1),
+    ]
+    assert rows(load_alert(with_missing(ledger, expected, DAY2))) == [(True, 2, FAILED)]
 
 
 def test_one_day_reads_one_partition(spark, tmp_path):
