@@ -10,6 +10,7 @@ Texts with runs of white space or with zero characters are cut more carefully.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from array import array
@@ -22,12 +23,16 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a task pe
 from tokenizers import Tokenizer  # noqa: E402
 
 #: Pieces that a worker remembers before it drops the rarer ones; about 200 bytes each.
-WORDS_KEPT = 400_000
+WORDS_KEPT = 700_000
 
 _SPACE = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 _ODD = rf"\x00|^ |{_SPACE} | {_SPACE}| $"
-_WORD_END = r"(\pL)([!-/:-@\[-`{-~])"
+#: Latin and Cyrillic letters that stay one letter when a tokenizer composes or lowers them.
+_LETTER = r"[A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{12f}\x{131}-\x{24f}\x{400}-\x{45f}]"
+_WORD_END = rf"({_LETTER})([!-/:-@\[-`{{-~])"
 _LINE_END = r"([\pL\pN!-~])\n([\pL\pN!-~])"
+#: In a text without these, no characters combine and each has one lower-case form.
+_NOT_SIMPLE = r"[\x{130}\x{300}-\x{10ffff}]"
 _BETWEEN = re.compile(r"(?<=\S)(?= \S)")
 
 
@@ -38,6 +43,8 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.words_kept = words_kept
+        # A tokenizer that lowers its input needs one entry for all ways to write a piece.
+        self.lowers = '"Lowercase"' in json.dumps(json.loads(self.tokenizer.to_str())["normalizer"])
         self._start()
 
     @property
@@ -71,7 +78,7 @@ class WordTokenizer:
         """All ids one after the other, and where each text's ids start (one more than texts)."""
         if len(self.starts) > self.words_kept:
             self._forget_rare()
-        cut = _cut(texts)
+        cut = _cut(texts, self.lowers)
         coded = cut.flatten().dictionary_encode()
         pieces = coded.dictionary.to_pylist()
         new = [piece for piece in pieces if piece not in self.numbers]
@@ -92,9 +99,12 @@ class WordTokenizer:
         return ids, ends[offsets - offsets[0]]
 
 
-def _cut(texts: pa.Array) -> pa.Array:
+def _cut(texts: pa.Array, lower: bool) -> pa.Array:
     """Each text as a list of pieces that are encoded on their own."""
     texts = texts.cast(pa.large_string()).fill_null("")
+    if lower:
+        keep = pc.match_substring_regex(texts, _NOT_SIMPLE)
+        texts = pc.if_else(keep, texts, pc.utf8_lower(pc.if_else(keep, "", texts)))
     odd = pc.match_substring_regex(texts, _ODD)
     plain = pc.if_else(odd, "", texts)
     plain = pc.replace_substring_regex(plain, _WORD_END, "\\1\x00\\2")
