@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadwarden.llm.rows import arrow_map
+from loadwarden.llm.rows import arrow_map, stored
 
 
 def block_pairs(rows: DataFrame, group: str, row: str, block: int) -> DataFrame:
@@ -18,12 +18,16 @@ def block_pairs(rows: DataFrame, group: str, row: str, block: int) -> DataFrame:
     A group of at most ``block`` rows is one block, paired with itself. A larger one is
     dealt by a hash of ``row`` to blocks, all of which are paired; ``_own`` is a row's block.
     """
-    sizes = rows.groupBy(group).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    shares = F.ceil(F.col("_n") / block).cast("int")
+    shares = F.ceil(F.col("_n") / block).cast("int").alias("_blocks")
+    # Stored, so that Spark may split the partition of a hot group in the join.
+    sizes = stored(
+        rows.groupBy(group).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(group, shares),
+        "sizes",
+    )
     own = F.pmod(F.xxhash64(F.lit(7), row), F.col("_blocks")).cast("int")
     other = F.explode(F.expr("sequence(0, _blocks - 1)"))
     return (
-        rows.join(sizes.select(group, shares.alias("_blocks")), group)
+        rows.join(sizes, group)
         .withColumn("_own", own)
         .withColumn("_other", other)
         .withColumn("_i", F.least("_own", "_other"))

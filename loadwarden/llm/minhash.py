@@ -141,7 +141,10 @@ def _posted(classes: DataFrame) -> DataFrame:
         classes.select("node", "signature", F.explode(F.sequence(F.lit(0), F.lit(COORDINATES - 1))).alias("k"))
         .select("node", (F.col("k").cast("long") * (1 << 32) + value).alias("posting"))
     )
-    shared = postings.groupBy("posting").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Stored, so that Spark may split the partition of a hot posting in the join.
+    shared = stored(
+        postings.groupBy("posting").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared"
+    )
     own = (
         postings.join(shared, "posting")
         .groupBy("node")
@@ -163,7 +166,10 @@ def candidates(classes: DataFrame) -> DataFrame:
         F.bit_xor(F.xxhash64("node")).alias("x"),
         F.bit_xor(F.xxhash64(F.lit(3), "node")).alias("y"),
     )
-    once = lists.where("n > 1").groupBy("n", "x", "y").agg(F.min("posting").alias("posting")).select("posting")
+    once = stored(
+        lists.where("n > 1").groupBy("n", "x", "y").agg(F.min("posting").alias("posting")).select("posting"),
+        "lists",
+    )
     rows = posted.join(once, "posting").join(classes.select("node", "signature", "n_shingles"), "node")
     paired = block_pairs(rows, "posting", "node", LIST_BLOCK)
 

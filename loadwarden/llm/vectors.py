@@ -316,7 +316,10 @@ def near_vectors(vectors: DataFrame, least: float = 0.9) -> DataFrame:
     posted = stored(_posted(classes, _fitted(classes, least), least), "posted")
     found = stored(_within_cells(posted, least).union(_around_cores(posted, least)), "links")
     # A core's classes are all linked: their number is counted, and each is tied to the first one.
-    cores = posted.where("core >= 0").groupBy("core").agg(F.sum("n").alias("all"), F.min("node").alias("first"))
+    cores = stored(
+        posted.where("core >= 0").groupBy("core").agg(F.sum("n").alias("all"), F.min("node").alias("first")),
+        "cores",
+    )
     in_core = posted.where("core >= 0").select("core", "node", "n").join(cores, "core")
     links = (
         found.where("b is null")
