@@ -82,14 +82,24 @@ def _unit(value: pa.Scalar) -> bytes | None:
     return (x / math.sqrt(float(x @ x)) + 0.0).astype("<f8").tobytes()
 
 
+def _step(cells: int) -> int:
+    """Rows whose products with all cells are a few megabytes."""
+    return max(1, (1 << 20) // max(1, cells))
+
+
+def _nearest(x: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+    step = _step(len(centroids))
+    return np.concatenate(
+        [(x[a : a + step] @ centroids.T).argmax(axis=1) for a in range(0, len(x), step)]
+    )
+
+
 def spherical_kmeans(sample: np.ndarray, cells: int, least: float, seed: int = SEED) -> np.ndarray:
     """Unit centroids; of those with a cosine of ``least`` or more to an earlier one none is left."""
     rng = np.random.default_rng(seed)
     centroids = sample[rng.choice(len(sample), min(cells, len(sample)), replace=False)]
     for _ in range(ROUNDS):
-        nearest = np.concatenate(
-            [(sample[a : a + 4096] @ centroids.T).argmax(axis=1) for a in range(0, len(sample), 4096)]
-        )
+        nearest = _nearest(sample, centroids)
         sums = np.zeros_like(centroids)
         np.add.at(sums, nearest, sample)
         norms = np.linalg.norm(sums, axis=1)
@@ -102,14 +112,16 @@ def spherical_kmeans(sample: np.ndarray, cells: int, least: float, seed: int = S
             left[i + 1 :] &= ~near
     # A merged group's centroid moves to the middle of all that lies there now.
     centroids = centroids[left]
-    nearest = np.concatenate(
-        [(sample[a : a + 4096] @ centroids.T).argmax(axis=1) for a in range(0, len(sample), 4096)]
-    )
+    nearest = _nearest(sample, centroids)
     close = (sample * centroids[nearest]).sum(axis=1) >= least
     sums = centroids * 1e-6
     np.add.at(sums, nearest[close], sample[close])
     moved = sums / np.linalg.norm(sums, axis=1, keepdims=True)
-    apart = np.abs(moved @ moved.T - np.eye(len(moved))).max(axis=1) < least
+    step, apart = _step(len(moved)), np.empty(len(moved), bool)
+    for a in range(0, len(moved), step):
+        near = moved[a : a + step] @ moved.T
+        near[np.arange(len(near)), a + np.arange(len(near))] = -1
+        apart[a : a + step] = near.max(axis=1) < least
     return np.where(apart[:, None], moved, centroids)
 
 
@@ -154,10 +166,11 @@ def _posted(classes: DataFrame, centroids: dict[int, np.ndarray], least: float)
                     for r in rows.tolist():
                         cells[r], shells[r] = [base], []
                     continue
-                for a in range(0, len(rows), 1024):
-                    near = x[a : a + 1024] @ middle.T
+                step = _step(len(middle))
+                for a in range(0, len(rows), step):
+                    near = x[a : a + step] @ middle.T
                     order = np.argsort(-near, axis=1, kind="stable")[:, :PROBES]
-                    for k, r in enumerate(rows[a : a + 1024].tolist()):
+                    for k, r in enumerate(rows[a : a + step].tolist()):
                         best = int(order[k, 0])
                         if near[k, best] >= inner:
                             core[r], cells[r] = base + best, []
