@@ -197,4 +197,4 @@ def keep_good(docs: DataFrame, model: QualityModel, least: float = 0.5) -> DataF
         for batch in pieces(batches, 2 << 20):
             yield batch.filter(pa.array(scorer.scores(batch.column(at).to_pylist()) >= least))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return arrow_map(docs, keep, docs.schema)

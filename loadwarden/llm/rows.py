@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+import ctypes
+from collections.abc import Callable, Hashable, Iterable, Iterator
+from typing import Any
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from loadwarden.scratch import scratch_path
 
@@ -55,9 +59,45 @@ def unpacked(
 
 
 def arrow_map(
-    df: DataFrame, function: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
+    df: DataFrame,
+    function: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+    schema: str | StructType,
 ) -> DataFrame:
-    return df.mapInArrow(function, schema)
+    """``df`` through ``function`` in each task; a worker gives its free memory back after it.
+
+    Workers live on from task to task, and their libraries would keep what they freed.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _same_stage()
+        yield from function(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+    return df.mapInArrow(run, schema)
+
+
+#: What a worker keeps from task to task of one stage, and the number of that stage.
+_KEPT: dict[Hashable, Any] = {}
+_STAGE: list[int | None] = [None]
+
+
+def _same_stage() -> None:
+    context = TaskContext.get()
+    stage = None if context is None else context.stageId()
+    if _STAGE[0] != stage:
+        _KEPT.clear()
+        _STAGE[0] = stage
+
+
+def kept_in_stage(key: Hashable, make: Callable[[], Any]) -> Any:
+    """What ``make`` gives, made once per worker and stage."""
+    _same_stage()
+    if key not in _KEPT:
+        _KEPT[key] = make()
+    return _KEPT[key]
 
 
 def hash_fraction(key: Column, fraction: float, seed: int) -> Column:

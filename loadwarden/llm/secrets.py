@@ -131,7 +131,7 @@ def redact_secrets(docs: DataFrame, rules: Sequence[Rule] = RULES, mask: str = "
                     columns[names.index("n_chars")] = pa.array(sizes, old.type)
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
 
-    return docs.mapInArrow(redact, docs.schema)
+    return arrow_map(docs, redact, docs.schema)
 
 
 def _masked(text: str | None, spans: list[tuple[int, int, int]], mask: str) -> str | None:

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from loadwarden.llm.rows import ROW_ID, packed, pieces, row_id, stored, unpacked
+from loadwarden.llm.rows import ROW_ID, arrow_map, packed, pieces, row_id, stored, unpacked
 
 LEAST_WORDS = 20
 _UNIT = re.compile(r"[^\n]*?(?:[.!?…]+[\"')\]»”]*(?=\s)|(?=\n)|\Z)")
@@ -75,7 +75,8 @@ def hashed_units(rows: DataFrame) -> DataFrame:
             )
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.select(ROW_ID, "doc_id", "text").mapInArrow(
+    return arrow_map(
+        rows.select(ROW_ID, "doc_id", "text"),
         split,
         f"{ROW_ID} bigint, doc_id {kind}, unit int, start int, end int, words int, digest binary",
     )
@@ -87,11 +88,13 @@ def _repeats(rows: DataFrame, least_words: int) -> DataFrame:
     rank = F.struct(
         F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), ROW_ID, "unit", "start"
     )
-    firsts = (
+    # Stored, so that the join has two shuffles of its own and Spark may split a hot digest's partition.
+    firsts = stored(
         found.groupBy("digest")
         .agg(F.count(F.lit(1)).alias("_n"), F.min(rank).alias("first"))
         .where("_n > 1")
-        .select("digest", "first")
+        .select("digest", "first"),
+        "repeated",
     )
     again = found.join(firsts, "digest").where(
         (F.col(ROW_ID) != F.col(f"first.{ROW_ID}")) | (F.col("unit") != F.col("first.unit"))

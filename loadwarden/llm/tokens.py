@@ -22,8 +22,10 @@ import pyarrow.compute as pc
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a task per core already
 from tokenizers import Tokenizer  # noqa: E402
 
+from loadwarden.llm.rows import kept_in_stage  # noqa: E402
+
 #: Pieces that a worker remembers before it drops the rarer ones; about 200 bytes each.
-WORDS_KEPT = 700_000
+WORDS_KEPT = 500_000
 
 _SPACE = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 _ODD = rf"\x00|^ |{_SPACE} | {_SPACE}| $"
@@ -119,14 +121,9 @@ def _cut(texts: pa.Array, lower: bool) -> pa.Array:
     return pa.concat_arrays([cut, careful]).take(pa.array(place))
 
 
-_LOADED: dict[str, WordTokenizer] = {}
-
-
 def loaded(path: str) -> WordTokenizer:
-    """This worker's tokenizer, with what it remembers from earlier tasks."""
-    if path not in _LOADED:
-        _LOADED[path] = WordTokenizer(path)
-    return _LOADED[path]
+    """This worker's tokenizer, with what it remembers from earlier tasks of the stage."""
+    return kept_in_stage(path, lambda: WordTokenizer(path))
 
 
 def with_end(ids: np.ndarray, bounds: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
