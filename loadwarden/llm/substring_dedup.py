@@ -10,8 +10,9 @@ text keeps its own characters, and removed ranges are given by original offsets.
 
 Digests are counted before they are shuffled, and only those met twice are
 joined with their units, so a unit in very many documents is one row per task
-before that join, whose partitions Spark may split. Units of one document only
-meet in a window. The digests have 128 bits.
+in the count. In the join its rows stream through one task, sorted and spilled,
+and are not held there. Units of one document only meet in a window. The digests
+have 128 bits.
 
 Cases: null and empty texts have no units; units without a letter or digit are
 no units, and neither repeat nor part a run; repeats inside one document count;
@@ -88,13 +89,11 @@ def _repeats(rows: DataFrame, least_words: int) -> DataFrame:
     rank = F.struct(
         F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), ROW_ID, "unit", "start"
     )
-    # Stored, so that the join has two shuffles of its own and Spark may split a hot digest's partition.
-    firsts = stored(
+    firsts = (
         found.groupBy("digest")
         .agg(F.count(F.lit(1)).alias("_n"), F.min(rank).alias("first"))
         .where("_n > 1")
-        .select("digest", "first"),
-        "repeated",
+        .select("digest", "first")
     )
     again = found.join(firsts, "digest").where(
         (F.col(ROW_ID) != F.col(f"first.{ROW_ID}")) | (F.col("unit") != F.col("first.unit"))
