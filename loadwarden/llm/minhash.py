@@ -3,8 +3,8 @@
 A document's set are the digests of its runs of five words. Documents with the
 same words are one class, and only a class's first document goes on. Every
 signature coordinate and value is a posting list. Pairs that are to share at
-least ``MATCHES`` coordinates must share one of any ``COORDINATES - MATCHES + 1``
-of them, so a document is posted under its rarest values only (the prefix);
+least ``m`` coordinates, as many as ``least_matches`` gives for the similarity asked
+for, must share one of any ``COORDINATES - m + 1`` of them, so a document is posted under its rarest values only (the prefix);
 values of its own need no posting, and lists with the same members are merged
 once. Within a list, signatures are compared in blocks, and of the pairs above
 the match threshold those that connect their documents are kept (the skip).
@@ -25,6 +25,7 @@ without documents there is no result; columns besides doc_id and text play no pa
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -40,14 +41,20 @@ from loadwarden.llm.rows import arrow_map, pieces, stored
 
 WIDTH = 5
 COORDINATES = 64
-#: Expected are 54.4 at a similarity of 0.85; this is five standard deviations less.
-MATCHES = 40
+#: The least similarity of a link, as a fraction.
+SIMILAR = (85, 100)
 LIST_BLOCK = 512
 SET_BLOCK = 256
 _MIX = np.random.default_rng(11).integers(0, 1 << 63, (2, COORDINATES), dtype=np.uint64) | np.uint64(1)
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
 
+def least_matches(similar: tuple[int, int]) -> int:
+    """Equal coordinates expected at this similarity, less five standard deviations: 40 at 0.85, 35 at 0.8."""
+    share = similar[0] / similar[1]
+    return max(1, math.floor(COORDINATES * share - 5 * math.sqrt(COORDINATES * share * (1 - share))))
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(32))) * _ODD[3]
     return x ^ (x >> np.uint64(29))
@@ -133,9 +140,9 @@ def signed(docs: DataFrame) -> DataFrame:
     )
 
 
-def _posted(classes: DataFrame) -> DataFrame:
+def _posted(classes: DataFrame, matches: int) -> DataFrame:
     """(posting, node): every class under those of its rarest values that others have as well."""
-    prefix = COORDINATES - MATCHES + 1
+    prefix = COORDINATES - matches + 1
     value = F.conv(F.hex(F.expr("reverse(substring(signature, 4 * k + 1, 4))")), 16, 10).cast("long")
     postings = (
         classes.select("node", "signature", F.explode(F.sequence(F.lit(0), F.lit(COORDINATES - 1))).alias("k"))
@@ -155,9 +162,9 @@ def _posted(classes: DataFrame) -> DataFrame:
 
 
 
-def candidates(classes: DataFrame) -> DataFrame:
-    """Edges (a, b) that connect every pair of classes with at least ``MATCHES`` equal coordinates."""
-    posted = stored(_posted(classes.select("node", "signature")), "posted")
+def candidates(classes: DataFrame, similar: tuple[int, int] = SIMILAR) -> DataFrame:
+    """Edges (a, b) that connect every pair of classes with ``least_matches`` equal coordinates or more."""
+    posted = stored(_posted(classes.select("node", "signature"), least_matches(similar)), "posted")
     lists = posted.groupBy("posting").agg(
         F.count(F.lit(1)).alias("n"),
         F.bit_xor(F.xxhash64("node")).alias("x"),
@@ -169,7 +176,7 @@ def candidates(classes: DataFrame) -> DataFrame:
 
     def compare(table: pa.Table) -> pa.RecordBatch | None:
         nodes, own, sizes, marks = _columns(table)
-        i, j = _pairs(own, sizes, marks)
+        i, j = _pairs(own, sizes, marks, similar)
         merger = Merger(len(nodes))
         kept = [k for k, (x, y) in enumerate(zip(i.tolist(), j.tolist())) if merger.join(x, y)]
         return _edges(nodes[i[kept]], nodes[j[kept]])
@@ -184,7 +191,9 @@ def _columns(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     return table["node"].to_numpy(), table["_own"].to_numpy(), table["n_shingles"].to_numpy(), marks
 
 
-def _pairs(own: np.ndarray, sizes: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _pairs(
+    own: np.ndarray, sizes: np.ndarray, marks: np.ndarray, similar: tuple[int, int]
+) -> tuple[np.ndarray, np.ndarray]:
     """Pairs across the two blocks, or within the one, that agree and whose sizes allow a link.
 
     The most similar ones come first.
@@ -196,7 +205,7 @@ def _pairs(own: np.ndarray, sizes: np.ndarray, marks: np.ndarray) -> tuple[np.nd
         counts += marks[first, k][:, None] == marks[second, k][None, :]
     small = np.minimum(sizes[first][:, None], sizes[second][None, :])
     large = np.maximum(sizes[first][:, None], sizes[second][None, :])
-    fits = (counts >= MATCHES) & (100 * small >= 85 * large)
+    fits = (counts >= least_matches(similar)) & (similar[1] * small >= similar[0] * large)
     if own.min() == own.max():
         fits = np.triu(fits, 1)
     i, j = np.nonzero(fits)
@@ -244,7 +253,7 @@ def confirmed(docs: DataFrame, classes: DataFrame, groups: DataFrame, similar: t
         nodes, own, sizes, marks = _columns(table)
         digests = [np.frombuffer(x, np.uint64) for x in table["digests"].to_pylist()]
         merger, kept = Merger(len(nodes)), []
-        i, j = _pairs(own, sizes, marks)
+        i, j = _pairs(own, sizes, marks, similar)
         for x, y in zip(i.tolist(), j.tolist()):
             if merger.find(x) == merger.find(y):
                 continue
@@ -266,8 +275,8 @@ def confirmed(docs: DataFrame, classes: DataFrame, groups: DataFrame, similar: t
     )
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of each document, linked at 0.85 or more."""
+def near_duplicates(docs: DataFrame, similar: tuple[int, int] = SIMILAR) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of each document, linked at ``similar`` or more."""
     rows = stored(signed(docs), "signed")
     with_set = rows.where("n_shingles > 0")
     classes = stored(
@@ -280,8 +289,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .where("node is not null"),
         "classes",
     )
-    groups = components(candidates(classes))
-    links = confirmed(docs, classes, groups, (85, 100))
+    groups = components(candidates(classes, similar))
+    links = confirmed(docs, classes, groups, similar)
     # Documents of a class are linked with its first one, also if their doc_id has other rows.
     copies = with_set.select("doc_id", "key").join(classes.select("key", "node"), "key")
     edges = links.union(copies.where("doc_id <> node").select("doc_id", "node"))
@@ -298,10 +307,10 @@ def _kept() -> Column:
     return F.coalesce(F.coalesce("component", "doc_id") == F.col("doc_id"), F.lit(True))
 
 
-def drop_near_duplicates(docs: DataFrame) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, similar: tuple[int, int] = SIMILAR) -> DataFrame:
     """The documents, unchanged, of which no near-duplicate with a smaller doc_id is linked.
 
     Of several rows with a kept doc_id all stay: they are one document to the graph.
     """
-    gone = near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
+    gone = near_duplicates(docs, similar).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")

@@ -105,6 +105,28 @@ def test_dropping_near_duplicates_keeps_the_rest(make_docs):
     assert minhash.drop_near_duplicates(docs.limit(0)).collect() == []
 
 
+def test_links_from_four_fifths_on(make_docs):
+    rng, rows, between = random.Random(12), [], 0
+    for i in range(60):  # one pair each, whose similarity lies between 0.74 and 0.9
+        base = words(rng, 150)
+        new = list(base)
+        for at in rng.sample(range(8), rng.randint(2, 5)):
+            new[10 + 17 * at] = "changed"
+        pair = [(2 * i, " ".join(base)), (2 * i + 1, " ".join(new))]
+        a, b = (_shingles(text) for _, text in pair)
+        between += 80 <= 100 * len(a & b) / len(a | b) < 85
+        rows += pair
+    gone = set()
+    for (i, x), (j, y) in zip(rows[::2], rows[1::2]):
+        a, b = _shingles(x), _shingles(y)
+        if 100 * len(a & b) >= 80 * len(a | b):
+            gone.add(j)
+    assert between >= 10 and len(gone) < 60
+    kept = minhash.drop_near_duplicates(make_docs(rows), (80, 100))
+    assert {r.doc_id for r in kept.collect()} == {i for i, _ in rows} - gone
+    assert minhash.least_matches((85, 100)) == 40 and minhash.least_matches((80, 100)) == 35
+
+
 def test_equal_doc_ids_are_one_document(make_docs):
     rows = [(3, "a b c d e f g"), (3, "p q r s t u v"), (5, "a b c d e f g"), (4, "p q r s t u v")]
     found = minhash.near_duplicates(make_docs(rows)).collect()
