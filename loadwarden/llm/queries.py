@@ -37,8 +37,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @_query()
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The passages of all documents that repeat earlier ones, unit by unit."""
-    return substring_dedup.find_repeats(_table(spark, sf_dir, "documents"))
+    """The passages and whole lines of all documents that repeat earlier ones, unit by unit."""
+    return substring_dedup.find_repeats(_table(spark, sf_dir, "documents"), whole_lines=True)
 
 
 @_query(SECRETS_SQL)

@@ -5,8 +5,9 @@ alone, single blanks) and stands under its digest; over all documents the
 earliest occurrence of a digest, by doc_id and place, is kept and every other
 one is a repeat. Repeats next to each other make up a run, and runs with at
 least ``least_words`` words are removed: a passage goes whose sentences occurred
-before, wherever it stands in its line, while single common phrases stay. Kept
-text keeps its own characters, and removed ranges are given by original offsets.
+before, wherever it stands in its line, while single common phrases stay. With
+``whole_lines`` a line that repeats an earlier whole line goes as well, however
+short it is. Kept text keeps its own characters, and removed ranges are given by original offsets.
 
 Digests are counted before they are shuffled, and only those met twice are
 joined with their units, so a unit in very many documents is one row per task
@@ -25,20 +26,27 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterable, Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loadwarden.llm.rows import ROW_ID, arrow_map, packed, pieces, row_id, stored, unpacked
 
 LEAST_WORDS = 20
+#: Kinds of hashed parts: a sentence among others of its line, one that is its line, and a line of several.
+UNIT, WHOLE, LINE = 0, 1, 2
 _UNIT = re.compile(r"[^\n]*?(?:[.!?…]+[\"')\]»”]*(?=\s)|(?=\n)|\Z)")
 _WORDS = re.compile(r"[^\W_]+")
 
 
+def _digest(words: list[str]) -> bytes:
+    return hashlib.blake2b(" ".join(words).encode(), digest_size=16).digest()
+
+
 def units(text: str) -> list[tuple[int, int, int, bytes]]:
     """(start, end, words, digest) of each unit; code points, end exclusive."""
     found = []
@@ -46,64 +54,98 @@ def units(text: str) -> list[tuple[int, int, int, bytes]]:
         words = _WORDS.findall(match.group().lower())
         if words:
             start = match.end() - len(match.group().lstrip())
-            digest = hashlib.blake2b(" ".join(words).encode(), digest_size=16).digest()
-            found.append((start, match.end(), len(words), digest))
+            found.append((start, match.end(), len(words), _digest(words)))
     return found
 
 
-def hashed_units(rows: DataFrame) -> DataFrame:
-    """A row per unit of rows with a row number, doc_id and text; ``unit`` counts within the text."""
+def _lines(text: str, found: list[tuple]) -> list[int]:
+    """The number of each unit's line."""
+    numbers, line, last = [], 0, 0
+    for start, *_ in found:
+        line += text.count("\n", last, start)
+        last = start
+        numbers.append(line)
+    return numbers
+
+
+def _parts(text: str, whole_lines: bool) -> list[tuple]:
+    """(kind, unit, line, start, end, words, digest) of the units, and of lines of several ones."""
+    found = units(text)
+    lines = _lines(text, found) if whole_lines else [0] * len(found)
+    parts = [(UNIT, k, line, *u) for k, (line, u) in enumerate(zip(lines, found))]
+    if whole_lines:
+        for line, group in groupby(range(len(found)), lines.__getitem__):
+            of_line = list(group)
+            first, last = of_line[0], of_line[-1]
+            if first == last:
+                parts[first] = (WHOLE, *parts[first][1:])
+                continue
+            start, end = found[first][0], found[last][1]
+            words = _WORDS.findall(text[start:end].lower())
+            parts.append((LINE, first, line, start, end, len(words), _digest(words)))
+    return parts
+
+
+def hashed_units(rows: DataFrame, whole_lines: bool = False) -> DataFrame:
+    """A row per unit, and line if asked for, of rows with a row number, doc_id and text.
+
+    ``unit`` counts within the text; a line has the number of its first unit.
+    """
+    names = ["kind", "unit", "line", "start", "end", "words", "digest"]
 
     def split(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, 2 << 20):
-            found = [units(t) if t else [] for t in batch.column("text").to_pylist()]
-            sizes = np.array([len(u) for u in found], np.int64)
+            found = [_parts(t, whole_lines) if t else [] for t in batch.column("text").to_pylist()]
+            owner = pa.array(np.repeat(np.arange(len(found)), [len(u) for u in found]).astype(np.int64))
             flat = [u for of_text in found for u in of_text]
-            owner = pa.array(np.repeat(np.arange(len(found)), sizes))
-            place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            start, end, words, digest = zip(*flat) if flat else ((), (), (), ())
+            values = zip(*flat) if flat else [()] * len(names)
             columns = [
                 batch.column(ROW_ID).take(owner),
                 batch.column("doc_id").take(owner),
-                pa.array(place, pa.int32()),
-                pa.array(start, pa.int32()),
-                pa.array(end, pa.int32()),
-                pa.array(words, pa.int32()),
-                pa.array(digest, pa.binary()),
+                *(pa.array(v, pa.binary() if n == "digest" else pa.int32()) for n, v in zip(names, values)),
             ]
-            yield pa.RecordBatch.from_arrays(
-                columns, [ROW_ID, "doc_id", "unit", "start", "end", "words", "digest"]
-            )
+            yield pa.RecordBatch.from_arrays(columns, [ROW_ID, "doc_id", *names])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return arrow_map(
         rows.select(ROW_ID, "doc_id", "text"),
         split,
-        f"{ROW_ID} bigint, doc_id {kind}, unit int, start int, end int, words int, digest binary",
+        f"{ROW_ID} bigint, doc_id {kind}, kind int, unit int, line int, start int, end int, words int, digest binary",
     )
 
 
-def _repeats(rows: DataFrame, least_words: int) -> DataFrame:
-    """The units of rows that go, each with the occurrence that is kept in its place."""
-    found = stored(hashed_units(rows), "units")
+def _repeats(rows: DataFrame, least_words: int, whole_lines: bool) -> DataFrame:
+    """The units, and whole lines, of rows that go, each with the occurrence that is kept in its place."""
+    found = stored(hashed_units(rows, whole_lines), "units")
     rank = F.struct(
         F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), ROW_ID, "unit", "start"
     )
+    of_line = F.col("kind").isin(LINE, WHOLE)
+    # A line is held against earlier whole lines, also where one sentence is all of it.
+    first_line = F.min(F.when(of_line, rank))
     firsts = (
         found.groupBy("digest")
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(rank).alias("first"))
+        .agg(F.count(F.lit(1)).alias("_n"), F.min(rank).alias("first"), first_line.alias("first_line"))
         .where("_n > 1")
-        .select("digest", "first")
+        .select("digest", "first", "first_line")
     )
-    again = found.join(firsts, "digest").where(
-        (F.col(ROW_ID) != F.col(f"first.{ROW_ID}")) | (F.col("unit") != F.col("first.unit"))
-    )
-    in_order = W.partitionBy(ROW_ID).orderBy("unit")
-    run = W.partitionBy(ROW_ID, "_run")
+
+    def later(than: str) -> Column:
+        return (F.col(ROW_ID) != F.col(f"{than}.{ROW_ID}")) | (F.col("unit") != F.col(f"{than}.unit"))
+
+    again = found.join(firsts, "digest").where(later("first"))
+    is_unit = F.col("kind").isin(UNIT, WHOLE)
+    in_order = W.partitionBy(ROW_ID).orderBy("unit", "kind")
+    n_units = F.sum(is_unit.cast("int")).over(in_order)
+    n_words = F.sum(F.when(is_unit, F.col("words"))).over(W.partitionBy(ROW_ID, "_run"))
+    line_goes = F.max(of_line & later("first_line")).over(W.partitionBy(ROW_ID, "line"))
+    # A line that goes is one row, in place of its units.
+    goes = F.when(F.col("_line"), of_line).otherwise(is_unit & (F.col("_words") >= least_words))
     return (
-        again.withColumn("_run", F.col("unit") - F.row_number().over(in_order))
-        .withColumn("_words", F.sum("words").over(run))
-        .where(F.col("_words") >= least_words)
+        again.withColumn("_run", F.col("unit") - n_units)
+        .withColumn("_words", n_words)
+        .withColumn("_line", F.coalesce(line_goes, F.lit(False)) if whole_lines else F.lit(False))
+        .where(goes)
         .select(
             ROW_ID,
             "doc_id",
@@ -111,22 +153,22 @@ def _repeats(rows: DataFrame, least_words: int) -> DataFrame:
             "start",
             "end",
             "words",
-            F.col("first.doc_id").alias("first_doc_id"),
-            F.col("first.start").alias("first_start"),
+            F.when(F.col("_line"), F.col("first_line.doc_id")).otherwise(F.col("first.doc_id")).alias("first_doc_id"),
+            F.when(F.col("_line"), F.col("first_line.start")).otherwise(F.col("first.start")).alias("first_start"),
         )
     )
 
 
-def find_repeats(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
+def find_repeats(docs: DataFrame, least_words: int = LEAST_WORDS, whole_lines: bool = False) -> DataFrame:
     """The units to remove: doc_id, place in the text, and where the kept occurrence is."""
     rows = docs.select(row_id().alias(ROW_ID), "doc_id", "text")
-    return _repeats(rows, least_words).drop(ROW_ID)
+    return _repeats(rows, least_words, whole_lines).drop(ROW_ID)
 
 
-def remove_repeats(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
+def remove_repeats(docs: DataFrame, least_words: int = LEAST_WORDS, whole_lines: bool = False) -> DataFrame:
     """The documents without the repeats, and ``removed_ranges``: where they were (start, end)."""
     kept = stored(packed(docs), "documents")
-    gone = _repeats(kept.select(ROW_ID, "doc.doc_id", "doc.text"), least_words)
+    gone = _repeats(kept.select(ROW_ID, "doc.doc_id", "doc.text"), least_words, whole_lines)
     ranges = gone.groupBy(ROW_ID).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("removed"))
     none = F.array().cast("array<struct<start:int,end:int>>")
     joined = kept.join(ranges, ROW_ID, "left").withColumn("removed", F.coalesce("removed", none))

@@ -232,3 +232,35 @@ def test_repeats_are_found_wherever_they_stand(make_docs):
         assert done[i].text == kept
         assert [tuple(x) for x in done[i].removed_ranges] == sorted((a, b) for d, a, b in found if d == i)
     assert substring_dedup.find_repeats(make_docs(rows).limit(0)).collect() == []
+
+
+def test_repeated_whole_lines_go_whatever_their_length(make_docs):
+    rng = random.Random(14)
+    own = [sentence(rng) for _ in range(20)]
+    two = "Read on. See below."
+    rows = [
+        (1, f"{own[0]} All rights reserved. {own[1]}\nTop\n{two}"),
+        (2, f"{own[2]}\nAll rights reserved.\n  TOP \n{own[3]}"),
+        (3, f"All rights  reserved.\n{own[4]} {two}\n{two}\nTop"),
+        (4, f"{own[5]} Read on. {own[6]}\nSee below.\nTop\n\n{two}\nTop"),
+        (None, f"{own[7]}\n{own[8]}\nRead on, see below"),
+    ]
+    seen, gone = set(), set()
+    for doc_id, text in rows:
+        at = 0
+        for line in text.split("\n"):
+            key = tuple(re.findall(r"\w+", line.lower()))
+            if key and key in seen:
+                gone.add((doc_id, at + len(line) - len(line.lstrip()), at + len(line.rstrip())))
+            seen.add(key)
+            at += len(line) + 1
+    assert len(gone) == 8
+    done = substring_dedup.remove_repeats(make_docs(rows), whole_lines=True).collect()
+    found = substring_dedup.find_repeats(make_docs(rows), whole_lines=True).collect()
+    assert {i for i, _, _ in gone} == {r.doc_id for r in found}
+    for r in done:
+        kept = dict(rows)[r.doc_id]
+        covered = {p for a, b in r.removed_ranges for p in range(a, b) if not kept[p].isspace()}
+        expected = {p for i, a, b in gone if i == r.doc_id for p in range(a, b) if not kept[p].isspace()}
+        assert covered == expected
+    assert substring_dedup.find_repeats(make_docs(rows)).collect() == []
