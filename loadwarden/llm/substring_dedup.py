@@ -7,7 +7,9 @@ one is a repeat. Repeats next to each other make up a run, and runs with at
 least ``least_words`` words are removed: a passage goes whose sentences occurred
 before, wherever it stands in its line, while single common phrases stay. With
 ``whole_lines`` a line that repeats an earlier whole line goes as well, however
-short it is. Kept text keeps its own characters, and removed ranges are given by original offsets.
+short it is. In a sentence so long that a passage of its own may be a part of it,
+windows of words are hashed as well, which begin and end at places that the words
+around them set; repeated ones go. Kept text keeps its own characters, and removed ranges are given by original offsets.
 
 Digests are counted before they are shuffled, and only those met twice are
 joined with their units, so a unit in very many documents is one row per task
@@ -16,7 +18,8 @@ and are not held there. Units of one document only meet in a window. The digests
 have 128 bits.
 
 Cases: null and empty texts have no units; units without a letter or digit are
-no units, and neither repeat nor part a run; repeats inside one document count;
+no units, and neither repeat nor part a run; Chinese and Japanese letters count as a
+word each, and sentences there end without a blank; repeats inside one document count;
 null doc_ids rank last, and among rows with equal doc_ids the order is that of
 the scan; other columns play no part.
 """
@@ -30,6 +33,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -38,9 +42,25 @@ from loadwarden.llm.rows import ROW_ID, arrow_map, packed, pieces, row_id, store
 
 LEAST_WORDS = 20
 #: Kinds of hashed parts: a sentence among others of its line, one that is its line, and a line of several.
-UNIT, WHOLE, LINE = 0, 1, 2
+UNIT, WHOLE, LINE, WINDOW = 0, 1, 2, 3
+#: Windows begin where one of CUT successive runs of CUT_WORDS words has the least digest: nowhere further apart.
+CUT, CUT_WORDS = 6, 3
+#: So many words more than the least length a sentence, or a passage in one, needs for windows.
+MARGIN = 30
 _UNIT = re.compile(r"[^\n]*?(?:[.!?…]+[\"')\]»”]*(?=\s)|(?=\n)|\Z)")
 _WORDS = re.compile(r"[^\W_]+")
+#: Letters of scripts without blanks. Each counts as a word, and their sentences end without a blank.
+_HAN = "\u2e80-\u2fdf\u3005-\u3007\u3021-\u3029\u3041-\u3096\u309d-\u309f\u30a1-\u30fa\u30fc-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
+_ANY_HAN = re.compile(f"[{_HAN}。！？｡]")
+_HAN_UNIT = re.compile(
+    r"[^\n]*?(?:[。！？｡]+[.!?…。！？｡]*[\"')\]»”’」』）】]*|[.!?…]+[\"')\]»”]*(?=\s)|(?=\n)|\Z)"
+)
+_HAN_WORDS = re.compile(f"[{_HAN}]|[^\\W_{_HAN}]+")
+
+
+def _patterns(text: str) -> tuple[re.Pattern, re.Pattern]:
+    """What finds the units and the words of this text."""
+    return (_HAN_UNIT, _HAN_WORDS) if not text.isascii() and _ANY_HAN.search(text) else (_UNIT, _WORDS)
 
 
 def _digest(words: list[str]) -> bytes:
@@ -50,14 +70,39 @@ def _digest(words: list[str]) -> bytes:
 def units(text: str) -> list[tuple[int, int, int, bytes]]:
     """(start, end, words, digest) of each unit; code points, end exclusive."""
     found = []
-    for match in _UNIT.finditer(text):
-        words = _WORDS.findall(match.group().lower())
+    unit, word = _patterns(text)
+    for match in unit.finditer(text):
+        words = word.findall(match.group().lower())
         if words:
             start = match.end() - len(match.group().lstrip())
             found.append((start, match.end(), len(words), _digest(words)))
     return found
 
 
+def _windows(text: str, start: int, end: int, word: re.Pattern, least_words: int) -> list[tuple]:
+    """(at, start, end, words, digest) of windows of ``least_words`` words and some more in a long sentence.
+
+    Where they begin and end depends on the words around alone, so a passage of
+    ``least_words + MARGIN`` words has a window that is the same in every copy, and at most
+    10 words at its start and 13 at its end are in none.
+    """
+    found = list(word.finditer(text, start, end))
+    words = [m.group().lower() for m in found]
+    runs = np.fromiter(
+        (xxhash.xxh3_64_intdigest(" ".join(words[i : i + CUT_WORDS])) for i in range(len(words) - CUT_WORDS + 1)),
+        np.uint64,
+    )
+    least = np.lib.stride_tricks.sliding_window_view(runs, CUT).argmin(axis=1)
+    cuts = np.unique(np.arange(len(least)) + least)
+    ends = np.searchsorted(cuts, cuts + least_words)
+    windows = []
+    for a, k in zip(cuts.tolist(), ends.tolist()):
+        if k < len(cuts):
+            b = int(cuts[k])
+            windows.append((a, found[a].start(), found[b - 1].end(), b - a, _digest(["", *words[a:b]])))
+    return windows
+
+
 def _lines(text: str, found: list[tuple]) -> list[int]:
     """The number of each unit's line."""
     numbers, line, last = [], 0, 0
@@ -68,11 +113,11 @@ def _lines(text: str, found: list[tuple]) -> list[int]:
     return numbers
 
 
-def _parts(text: str, whole_lines: bool) -> list[tuple]:
-    """(kind, unit, line, start, end, words, digest) of the units, and of lines of several ones."""
-    found = units(text)
+def _parts(text: str, least_words: int, whole_lines: bool) -> list[tuple]:
+    """(kind, unit, line, at, start, end, words, digest) of the units, of lines of several ones, and of windows."""
+    found, word = units(text), _patterns(text)[1]
     lines = _lines(text, found) if whole_lines else [0] * len(found)
-    parts = [(UNIT, k, line, *u) for k, (line, u) in enumerate(zip(lines, found))]
+    parts = [(UNIT, k, line, 0, *u) for k, (line, u) in enumerate(zip(lines, found))]
     if whole_lines:
         for line, group in groupby(range(len(found)), lines.__getitem__):
             of_line = list(group)
@@ -81,21 +126,25 @@ def _parts(text: str, whole_lines: bool) -> list[tuple]:
                 parts[first] = (WHOLE, *parts[first][1:])
                 continue
             start, end = found[first][0], found[last][1]
-            words = _WORDS.findall(text[start:end].lower())
-            parts.append((LINE, first, line, start, end, len(words), _digest(words)))
+            words = word.findall(text[start:end].lower())
+            parts.append((LINE, first, line, 0, start, end, len(words), _digest(words)))
+    for k, (start, end, n_words, _) in enumerate(found):
+        if n_words >= least_words + MARGIN:
+            parts += [(WINDOW, k, lines[k], *w) for w in _windows(text, start, end, word, least_words)]
     return parts
 
 
-def hashed_units(rows: DataFrame, whole_lines: bool = False) -> DataFrame:
-    """A row per unit, and line if asked for, of rows with a row number, doc_id and text.
+def hashed_units(rows: DataFrame, least_words: int = LEAST_WORDS, whole_lines: bool = False) -> DataFrame:
+    """A row per unit, window, and line if asked for, of rows with a row number, doc_id and text.
 
-    ``unit`` counts within the text; a line has the number of its first unit.
+    ``unit`` counts within the text; a line has the number of its first unit. A window begins
+    at word ``at`` of its unit.
     """
-    names = ["kind", "unit", "line", "start", "end", "words", "digest"]
+    names = ["kind", "unit", "line", "at", "start", "end", "words", "digest"]
 
     def split(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, 2 << 20):
-            found = [_parts(t, whole_lines) if t else [] for t in batch.column("text").to_pylist()]
+            found = [_parts(t, least_words, whole_lines) if t else [] for t in batch.column("text").to_pylist()]
             owner = pa.array(np.repeat(np.arange(len(found)), [len(u) for u in found]).astype(np.int64))
             flat = [u for of_text in found for u in of_text]
             values = zip(*flat) if flat else [()] * len(names)
@@ -110,15 +159,15 @@ def hashed_units(rows: DataFrame, whole_lines: bool = False) -> DataFrame:
     return arrow_map(
         rows.select(ROW_ID, "doc_id", "text"),
         split,
-        f"{ROW_ID} bigint, doc_id {kind}, kind int, unit int, line int, start int, end int, words int, digest binary",
+        f"{ROW_ID} bigint, doc_id {kind}, kind int, unit int, line int, at int, start int, end int, words int, digest binary",
     )
 
 
 def _repeats(rows: DataFrame, least_words: int, whole_lines: bool) -> DataFrame:
     """The units, and whole lines, of rows that go, each with the occurrence that is kept in its place."""
-    found = stored(hashed_units(rows, whole_lines), "units")
+    found = stored(hashed_units(rows, least_words, whole_lines), "units")
     rank = F.struct(
-        F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), ROW_ID, "unit", "start"
+        F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), ROW_ID, "unit", "start", "at"
     )
     of_line = F.col("kind").isin(LINE, WHOLE)
     # A line is held against earlier whole lines, also where one sentence is all of it.
@@ -131,21 +180,37 @@ def _repeats(rows: DataFrame, least_words: int, whole_lines: bool) -> DataFrame:
     )
 
     def later(than: str) -> Column:
-        return (F.col(ROW_ID) != F.col(f"{than}.{ROW_ID}")) | (F.col("unit") != F.col(f"{than}.unit"))
+        return (
+            (F.col(ROW_ID) != F.col(f"{than}.{ROW_ID}"))
+            | (F.col("unit") != F.col(f"{than}.unit"))
+            | (F.col("start") != F.col(f"{than}.start"))
+        )
 
     again = found.join(firsts, "digest").where(later("first"))
     is_unit = F.col("kind").isin(UNIT, WHOLE)
-    in_order = W.partitionBy(ROW_ID).orderBy("unit", "kind")
+    in_order = W.partitionBy(ROW_ID).orderBy("unit", "kind", "start")
     n_units = F.sum(is_unit.cast("int")).over(in_order)
     n_words = F.sum(F.when(is_unit, F.col("words"))).over(W.partitionBy(ROW_ID, "_run"))
     line_goes = F.max(of_line & later("first_line")).over(W.partitionBy(ROW_ID, "line"))
-    # A line that goes is one row, in place of its units.
-    goes = F.when(F.col("_line"), of_line).otherwise(is_unit & (F.col("_words") >= least_words))
+    is_window = F.col("kind") == WINDOW
+    # A line that goes is one row, in place of its units; windows go where their sentence stays.
+    unit_goes = is_unit & (F.col("_words") >= least_words)
+    goes = F.when(F.col("_line"), of_line).otherwise(unit_goes | (is_window & ~F.col("_sentence")))
+    # A window that laps over the occurrence that is kept would take some of it away.
+    same_unit = (F.col(ROW_ID) == F.col(f"first.{ROW_ID}")) & (F.col("unit") == F.col("first.unit"))
+    laps = is_window & same_unit & (F.col("at") < F.col("first.at") + F.col("words"))
+    # Of windows that overlap each one ends where the next begins.
+    of_sentence = W.partitionBy(ROW_ID, "unit", "kind").orderBy("start")
+    next_at, next_start = (F.when(is_window, F.lead(c).over(of_sentence)) for c in ("at", "start"))
     return (
         again.withColumn("_run", F.col("unit") - n_units)
         .withColumn("_words", n_words)
         .withColumn("_line", F.coalesce(line_goes, F.lit(False)) if whole_lines else F.lit(False))
-        .where(goes)
+        .withColumn("_sentence", F.coalesce(F.max(unit_goes).over(W.partitionBy(ROW_ID, "unit")), F.lit(False)))
+        .where(goes & ~laps)
+        .withColumn("_next_start", next_start)
+        .withColumn("words", F.least("words", next_at - F.col("at")))
+        .withColumn("end", F.least("end", "_next_start"))
         .select(
             ROW_ID,
             "doc_id",

@@ -264,3 +264,43 @@ def test_repeated_whole_lines_go_whatever_their_length(make_docs):
         expected = {p for i, a, b in gone if i == r.doc_id for p in range(a, b) if not kept[p].isspace()}
         assert covered == expected
     assert substring_dedup.find_repeats(make_docs(rows)).collect() == []
+
+
+def test_long_passages_inside_sentences_are_found(make_docs):
+    rng = random.Random(15)
+    passages = [words(rng, n) for n in (50, 50, 64, 120)]
+    rows = []
+    for i in range(16):  # no sentence end at or in the passage
+        parts = words(rng, 7 + i % 5) + passages[i % 4] + words(rng, 6 + i % 3)
+        rows.append((300 + i, f"{sentence(rng)} {' '.join(parts)}. {sentence(rng)}"))
+    # Brute force: the words in windows of 20 that stood in an earlier text.
+    seen, again = set(), {}
+    for doc_id, text in rows:
+        spans = [m.span() for m in re.finditer(r"\w+", text)]
+        run = [tuple(text[a:b].lower() for a, b in spans[i : i + 20]) for i in range(len(spans) - 19)]
+        again[doc_id] = {k for i, w in enumerate(run) if w in seen for k in range(i, i + 20)}
+        seen |= set(run)
+    done = {r.doc_id: r for r in substring_dedup.remove_repeats(make_docs(rows)).collect()}
+    for doc_id, text in rows:
+        spans = [m.span() for m in re.finditer(r"\w+", text)]
+        ranges = [tuple(x) for x in done[doc_id].removed_ranges]
+        gone = {k for k, (a, b) in enumerate(spans) if any(x <= a and b <= y for x, y in ranges)}
+        assert all(b <= c for (_, b), (c, _) in zip(ranges, ranges[1:]))
+        assert gone <= again[doc_id] and len(gone) >= len(again[doc_id]) - 23
+        assert bool(gone) == (doc_id >= 304)
+    found = substring_dedup.find_repeats(make_docs([*rows, (400, "ab cd ef " * 40)])).collect()
+    within = [(r.start, r.end) for r in found if r.doc_id == 400]
+    assert 60 <= min(a for a, _ in within) < 100 and 300 < max(b for _, b in within) <= 360
+    found = [r for r in found if r.doc_id != 400]
+    assert all(r.words == len(re.findall(r"\w+", dict(rows)[r.doc_id][r.start : r.end])) for r in found)
+
+
+def test_chinese_and_japanese_sentences(make_docs):
+    rng = random.Random(16)
+    han = lambda n: "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(n))
+    passage = "".join(f"{han(6)}，{han(7)}。" for _ in range(6))
+    rows = [(1, f"{han(9)}。{passage}{han(8)}！"), (2, f"{han(12)}？「{han(5)}。」{passage}{han(9)}。"), (3, f"{han(9)}。{han(9)}。")]
+    done = {r.doc_id: r for r in substring_dedup.remove_repeats(make_docs(rows)).collect()}
+    assert done[1].text == rows[0][1] and done[3].text == rows[2][1]
+    assert done[2].text == rows[1][1].replace(passage, "")
+    assert [u[:3] for u in substring_dedup.units("日本語。かな、abc def！")] == [(0, 4, 3), (4, 15, 4)]
