@@ -3,14 +3,15 @@
 Every word has a score for each language: the mean log probability of its byte
 n-grams, times its length, under counts of all documents that may be learned
 from. The word's script narrows the languages to those that use it. A Viterbi
-path through the words, with a penalty for each switch, labels them; the
-language with the most letters is the document's, its share of them the score.
+path through the words, with a penalty for each switch, labels them, and words
+of one label next to each other are a span; the language with the most letters
+is the document's, its share of them the score.
 
 N-grams are counted in a fixed number of hash buckets per language, so tasks
 send fixed-size tables, and the model is as large as the languages are many.
 
 Cases: a text that is null or has no letter is ``und`` with score 0, and so is
-every text if no document has a language. Letters of a script that no language
+every text if no document has a language; such texts have no spans. Letters of a script that no language
 uses narrow nothing and score alike for all. Null and repeated doc_ids are rows
 like others. Columns besides doc_id, text and, for learning, lang play no part.
 """
@@ -56,6 +57,25 @@ def _words(texts: pa.Array) -> pa.Array:
     return pc.split_pattern(pc.replace_substring_regex(lower, r"[^\pL\pM]+", " "), " ")
 
 
+def _placed_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """The words of ``_words`` but the empty ones: each one's text, and where it begins and ends there.
+
+    Lower-casing goes code point by code point and a blank takes the place of each other
+    character, so places are those of the text itself: code points, end exclusive.
+    """
+    lower = pc.utf8_lower(texts.cast(pa.large_string()).fill_null(""))
+    parts = pc.split_pattern(pc.replace_substring_regex(lower, r"[^\pL\pM]", " "), " ")
+    words, counts = parts.flatten(), pc.list_value_length(parts).to_numpy()
+    lengths = pc.utf8_length(words).to_numpy()
+    texts_of = np.repeat(np.arange(len(texts)), counts)
+    ends = np.cumsum(lengths + 1)
+    begins = np.concatenate(([0], ends))[np.cumsum(counts) - counts]
+    real = lengths > 0
+    texts_of, lengths = texts_of[real], lengths[real]
+    ends = ends[real] - 1 - begins[texts_of]
+    return words.filter(pa.array(real)), texts_of, ends - lengths, ends
+
+
 def _ngrams(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hash buckets of the byte n-grams of each word between blanks, and the number of each n-gram's word."""
     blank, nothing = pa.scalar(" ", pa.large_string()), pa.scalar("", pa.large_string())
@@ -118,25 +138,36 @@ class LanguageModel:
         # A language that does not use the script costs more than any switch.
         return np.where(self.allowed[script], found, found.min(axis=1, keepdims=True) - 2 * SWITCH)
 
-    def label(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
-        """The language and its share of the letters, for each text."""
-        words = _words(texts)
-        texts_of = np.repeat(np.arange(len(texts)), pc.list_value_length(words).to_numpy())
-        coded = words.flatten().dictionary_encode()
-        places = coded.indices.to_numpy()
-        lengths = pc.utf8_length(coded.dictionary).to_numpy()[places]
-        real = lengths > 0
-        places, lengths, texts_of = places[real], lengths[real], texts_of[real]
+    def label(self, texts: pa.Array) -> tuple[list[str], np.ndarray, pa.Array]:
+        """The language, its share of the letters and the spans, for each text."""
+        words, texts_of, starts, ends = _placed_words(texts)
+        coded = words.dictionary_encode()
+        places, lengths = coded.indices.to_numpy(), ends - starts
         sizes = np.bincount(texts_of, minlength=len(texts))
         if not self.languages or not len(places):
-            return [UNKNOWN] * len(texts), np.zeros(len(texts))
+            nothing = np.zeros(0, np.int64)
+            return [UNKNOWN] * len(texts), np.zeros(len(texts)), self._spans(*[nothing] * 4, len(texts))
         path = viterbi(self.word_scores(coded.dictionary), places, sizes)
         n = len(self.languages)
         letters = np.bincount(texts_of * n + path, lengths, len(texts) * n).reshape(-1, n)
         best = letters.argmax(axis=1)
         share = letters.max(axis=1) / np.maximum(1, letters.sum(axis=1))
         names = [self.languages[k] if size else UNKNOWN for k, size in zip(best.tolist(), sizes.tolist())]
-        return names, np.where(sizes > 0, share, 0.0)
+        spans = self._spans(path, texts_of, starts, ends, len(texts))
+        return names, np.where(sizes > 0, share, 0.0), spans
+
+    def _spans(
+        self, path: np.ndarray, texts_of: np.ndarray, starts: np.ndarray, ends: np.ndarray, n_texts: int
+    ) -> pa.Array:
+        """Runs of words with one label in one text, from the first word's start to the last one's end."""
+        changes = (path[1:] != path[:-1]) | (texts_of[1:] != texts_of[:-1])
+        first = np.flatnonzero(np.concatenate(([True] * bool(len(path)), changes)))
+        last = np.flatnonzero(np.concatenate((changes, [True] * bool(len(path)))))
+        names = pa.array(self.languages, pa.string()).take(pa.array(path[first]))
+        columns = [pa.array(starts[first], pa.int32()), pa.array(ends[last], pa.int32()), names]
+        bounds = np.searchsorted(texts_of[first], np.arange(n_texts + 1))
+        structs = pa.StructArray.from_arrays(columns, ["start", "end", "lang"])
+        return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), structs)
 
 
 def viterbi(scores: np.ndarray, places: np.ndarray, sizes: np.ndarray, switch: float = SWITCH) -> np.ndarray:
@@ -216,15 +247,16 @@ def fit_language(docs: DataFrame) -> LanguageModel:
 
 
 def identify_language(docs: DataFrame, model: LanguageModel, batch_bytes: int = 12 << 20) -> DataFrame:
-    """``doc_id``, ``lang_pred`` and ``score`` of each document."""
+    """``doc_id``, ``lang_pred``, ``score`` and ``spans`` (start, end, lang) of each document."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def label(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         most = batch_bytes * 8 // max(8, len(shared.value.languages))
         for batch in pieces(batches, most):
-            names, score = shared.value.label(batch.column("text"))
-            columns = [batch.column("doc_id"), pa.array(names, pa.string()), pa.array(score)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "lang_pred", "score"])
+            names, score, spans = shared.value.label(batch.column("text"))
+            columns = [batch.column("doc_id"), pa.array(names, pa.string()), pa.array(score), spans]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "lang_pred", "score", "spans"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return arrow_map(docs.select("doc_id", "text"), label, f"doc_id {kind}, lang_pred string, score double")
+    schema = f"doc_id {kind}, lang_pred string, score double, spans array<struct<start:int,end:int,lang:string>>"
+    return arrow_map(docs.select("doc_id", "text"), label, schema)

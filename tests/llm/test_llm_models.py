@@ -93,6 +93,24 @@ def test_language_of_texts_and_of_mixed_ones(make_docs):
     assert {r.lang_pred for r in language.identify_language(make_docs(ODD), nothing).collect()} == {"und"}
 
 
+def test_spans_of_a_mixed_text(make_docs):
+    rows, kinds, rng = _spoken(60)
+    model = language.fit_language(make_docs(rows))
+    parts = [sentence(rng, 20, kinds["bb"]), sentence(rng, 20, kinds["aa"]), sentence(rng, 20, kinds["cc"])]
+    text = f"12 İ😀 {parts[0]} -- 7\n{parts[1]}  {parts[2]} 9"
+    docs = [(1, text, None, None), (2, "12 !", None, None), (3, parts[1], None, None), (4, None, None, None)]
+    found = {r.doc_id: r for r in language.identify_language(make_docs(docs), model).collect()}
+    spans = [tuple(s) for s in found[1].spans]
+    assert [lang for *_, lang in spans] == ["bb", "aa", "cc"]
+    # A span ends with its last word, before the full stop, and "İ" is the first word of all.
+    assert [text[a:b] + "." for a, b, _ in spans] == [text[3 : text.index(" -- ")], *parts[1:]]
+    assert [tuple(s) for s in found[3].spans] == [(0, len(parts[1]) - 1, "aa")]
+    assert found[2].spans == [] and found[4].spans == []
+    letters = {lang: sum(map(str.isalpha, text[a:b])) for a, b, lang in spans}
+    assert found[1].lang_pred == max(letters, key=letters.get)
+    assert abs(found[1].score - max(letters.values()) / sum(letters.values())) < 1e-9
+
+
 def _path(scores, switch):
     best, back = scores[0].copy(), []
     for s in scores[1:]:
