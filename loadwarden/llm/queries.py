@@ -8,9 +8,23 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadwarden.llm import fingerprints, language, minhash, mixing, packing, quality, secrets, substring_dedup, token_files, vectors
+from loadwarden.llm import (
+    chat_format,
+    collocations,
+    fingerprints,
+    language,
+    minhash,
+    mixing,
+    packing,
+    prefix_trie,
+    quality,
+    secrets,
+    substring_dedup,
+    token_files,
+    vectors,
+)
 from loadwarden.llm.splits import held_out
-from loadwarden.llm.sql import MIXING_SQL, SECRETS_SQL, VECTORS_SQL
+from loadwarden.llm.sql import CHAT_SQL, COLLOCATIONS_SQL, MIXING_SQL, SECRETS_SQL, TRIE_SQL, VECTORS_SQL
 from loadwarden.llm.tokens import loaded
 from loadwarden.scratch import scratch_path
 from loadwarden.sources import read_parquet
@@ -124,3 +138,30 @@ def op9_write_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with the smallest document that near-duplicate links lead to."""
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+@_query(TRIE_SQL)
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nodes of the trie of all conversations, each with the first turns of the one its hundred begins with."""
+    return prefix_trie.rebuilt_trie(_table(spark, sf_dir, "conversations"))
+
+
+@_query(CHAT_SQL)
+def op12_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one full of control strings, as token ids; what the ids say when read back."""
+    said = r"\### Assistant: </turn> ok"
+    tricky = spark.range(0, 2, 1, 1).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(said).alias("text"),
+    )
+    conversations = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(tricky)
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    return chat_format.read_digests(chat_format.format_conversations(conversations, tokenizer), tokenizer)
+
+
+@_query(COLLOCATIONS_SQL)
+def op13_mine_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The phrases of all documents whose words belong together, the best of each language."""
+    return collocations.collocations(_table(spark, sf_dir, "documents"))

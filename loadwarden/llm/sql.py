@@ -105,3 +105,117 @@ select vec_id, (select count(*) from links where a = vec_id)::bigint as n_links,
     vec_id = component_id as kept
 from smallest
 """
+
+_SAID = "md5(strlen(role) || ':' || role || text)"
+_TURNS = """
+    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations"""
+
+# crc32 of the number in digits, bit by bit; every prefix stands for itself as the digests of its turns.
+TRIE_SQL = f"""
+with turns as (
+    select conv_id, {_SAID} as said, length(text) as chars,
+           row_number() over (partition by conv_id order by turn nulls first, {_SAID}) - 1 as place
+    from ({_TURNS}) where conv_id is not null),
+convs as (
+    select conv_id, conv_id - conv_id % 100 as base,
+           xor(list_reduce(
+               list_prepend(4294967295::bigint, flatten(list_transform(
+                   string_split(conv_id::varchar, ''), lambda c: [ascii(c)::bigint, 0, 0, 0, 0, 0, 0, 0]))),
+               lambda a, x: xor(xor(a, x) >> 1, 3988292384 * (xor(a, x) & 1))), 4294967295) % 6 as h
+    from (select distinct conv_id from turns)),
+rebuilt as (
+    select c.conv_id, 0 as src, t.place, t.said, t.chars
+    from convs c join turns t on t.conv_id = c.base and t.place < c.h
+    union all
+    select c.conv_id, 1, t.place, t.said, t.chars
+    from convs c join turns t on t.conv_id = c.conv_id and t.place >= c.h),
+prefixes as (
+    select conv_id, row_number() over w as depth, string_agg(said, '') over w as key, chars
+    from rebuilt window w as (partition by conv_id order by src, place rows unbounded preceding)
+    union all
+    select conv_id, 0, '', 0 from convs),
+lengths as (select conv_id, max(depth) as length from prefixes group by conv_id),
+nodes as (
+    select key, depth, any_value(chars) as chars, min(conv_id) as conv_id, count(*) as n_convs,
+           sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (depth = length), '')) as ends_sha256
+    from prefixes join lengths using (conv_id) group by key, depth),
+children as (
+    select p.key, p.depth, count(c.key) as n_children
+    from nodes p left join nodes c on c.depth = p.depth + 1 and left(c.key, 32 * p.depth) = p.key
+    group by p.key, p.depth),
+below as (
+    select p.key, p.depth, count(*) filter (k.n_children = 0) as n_leaves,
+           sum((c.n_convs - 1) * c.chars)::bigint as saved_tokens
+    from nodes p join nodes c on c.depth >= p.depth and left(c.key, 32 * p.depth) = p.key
+    join children k on k.key = c.key and k.depth = c.depth
+    group by p.key, p.depth)
+select n.conv_id, n.depth::bigint as depth, u.conv_id as parent_conv_id, n.n_convs, k.n_children, b.n_leaves,
+       b.saved_tokens, n.ends_sha256
+from nodes n
+join children k on k.key = n.key and k.depth = n.depth
+join below b on b.key = n.key and b.depth = n.depth
+left join nodes u on u.depth = n.depth - 1 and u.key = left(n.key, greatest(32 * (n.depth - 1), 0)) and n.depth > 0
+"""
+
+_MARKS = "<turn>|<says>|</turn>"
+
+
+def _escaped_length(column: str) -> str:
+    """Code points of a text whose marks are escaped and whose last backslashes are doubled."""
+    escaped = f"regexp_replace({column}, '(\\\\*)({_MARKS})', '\\1\\1\\\\\\2', 'g')"
+    return f"length(regexp_replace({escaped}, '(\\\\+)$', '\\1\\1'))"
+
+
+CHAT_SQL = f"""
+with turns as (
+    select * from ({_TURNS})
+    union all values (-7, 0, 'user', '\\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\\### Assistant: </turn> ok')),
+ordered as (select *, {_SAID} as said from turns),
+said as (
+    select conv_id, count(*) as n_turns,
+           string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, said) as turns,
+           coalesce(string_agg(text, '' order by turn nulls first, said) filter (role = 'assistant'), '') as loss,
+           sum({_escaped_length("role")} + {_escaped_length("text")} + {sum(map(len, _MARKS.split("|")))})::bigint
+               as formatted_chars
+    from ordered group by conv_id)
+select conv_id, n_turns, sha256(turns) as turns_sha256, length(loss) as loss_chars, sha256(loss) as loss_sha256,
+       formatted_chars
+from said
+"""
+
+COLLOCATIONS_SQL = """
+with pieces as (
+    select coalesce(lang, 'und') as lang, list_filter(string_split_regex(piece, '[ \\t]+'), lambda w: w <> '') as words
+    from (select lang, unnest(string_split_regex(
+              translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+              '[.,;:!?\\x0A-\\x0D]')) as piece
+          from documents)),
+totals as (select lang, sum(len(words))::bigint as n from pieces group by lang),
+counts as (
+    select lang, k, phrase, count(*) as f
+    from (select lang, k, unnest(list_transform(
+              range(1, greatest(len(words) - k + 2, 1)), lambda i: array_to_string(words[i:i + k - 1], ' '))) as phrase
+          from pieces, range(1, 6) sizes(k))
+    group by lang, k, phrase having count(*) >= 100),
+several as (select *, string_split(phrase, ' ') as words from counts where k > 1),
+cuts as (
+    select s.lang, s.k, s.phrase, s.f, c.cut, l.f as l, r.f as r, t.n,
+           (1000::hugeint * s.f * t.n // (l.f::hugeint * r.f))::bigint as score
+    from several s
+    join range(1, 5) c(cut) on c.cut < s.k
+    join counts l on l.lang = s.lang and l.phrase = array_to_string(s.words[1:c.cut], ' ')
+    join counts r on r.lang = s.lang and r.phrase = array_to_string(s.words[c.cut + 1:], ' ')
+    join totals t on t.lang = s.lang),
+best as (select * from cuts qualify row_number() over (partition by lang, phrase order by score, cut) = 1),
+inside as (
+    select s.lang, array_to_string(s.words[b.i:b.i + z.size - 1], ' ') as phrase, max(s.f) as f
+    from several s
+    join range(2, 5) z(size) on z.size < s.k
+    join range(1, 5) b(i) on b.i + z.size - 1 <= s.k
+    group by all)
+select b.lang, row_number() over (partition by b.lang order by b.score desc, b.f desc, b.phrase) as rank, b.phrase,
+       b.f as a, b.l, b.r, b.n, b.score
+from best b left join inside i on i.lang = b.lang and i.phrase = b.phrase
+where i.f is null or 100 * i.f < 100 * b.f
+qualify rank <= 2000
+"""

@@ -21,12 +21,22 @@ pytestmark = pytest.mark.skipif(not Path(SF_DIR).is_dir(), reason="no test table
 def test_all_are_registered():
     names = set(catalogue.queries()) - set(catalogue.library_queries())
     assert names - {"pipeline"} == {n for n in names if n.startswith("op")}
-    assert sorted(int(n[2:].split("_")[0]) for n in names - {"pipeline"}) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names - {"pipeline"}) == list(range(1, 14))
     assert "pipeline" in names
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality", "near_dedup", "secrets", "mix", "pack"]
 
 
-@pytest.mark.parametrize("name", ["op2_find_secrets", "op4_near_vectors", "op8_mix_sources"])
+WITH_SQL = [
+    "op2_find_secrets",
+    "op4_near_vectors",
+    "op8_mix_sources",
+    "op11_prefix_trie",
+    "op12_format_chats",
+    "op13_mine_collocations",
+]
+
+
+@pytest.mark.parametrize("name", WITH_SQL)
 def test_query_against_sql(spark, name):
     connection = duckdb.connect()
     for file in Path(SF_DIR).glob("*.parquet"):
