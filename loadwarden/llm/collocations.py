@@ -57,8 +57,8 @@ def _mixed(code: np.ndarray) -> np.ndarray:
 
 def _tokens(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """The words of all texts, a line feed after each piece, and how many there are of each text; some are empty."""
-    lower = pc.ascii_lower(texts.cast(pa.large_string()).fill_null(""))
-    cut = pc.replace_substring_regex(lower, r"[.,;:!?\n\x0b\x0c\r]+", " \n ")
+    cut = pc.replace_substring_regex(texts.cast(pa.large_string()).fill_null(""), r"[.,;:!?\n\x0b\x0c\r]+", " \n ")
+    cut = pc.ascii_lower(cut)  # wrong on a slice of a longer array, so not before
     cut = pc.replace_substring(pc.binary_join_element_wise(cut, pa.scalar(_END, pa.large_string()), _BLANK), "\t", " ")
     words = pc.split_pattern(cut, " ")
     return words.flatten(), pc.list_value_length(words).to_numpy()

@@ -310,6 +310,13 @@ def test_a_full_filter_changes_nothing(spark, monkeypatch):
     assert {(r.lang, r.phrase): r.f for r in found.collect()} == every and len(every) > 50
 
 
+def test_words_of_a_slice_are_those_of_its_texts():
+    texts = [f"ÀÉ {'x' * i} Öß.ÇA É" for i in range(50)]
+    flat, counts = collocations._tokens(pa.array(texts).slice(7, 3))
+    assert [w for w in flat.to_pylist() if w] == [w for i in range(7, 10) for w in ["ÀÉ", "x" * i, "Öß", "\n", "Ça", "É", "\n"]]
+    assert counts.sum() == len(flat)
+
+
 def test_scores_are_exact_beyond_64_bits(spark):
     big = 3 * 10**15
     cuts = spark.createDataFrame([("x", big - 1, big, big - 1, 7 * 10**17 + 9)], "phrase string, a bigint, l bigint, r bigint, n bigint")
