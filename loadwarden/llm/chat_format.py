@@ -30,8 +30,9 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from loadwarden.llm.rows import arrow_map, pieces, stored
+from loadwarden.llm.rows import arrow_map, kept_in_stage, pieces, stored
 from loadwarden.llm.tokens import loaded
 from loadwarden.llm.turns import AT, PART, Runs, earlier, in_order, placed_over_parts, segments, turn_rows
 
@@ -128,6 +129,23 @@ def _covered(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))
 
 
+def token_bytes(tokenizer_path: str) -> tuple[int, np.ndarray, np.ndarray]:
+    """How many ids a byte-level vocabulary has, the bytes of all of them, and where each one's start.
+
+    In such a vocabulary a character stands for a byte: printable ones of Latin-1 for their own,
+    those from 256 on for the other bytes in their order.
+    """
+    vocabulary = Tokenizer.from_file(tokenizer_path).get_vocab()
+    own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
+    byte_of = {chr(b): b for b in own}
+    byte_of |= {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in set(own))}
+    tokens = sorted(vocabulary, key=vocabulary.get)
+    if sorted(vocabulary.values()) != list(range(len(tokens))) or any(c not in byte_of for t in tokens for c in t):
+        raise ValueError(f"{tokenizer_path} is no byte-level vocabulary without gaps")
+    data = np.array([byte_of[c] for t in tokens for c in t], np.uint8)
+    return len(tokens), data, np.concatenate(([0], np.cumsum([len(t) for t in tokens])))
+
+
 def read_turns(formatted: DataFrame, tokenizer_path: str) -> DataFrame:
     """The turns from their ids: (conv_id, at, role, text, loss, formatted_chars).
 
@@ -136,36 +154,41 @@ def read_turns(formatted: DataFrame, tokenizer_path: str) -> DataFrame:
     """
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = loaded(tokenizer_path)
-        first = tokenizer.vocabulary
+        first, data, offsets = kept_in_stage(("bytes", tokenizer_path), lambda: token_bytes(tokenizer_path))
+        sizes_of = np.diff(offsets)
         mark_chars = sum(map(len, MARKS))
         for batch in pieces(batches, PIECE):
-            segments_of: list[list[int]] = []
-            masked = []
-            for data, start, loss_start, loss_length in zip(
-                *(batch.column(c).to_pylist() for c in ("ids", "start", "loss_start", "loss_length"))
-            ):
-                ids = np.frombuffer(data, "<u4")
-                marks = np.flatnonzero(ids >= first)
-                if (ids[marks] - first).tolist() != [0, 1, 2] or marks[0] != 0 or marks[-1] != len(ids) - 1:
-                    raise ValueError("a turn does not have its three marks")
-                segments_of += [ids[1 : marks[1]].tolist(), ids[marks[1] + 1 : -1].tolist()]
-                begin = loss_start - start
-                # The mask says itself which ids it covers; only where they are the text are they decoded once.
-                if loss_length and (begin, begin + loss_length) != (marks[1] + 1, len(ids) - 1):
-                    raise ValueError("the loss mask does not cover a text")
-                masked.append(loss_length > 0)
-            said = tokenizer.tokenizer.decode_batch(segments_of, skip_special_tokens=False)
-            plain = [unescape(text) for text in said]
-            chars = [len(r) + len(t) + mark_chars for r, t in zip(said[::2], said[1::2])]
+            rows = [np.frombuffer(ids, "<u4") for ids in batch.column("ids").to_pylist()]
+            if not rows:
+                continue
+            ids = np.concatenate(rows).astype(np.int64)
+            ends = np.cumsum([len(row) for row in rows])
+            marks = np.flatnonzero(ids >= first)
+            if (ids[marks] - first != np.arange(len(marks)) % len(MARKS)).any() or len(marks) != 3 * len(rows):
+                raise ValueError("a turn does not have its three marks")
+            marks = marks.reshape(-1, 3)
+            if (marks[:, 2] != ends - 1).any() or (marks[:, 0] != np.concatenate(([0], ends[:-1]))).any():
+                raise ValueError("a turn does not begin and end with its marks")
+            loss, loss_start, start = (batch.column(c).to_numpy() for c in ("loss_length", "loss_start", "start"))
+            begin = marks[:, 0] + loss_start - start
+            # What the mask covers is a text, so that each is decoded once.
+            if ((loss > 0) & ((begin != marks[:, 1] + 1) | (begin + loss != marks[:, 2]))).any():
+                raise ValueError("the loss mask does not cover a text")
+            sizes = np.where(ids < first, sizes_of[np.minimum(ids, first - 1)], 0)
+            said = data[_covered(offsets[np.minimum(ids, first - 1)], sizes)].tobytes()
+            at = np.concatenate(([0], np.cumsum(sizes)))
+            roles, texts = (
+                [said[a:b].decode() for a, b in zip(at[marks[:, k]].tolist(), at[marks[:, k + 1]].tolist())] for k in (0, 1)
+            )
+            plain = [unescape(t) for t in texts]
             text = pa.string()
             columns = [
                 batch.column("conv_id"),
                 batch.column("at"),
-                pa.array(plain[::2], text),
-                pa.array(plain[1::2], text),
-                pa.array([t if m else None for t, m in zip(plain[1::2], masked)], text),
-                pa.array(chars, pa.int64()),
+                pa.array(map(unescape, roles), text),
+                pa.array(plain, text),
+                pa.array([t if m else None for t, m in zip(plain, (loss > 0).tolist())], text),
+                pa.array([len(r) + len(t) + mark_chars for r, t in zip(roles, texts)], pa.int64()),
             ]
             yield pa.RecordBatch.from_arrays(columns, ["conv_id", "at", "role", "text", "loss", "formatted_chars"])
 
@@ -235,6 +258,7 @@ def read_digests(formatted: DataFrame, tokenizer_path: str) -> DataFrame:
     known = runs.join(counts, F.col("conv_id").eqNullSafe(F.col("_conv")))
     whole = (F.col("first") == 0) & (F.col("n_turns") == F.col("_n"))
     cut = known.where(~whole).select("_conv").distinct()
-    dealt = turns.join(cut, F.col("conv_id").eqNullSafe(F.col("_conv")), "left_semi")
+    of_cut = formatted.join(cut, F.col("conv_id").eqNullSafe(F.col("_conv")), "left_semi")
+    dealt = read_turns(of_cut, tokenizer_path)
     again = _digested(dealt.repartition("conv_id").sortWithinPartitions("conv_id", "at"))
     return known.where(whole).drop("_conv", "_n").union(again).drop("first")
