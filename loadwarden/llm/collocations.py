@@ -36,8 +36,10 @@ from loadwarden.llm.rows import arrow_map, pieces, stored
 
 UNKNOWN = "und"
 SUPPORT, LONGEST, TOP = 100, 5, 2000
-#: Words that are mined together: some 250 MB of a worker.
-SHARD_WORDS = 1 << 22
+#: Words that are mined together: some 350 MB of a worker. Smaller shards have a lower local support.
+SHARD_WORDS = 1 << 23
+#: Parts, by digest, in which the phrases of a shard are counted one after the other.
+GROUPS = 8
 #: Bits of the filter for each candidate, and how many it has at least and at most.
 BITS_EACH, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 28
 #: Bits that all probes of a candidate fall into.
@@ -117,7 +119,7 @@ def _levels(tokens: np.ndarray, digests: np.ndarray, longest: int, keep) -> Iter
     phrase of the next level is two kept ones that overlap in all words but one.
     """
     numbers, code = tokens, np.zeros(len(tokens), np.uint64)
-    places = np.flatnonzero(tokens >= 0)
+    places = np.flatnonzero(tokens >= 0).astype(np.int32)
     for k in range(1, longest + 1):
         if k > 1:
             both = (numbers[places] >= 0) & (places + 1 < len(numbers))
@@ -126,22 +128,37 @@ def _levels(tokens: np.ndarray, digests: np.ndarray, longest: int, keep) -> Iter
         if not len(places):
             return
         code[places] = _mixed(code[places] * _ODD + digests[tokens[places + k - 1]])
-        found = keep(code[places])
-        places = places[found]
-        key = numbers[places].astype(np.int64)
-        if k > 1:
-            key = (key << 32) | numbers[places + 1]
-        phrase, unique = pd.factorize(key)
-        counts = np.bincount(phrase, minlength=len(unique))
-        first = np.empty(len(unique), np.int64)
-        first[phrase[::-1]] = places[::-1]
+        places = places[keep(code[places])]
+        phrase, counts, first = _numbered(numbers, places, code, k)
         kept = yield k, counts, first, code[first]
-        phrase = (np.where(kept, np.cumsum(kept) - 1, -1)[phrase]) if kept is not None else phrase
+        if kept is not None:
+            phrase = np.where(kept, np.cumsum(kept, dtype=np.int32) - 1, -1)[phrase]
         numbers = np.full(len(tokens), -1, np.int32)
         numbers[places] = phrase
         places = places[phrase >= 0]
 
 
+def _numbered(numbers: np.ndarray, places: np.ndarray, code: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+    """A number for the phrase at each place; of each phrase how often it is there, and its first place."""
+    phrase = np.empty(len(places), np.int32)
+    counts, firsts, total = [], [], 0
+    group = (code[places] >> np.uint64(40)).astype(np.uint32) % GROUPS
+    for g in range(GROUPS):
+        mine = np.flatnonzero(group == g)
+        at = places[mine]
+        key = numbers[at].astype(np.int64)
+        if k > 1:
+            key = (key << 32) | numbers[at + 1]
+        own, unique = pd.factorize(key)
+        first = np.empty(len(unique), np.int64)
+        first[own[::-1]] = at[::-1]
+        phrase[mine] = own + total
+        counts.append(np.bincount(own, minlength=len(unique)))
+        firsts.append(first)
+        total += len(unique)
+    return phrase, np.concatenate(counts), np.concatenate(firsts)
+
+
 def _shards(batches: Iterable[pa.RecordBatch], most: int) -> Iterator[Shard]:
     shard = Shard()
     for batch in pieces(batches, 2 << 20):
