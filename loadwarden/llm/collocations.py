@@ -40,6 +40,8 @@ SUPPORT, LONGEST, TOP = 100, 5, 2000
 SHARD_WORDS = 1 << 23
 #: Parts, by digest, in which the phrases of a shard are counted one after the other.
 GROUPS = 8
+#: Text that a counting task reads at least, where there is enough for all cores, and phrases that it adds up before they leave.
+COUNT_BYTES, HELD_PHRASES = 64 << 20, 1 << 19
 #: Bits of the filter for each candidate, and how many it has at least and at most.
 BITS_EACH, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 28
 #: Bits that all probes of a candidate fall into.
@@ -269,25 +271,29 @@ def count_candidates(texts: DataFrame, candidates: Filter, longest: int, shard_w
     shared = texts.sparkSession.sparkContext.broadcast(candidates)
     names = ["lang", "phrase", "words", "f"]
 
+    def summed(parts: list[pa.Table]) -> pa.Table:
+        sums = pa.concat_tables(parts).group_by(names[:3]).aggregate([("f", "sum")])
+        return sums.rename_columns([*names]).combine_chunks()
+
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
         for shard in _shards(batches, shard_words):
-            words = None
+            words = pa.array(list(shard.numbers), pa.large_string())
             for lang, tokens, digests in shard.by_language():
-                if words is None:
-                    words = pa.array(list(shard.numbers), pa.large_string())
                 for k, counts, first, _ in _levels(tokens, digests, longest, shared.value.has):
-                    for a in range(0, len(first), 1 << 17):
-                        at = first[a : a + (1 << 17)]
-                        parts = [words.take(pa.array(tokens[at + j])) for j in range(k)]
-                        phrase = pc.binary_join_element_wise(*parts, _BLANK) if k > 1 else parts[0]
-                        columns = [
-                            pa.array([lang] * len(at), pa.string()),
-                            phrase.cast(pa.string()),
-                            pa.array([k] * len(at), pa.int32()),
-                            pa.array(counts[a : a + (1 << 17)]),
-                        ]
-                        yield pa.RecordBatch.from_arrays(columns, names)
-
+                    parts = [words.take(pa.array(tokens[first + j])) for j in range(k)]
+                    phrase = pc.binary_join_element_wise(*parts, _BLANK) if k > 1 else parts[0]
+                    n = len(first)
+                    columns = [pa.array([lang] * n, pa.string()), phrase, pa.array([k] * n, pa.int32()), pa.array(counts)]
+                    held.append(pa.table(columns, names))
+            # Shards of a task have most of their phrases in common.
+            held = [summed(held)] if held else []
+            if held and held[0].num_rows > HELD_PHRASES:
+                yield from held.pop().cast(schema).to_batches(1 << 14)
+        if held:
+            yield from held.pop().cast(schema).to_batches(1 << 14)
+
+    schema = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("words", pa.int32()), ("f", pa.int64())])
     found = arrow_map(texts, count, "lang string, phrase string, words int, f bigint")
     return found.groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f"))
 
@@ -300,7 +306,8 @@ def frequent_phrases(
     texts = docs.select(lang, F.coalesce(F.col("text"), F.lit("")).alias("text"))
     sizes = texts.groupBy("lang").agg(F.sum(F.octet_length("text").cast("long")).alias("total"))
     # Stored, so that its size is known and Spark can join it without a shuffle of the texts.
-    texts = texts.join(stored(sizes, "sizes"), "lang").where("total > 0")
+    sizes = stored(sizes, "sizes")
+    texts = texts.join(sizes, "lang").where("total > 0")
     mined = stored(mine_shards(texts, support, longest, shard_words), "mined")
     sums = stored(
         mined.where("digest is null").groupBy("lang").agg(F.sum("words").alias("n"), F.sum("unseen").alias("_unseen")),
@@ -315,7 +322,9 @@ def frequent_phrases(
         .select("digest")
     )
     known = filter_of(stored(candidates, "candidates"))
-    counted = count_candidates(texts, known, longest, shard_words).where(F.col("f") >= support)
+    every = sizes.agg(F.coalesce(F.sum("total"), F.lit(0))).first()[0]
+    tasks = max(docs.sparkSession.sparkContext.defaultParallelism, -(-every // COUNT_BYTES))
+    counted = count_candidates(texts.coalesce(tasks), known, longest, shard_words).where(F.col("f") >= support)
     return stored(counted, "phrases"), sums.select("lang", "n")
 
 
