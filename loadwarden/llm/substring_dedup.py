@@ -11,11 +11,11 @@ short it is. In a sentence so long that a passage of its own may be a part of it
 windows of words are hashed as well, which begin and end at places that the words
 around them set; repeated ones go. Kept text keeps its own characters, and removed ranges are given by original offsets.
 
-Digests are counted before they are shuffled, and only those met twice are
-joined with their units, so a unit in very many documents is one row per task
-in the count. In the join its rows stream through one task, sorted and spilled,
-and are not held there. Units of one document only meet in a window. The digests
-have 128 bits.
+Units are shuffled by digest once, and their counts and first occurrences are taken in
+a window there. Digests that make up a good part of all units are found beforehand, by lossy
+counting in every task, and not shuffled: they are counted map-side, and as at most
+some thousands they are broadcast to their units. Units of one document only meet in a
+window. The digests have 128 bits.
 
 Cases: null and empty texts have no units; units without a letter or digit are
 no units, and neither repeat nor part a run; Chinese and Japanese letters count as a
@@ -33,6 +33,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -47,13 +48,16 @@ UNIT, WHOLE, LINE, WINDOW = 0, 1, 2, 3
 CUT, CUT_WORDS = 6, 3
 #: So many words more than the least length a sentence, or a passage in one, needs for windows.
 MARGIN = 30
-_UNIT = re.compile(r"[^\n]*?(?:[.!?…]+[\"')\]»”]*(?=\s)|(?=\n)|\Z)")
+#: A digest of more than a HOT_SHARE-th of a task's units is hot if that is half as much of all units.
+HOT_SHARE = 1000
+#: A run of marks is tried at its beginning alone: within it, nothing else can end.
+_UNIT = re.compile(r"[^\n]*?(?:(?<![.!?…])[.!?…]+[\"')\]»”]*(?=\s)|(?=\n)|\Z)")
 _WORDS = re.compile(r"[^\W_]+")
 #: Letters of scripts without blanks. Each counts as a word, and their sentences end without a blank.
 _HAN = "\u2e80-\u2fdf\u3005-\u3007\u3021-\u3029\u3041-\u3096\u309d-\u309f\u30a1-\u30fa\u30fc-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
 _ANY_HAN = re.compile(f"[{_HAN}。！？｡]")
 _HAN_UNIT = re.compile(
-    r"[^\n]*?(?:[。！？｡]+[.!?…。！？｡]*[\"')\]»”’」』）】]*|[.!?…]+[\"')\]»”]*(?=\s)|(?=\n)|\Z)"
+    r"[^\n]*?(?:[。！？｡]+[.!?…。！？｡]*[\"')\]»”’」』）】]*|(?<![.!?…])[.!?…]+[\"')\]»”]*(?=\s)|(?=\n)|\Z)"
 )
 _HAN_WORDS = re.compile(f"[{_HAN}]|[^\\W_{_HAN}]+")
 
@@ -163,6 +167,34 @@ def hashed_units(rows: DataFrame, least_words: int = LEAST_WORDS, whole_lines: b
     )
 
 
+def hot_digests(found: DataFrame) -> DataFrame:
+    """Digests that many units have: all with two in HOT_SHARE of them, and at most 2 * HOT_SHARE digests.
+
+    Counting forgets, after each batch, digests met no more often than there were batches since;
+    what is left of a task's counts is too low by a row per batch at most.
+    """
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: dict[bytes, list[int]] = {}
+        total = 0
+        for bucket, batch in enumerate(batches, 1):
+            total += batch.num_rows
+            for pair in pc.value_counts(batch.column("digest")).to_pylist():
+                entry = met.setdefault(pair["values"], [0, bucket - 1])
+                entry[0] += pair["counts"]
+            met = {d: e for d, e in met.items() if sum(e) > bucket}
+        most = [(d, n) for d, (n, missed) in met.items() if (n + missed) * HOT_SHARE >= total]
+        columns = [pa.array([d for d, _ in most], pa.binary()), pa.array([n for _, n in most], pa.int64())]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array([0] * len(most), pa.int64())], ["digest", "n", "total"])
+        last = [pa.nulls(1, pa.binary()), pa.array([0], pa.int64()), pa.array([total], pa.int64())]
+        yield pa.RecordBatch.from_arrays(last, ["digest", "n", "total"])
+
+    counted = stored(arrow_map(found.select("digest"), count, "digest binary, n bigint, total bigint"), "hot")
+    total = counted.agg(F.coalesce(F.sum("total"), F.lit(0))).first()[0]
+    of_digest = counted.where("digest is not null").groupBy("digest").agg(F.sum("n").alias("n"))
+    return of_digest.where(F.col("n") * (2 * HOT_SHARE) >= total).select("digest")
+
+
 def _repeats(rows: DataFrame, least_words: int, whole_lines: bool) -> DataFrame:
     """The units, and whole lines, of rows that go, each with the occurrence that is kept in its place."""
     found = stored(hashed_units(rows, least_words, whole_lines), "units")
@@ -172,12 +204,21 @@ def _repeats(rows: DataFrame, least_words: int, whole_lines: bool) -> DataFrame:
     of_line = F.col("kind").isin(LINE, WHOLE)
     # A line is held against earlier whole lines, also where one sentence is all of it.
     first_line = F.min(F.when(of_line, rank))
-    firsts = (
-        found.groupBy("digest")
+    hot = F.broadcast(stored(hot_digests(found), "hot_digests"))
+    of_hot = (
+        found.join(hot, "digest")
+        .groupBy("digest")
         .agg(F.count(F.lit(1)).alias("_n"), F.min(rank).alias("first"), first_line.alias("first_line"))
-        .where("_n > 1")
-        .select("digest", "first", "first_line")
     )
+    same = W.partitionBy("digest")
+    others = (
+        found.join(hot, "digest", "left_anti")
+        .withColumn("_n", F.count(F.lit(1)).over(same))
+        .withColumn("first", F.min(rank).over(same))
+        .withColumn("first_line", first_line.over(same))
+    )
+    counted = found.join(F.broadcast(of_hot.withColumnRenamed("digest", "_digest")), F.col("digest") == F.col("_digest"))
+    counted = counted.select(*others.columns).union(others)
 
     def later(than: str) -> Column:
         return (
@@ -186,7 +227,7 @@ def _repeats(rows: DataFrame, least_words: int, whole_lines: bool) -> DataFrame:
             | (F.col("start") != F.col(f"{than}.start"))
         )
 
-    again = found.join(firsts, "digest").where(later("first"))
+    again = counted.where(F.col("_n") > 1).where(later("first"))
     is_unit = F.col("kind").isin(UNIT, WHOLE)
     in_order = W.partitionBy(ROW_ID).orderBy("unit", "kind", "start")
     n_units = F.sum(is_unit.cast("int")).over(in_order)
