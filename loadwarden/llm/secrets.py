@@ -29,13 +29,20 @@ SPANS = "array<struct<kind:string,start:bigint,end:bigint>>"
 
 @dataclass(frozen=True)
 class Rule:
-    """Matches of ``pattern``, leftmost and not overlapping, whose ``group`` has ``least`` characters."""
+    """Matches of ``pattern``, leftmost and not overlapping, whose ``group`` has ``least`` characters.
+
+    ``head`` is what every match begins with, ``run`` the characters of which its first part, up to
+    another one, consists: where that part is followed by what cannot match, no later head in
+    the same run of characters can match either, and none is tried.
+    """
 
     kind: str
     pattern: str
     group: int = 0
     least: int = 1
     any_case: bool = False
+    head: str = ""
+    run: str = ""
 
     @property
     def flags(self) -> int:
@@ -57,12 +64,26 @@ BASE_RULES = (
 MORE_RULES = (
     Rule("github", r"gh[oprsu]_[A-Za-z0-9]+", 0, 40),
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]+", 0, 20),
-    Rule("web_token", r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 40),
+    Rule("web_token", r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 40, head="eyJ", run="[A-Za-z0-9_-]+"),
     Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
 )
 RULES = BASE_RULES + MORE_RULES
 
 
+def matches(rule: Rule, pattern: re.Pattern, text: str) -> Iterator[re.Match]:
+    """The matches of the rule's pattern, as ``finditer`` has them."""
+    if not rule.head:
+        yield from pattern.finditer(text)
+        return
+    run = re.compile(rule.run, rule.flags)
+    at = text.find(rule.head)
+    while at >= 0:
+        match = pattern.match(text, at)
+        if match is not None:
+            yield match
+        at = text.find(rule.head, (match or run.match(text, at)).end())
+
+
 class Scanner:
     """The rules ready to search batches of texts."""
 
@@ -84,7 +105,7 @@ class Scanner:
             for i in self.index.candidates(self.queries[k]).tolist():
                 if i not in decoded:
                     decoded[i] = texts[i].as_py().decode()
-                for match in pattern.finditer(decoded[i]):
+                for match in matches(rule, pattern, decoded[i]):
                     if match.end(rule.group) - match.start(rule.group) >= rule.least:
                         found[i].append((match.start(), k, match.end()))
         return [sorted(spans) for spans in found]
