@@ -135,7 +135,9 @@ def fit_quality(
         docs.select("doc_id", "text")
         .where(F.col("text").isNotNull() & (F.length("text") <= most_chars))
         .join(F.broadcast(chosen), "doc_id")
-        .select("quality", "text", "_place", "doc_id")
+        # One text for each doc_id, however many rows have it, so that the chosen ids bound what is collected.
+        .groupBy("quality", "_place", "doc_id")
+        .agg(F.min("text").alias("text"))
         .collect()
     )
     rows.sort(key=lambda r: (r["_place"], r["doc_id"], r["text"]))
