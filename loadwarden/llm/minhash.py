@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from loadwarden.llm.blocks import Merger, block_pairs, each_block_pair
 from loadwarden.llm.components import components
-from loadwarden.llm.rows import arrow_map, pieces, stored
+from loadwarden.llm.rows import ROW_ID, arrow_map, packed, pieces, stored, unpacked
 
 WIDTH = 5
 COORDINATES = 64
@@ -308,9 +308,16 @@ def _kept() -> Column:
 
 
 def drop_near_duplicates(docs: DataFrame, similar: tuple[int, int] = SIMILAR) -> DataFrame:
-    """The documents, unchanged, of which no near-duplicate with a smaller doc_id is linked.
+    """The documents, unchanged, of which no near-duplicate that comes first is linked.
 
-    Of several rows with a kept doc_id all stay: they are one document to the graph.
+    Rows are the nodes here, so that of equal texts one stays also where doc_ids are null or
+    repeat. The smallest doc_id comes first, null last, and among equal ones the first row.
     """
-    gone = near_duplicates(docs, similar).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")
+    kept = stored(packed(docs), "rows")
+    found = near_duplicates(kept.select(F.col(ROW_ID).alias("doc_id"), F.col("doc.text").alias("text")), similar)
+    rank = F.struct(F.col("id").isNull().alias("none"), "id", ROW_ID)
+    ids = kept.select(ROW_ID, F.col("doc.doc_id").alias("id"))
+    of_row = stored(found.select(F.col("doc_id").alias(ROW_ID), "component_id").join(ids, ROW_ID), "of_row")
+    first = of_row.groupBy("component_id").agg(F.min(rank).alias("first")).select(F.col(f"first.{ROW_ID}").alias(ROW_ID))
+    gone = of_row.select(ROW_ID).join(first, ROW_ID, "left_anti")
+    return unpacked(kept.join(gone, ROW_ID, "left_anti"), docs)

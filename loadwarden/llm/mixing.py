@@ -35,6 +35,8 @@ from loadwarden.llm.rows import BLANKS, ROW_ID, WORD, packed, row_id, stored, un
 
 BLOCK_WORDS = 1024
 SHARDS = 16
+#: Words that a task orders and writes; a shard of more is written as several ranges of its order.
+RANGE_WORDS = 1 << 22
 MAX_REPEATS = 3
 SEED = 17
 #: The last sources or shards that a plan may have to be broadcast; a row of it has some 100 bytes.
@@ -120,12 +122,19 @@ def mix_blocks(
     shards: int = SHARDS,
     seed: int = SEED,
 ) -> DataFrame:
-    """The blocks that the mix takes, each with its shard and its place there.
+    """The blocks that the mix takes, each with its shard and its place there, ``position``.
 
     ``sizes`` is a result of ``measured``, ``targets`` one of ``source_targets``. A row is
     one block in one pass over its source: ``start`` is its first word in the document,
     ``words`` how many words of it are taken.
     """
+    placed = _dealt(sizes, targets, block_words, shards, seed)
+    within = W.partitionBy("shard").orderBy("_place", ROW_ID, "pass", "block")
+    return placed.withColumn("position", F.row_number().over(within) - 1).drop("_place")
+
+
+def _dealt(sizes: DataFrame, targets: DataFrame, block_words: int, shards: int, seed: int) -> DataFrame:
+    """The blocks with their shards; ``_place`` is a hash that gives their order there."""
     if block_words < 1 or shards < 1:
         raise ValueError("block_words and shards are 1 at least")
     passes = targets.select(
@@ -172,7 +181,6 @@ def mix_blocks(
     placed = drawn.join(starts, "source_no").withColumn(
         "shard", F.size(F.filter("_starts", lambda start: start <= F.col("_rank"))) - 1
     )
-    within = W.partitionBy("shard").orderBy(F.md5(_key(seed, "shard")), ROW_ID, "pass", "block")
     return placed.select(
         ROW_ID,
         "doc_id",
@@ -182,7 +190,7 @@ def mix_blocks(
         (F.col("block") * block_words).alias("start"),
         "words",
         "shard",
-        (F.row_number().over(within) - 1).alias("position"),
+        F.md5(_key(seed, "shard")).alias("_place"),
     )
 
 
@@ -431,32 +439,40 @@ def mix_documents(
 
     A block that is a whole document keeps its text as it is; another one has its own words
     with the blanks before each. ``n_chars``, where there, counts the row's own text. The rows
-    of a shard lie together, in their shuffled order.
+    of a shard are written in their shuffled order, by as many tasks as its words need, each with
+    a range of it. A text is split into its blocks once, however many of them are taken.
     """
-    kept = stored(packed(docs), "mixed")
-    sizes = stored(
-        kept.select(
-            ROW_ID, "doc.doc_id", "doc.source", word_count(F.col("doc.text")).alias("size")
-        ),
-        "sizes",
-    )
+    kept = stored(packed(docs).withColumn("_size", word_count(F.col("doc.text"))), "mixed")
+    sizes = kept.select(ROW_ID, "doc.doc_id", "doc.source", F.col("_size").alias("size"))
     targets = stored(source_targets(sizes, weights, max_repeats), "targets")
-    blocks = mix_blocks(sizes, targets, block_words=block_words, shards=shards, seed=seed)
-    taken = blocks.join(sizes.select(ROW_ID, "size"), ROW_ID).select(
-        ROW_ID, "start", "words", "shard", "position", "size"
+    blocks = _dealt(sizes, targets, block_words, shards, seed)
+    words = targets.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0]
+    ranges = -(-words // (RANGE_WORDS * shards)) or 1
+    place = F.conv(F.substring("_place", 1, 8), 16, 10).cast("long")
+    taken = blocks.select(
+        ROW_ID, "block", "words", "shard", "pass", "_place", F.floor(place * ranges / F.lit(1 << 32)).alias("_range")
     )
-    part = F.array_join(
-        F.slice(
-            F.regexp_extract_all("doc.text", F.lit(f"{BLANKS}{WORD}"), F.lit(0)),
-            (F.col("start") + 1).cast("int"),
-            F.col("words").cast("int"),
+    blank_words = F.lit(f"{BLANKS}{WORD}")
+    cut = _let(
+        F.regexp_extract_all("doc.text", blank_words, F.lit(0)),
+        lambda words: F.transform(
+            F.expr(f"sequence(0L, (_size - 1) div {block_words})"),
+            lambda b: F.array_join(F.slice(words, (b * block_words + 1).cast("int"), F.lit(block_words)), ""),
         ),
-        "",
     )
-    whole = (F.col("start") == 0) & (F.col("words") == F.col("size"))
-    mixed = kept.join(taken, ROW_ID).withColumn(
-        "part", F.when(whole, F.col("doc.text")).otherwise(part)
+    # A text of one block stays as it is, with the blanks at its end.
+    parts = kept.where("_size > 0").select(
+        ROW_ID,
+        F.col("doc").withField("text", F.lit(None).cast(docs.schema["text"].dataType)).alias("doc"),
+        F.posexplode(F.when(F.col("_size") > block_words, cut).otherwise(F.array("doc.text"))).alias("block", "_part"),
+    )
+    first_words = F.array_join(
+        F.slice(F.regexp_extract_all("_part", blank_words, F.lit(0)), F.lit(1), F.col("words").cast("int")), ""
+    )
+    mixed = parts.join(taken, [ROW_ID, "block"]).withColumn(
+        "_part", F.when(F.regexp_count("_part", F.lit(WORD)) > F.col("words"), first_words).otherwise(F.col("_part"))
     )
-    new = {"text": F.col("part"), "n_chars": F.length("part")}
-    ordered = mixed.repartition("shard").sortWithinPartitions("shard", "position")
+    new = {"text": F.col("_part"), "n_chars": F.length("_part")}
+    order = ["shard", "_range", "_place", ROW_ID, "pass", "block"]
+    ordered = mixed.repartition("shard", "_range").sortWithinPartitions(*order)
     return unpacked(ordered, docs, new)

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from loadwarden.llm.rows import arrow_map, pieces
-from loadwarden.llm.tokens import loaded, with_end
+from loadwarden.llm.tokens import WORDS_KEPT, loaded, with_end
 
 CAPACITY = 2048
 BLOCK_TOKENS = 1 << 20
@@ -80,8 +80,14 @@ def pack_documents(
     block_tokens: int = BLOCK_TOKENS,
     linear: float = LINEAR,
     quadratic: float = QUADRATIC,
+    words_kept: int = WORDS_KEPT,
+    piece_bytes: int = 4 << 20,
 ) -> DataFrame:
-    """One row per piece; ``ids`` are its token ids as little-endian unsigned 32-bit integers."""
+    """One row per piece; ``ids`` are its token ids as little-endian unsigned 32-bit integers.
+
+    ``words_kept`` pieces of text that a worker remembers, and ``piece_bytes`` of text that it encodes
+    at once, trade its memory for time; ids are the same with any.
+    """
     if capacity < 2 or capacity & (capacity - 1):
         raise ValueError("the capacity is a power of two")
     names = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
@@ -110,10 +116,10 @@ def pack_documents(
             yield pa.RecordBatch.from_arrays(columns, names)
 
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = loaded(tokenizer_path)
+        tokenizer = loaded(tokenizer_path, words_kept)
         number = TaskContext.get().partitionId() << 40
         doc_ids, parts, sizes, held = [], [], [], 0
-        for batch in pieces(batches, 4 << 20):
+        for batch in pieces(batches, piece_bytes):
             ids, bounds = with_end(*tokenizer.encode(batch.column("text")), end_id)
             doc_ids.append(batch.column("doc_id"))
             parts.append(ids)

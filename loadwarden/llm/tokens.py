@@ -121,9 +121,9 @@ def _cut(texts: pa.Array, lower: bool) -> pa.Array:
     return pa.concat_arrays([cut, careful]).take(pa.array(place))
 
 
-def loaded(path: str) -> WordTokenizer:
+def loaded(path: str, words_kept: int = WORDS_KEPT) -> WordTokenizer:
     """This worker's tokenizer, with what it remembers from earlier tasks of the stage."""
-    return kept_in_stage(path, lambda: WordTokenizer(path))
+    return kept_in_stage((path, words_kept), lambda: WordTokenizer(path, words_kept))
 
 
 def with_end(ids: np.ndarray, bounds: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
