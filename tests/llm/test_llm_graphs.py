@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 import re
 from collections import defaultdict
 
@@ -304,3 +305,37 @@ def test_chinese_and_japanese_sentences(make_docs):
     assert done[1].text == rows[0][1] and done[3].text == rows[2][1]
     assert done[2].text == rows[1][1].replace(passage, "")
     assert [u[:3] for u in substring_dedup.units("日本語。かな、abc def！")] == [(0, 4, 3), (4, 15, 4)]
+
+
+def test_runs_of_marks_take_linear_time():
+    text = "Word" + "." * 1_000_000 + "x and " + "。" + "!?" * 300_000 + "y end."
+    begin = time.process_time()
+    found = substring_dedup.units(text)
+    assert time.process_time() - begin < 5 and found[-1][1] == len(text)
+    plain = "Word" + "." * 1_000_000 + "x. Next..) one"
+    begin = time.process_time()
+    assert [u[1] for u in substring_dedup.units(plain)][-1] == len(plain)
+    assert time.process_time() - begin < 3
+
+
+def test_a_unit_in_a_third_of_all_rows(make_docs):
+    rng = random.Random(21)
+    common = sentence(rng, 25)
+    rows = [(i, common + "\n" + "\n".join(sentence(rng) for _ in range(2))) for i in range(200)]
+    rows += [(i, rows[i - 300][1]) for i in range(300, 330)]
+    docs = make_docs(rows).repartition(3)
+    found = substring_dedup.hashed_units(docs.selectExpr("doc_id as _row_id", "doc_id", "text"))
+    hot = substring_dedup.hot_digests(found)
+    assert [bytes(r.digest) for r in hot.collect()].count(substring_dedup.units(common)[0][3]) == 1
+    gone = {(r.doc_id, r.start) for r in substring_dedup.find_repeats(docs).collect()}
+    assert {(i, 0) for i in (*range(1, 200), *range(300, 330))} <= gone and (0, 0) not in gone
+    assert all(len([g for g in gone if g[0] == i]) == 3 for i in range(300, 330))
+
+
+def test_of_equal_texts_one_row_stays_whatever_its_id(make_docs):
+    text = "one two three four five six seven"
+    rows = [(None, text), (None, text), (9, text), (4, text), (4, text), (None, "p q r s t u v"), (None, "p q r s t u v")]
+    kept = minhash.drop_near_duplicates(make_docs(rows + [(1, None), (1, None), (2, "")]))
+    assert sorted(map(repr, ((r.doc_id, r.text) for r in kept.collect()))) == sorted(
+        map(repr, [(4, text), (None, "p q r s t u v"), (1, None), (1, None), (2, "")])
+    )

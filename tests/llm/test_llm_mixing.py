@@ -141,3 +141,17 @@ def test_only_dataframe_functions(make_docs):
     targets = mixing.source_targets(sizes)
     plan = mixing.mix_blocks(sizes, targets)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_ranges_of_shards_and_one_very_long_text(make_docs, monkeypatch):
+    rows = _documents() + [(2000, "w " * 200_000 + "end \n", None, "long")]
+    docs = make_docs(rows)
+
+    def mixed():
+        return sorted((r.doc_id or -1, r.text) for r in mixing.mix_documents(docs, block_words=50, shards=3).collect())
+
+    whole = mixed()
+    monkeypatch.setattr(mixing, "RANGE_WORDS", 1000)
+    assert mixed() == whole
+    targets = {r.source: r.target for r in mixing.source_targets(mixing.measured(docs)).collect()}
+    assert abs(sum(len(t.split()) for i, t in whole if i == 2000) - targets["long"]) <= 0.5 + 1e-9

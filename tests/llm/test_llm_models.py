@@ -177,3 +177,21 @@ def test_likeness_is_bounded():
         assert fingerprints.likeness(a, a) == 1
         for b in marks:
             assert 0 <= fingerprints.likeness(a, b) == fingerprints.likeness(b, a) <= 1
+
+
+def test_marks_alone_have_no_language(make_docs):
+    rows = [(i, text, "en" if i % 2 else "fr", "s") for i, text in enumerate(["the cat", "le chat"] * 20)]
+    model = language.fit_language(make_docs(rows))
+    odd = make_docs([(1, "\u0301\u0302"), (2, "12 \u0301 !"), (3, "e\u0301 the"), (4, None)])
+    found = {r.doc_id: (r.lang_pred, r.score, len(r.spans)) for r in language.identify_language(odd, model).collect()}
+    assert found[1] == found[2] == found[4] == ("und", 0.0, 0)
+    assert found[3][0] != "und" and found[3][2] >= 1
+
+
+def test_a_doc_id_that_repeats_teaches_one_text(spark, make_docs):
+    good = [(i, f"a good plain text number {i} with words", "en", "s") for i in range(30)]
+    bad = [(100 + i, f"xx {i} zz!!! qq $$$ {i * 7}", "en", "s") for i in range(30)]
+    labels = spark.createDataFrame([(i, int(i < 100), 0) for i, *_ in good + bad], "doc_id bigint, quality int, toxic int")
+    once = quality.fit_quality(make_docs(good + bad), labels)
+    again = quality.fit_quality(make_docs(good + bad + [(3, good[3][1], "en", "s")] * 200), labels)
+    assert once.dictionaries == again.dictionaries

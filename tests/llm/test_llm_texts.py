@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 import zlib
 from collections import defaultdict
 
@@ -187,3 +188,26 @@ def test_pieces_have_every_id_once(make_docs):
             at += length
         assert at == 256 or at & (at - 1) == 0
     assert packing.pack_documents(make_docs([(1, "a")]).limit(0), BYTES).collect() == []
+
+
+def test_web_tokens_are_tried_once_in_a_run():
+    rule = next(r for r in secrets.RULES if r.kind == "web_token")
+    pattern = re.compile(rule.pattern, rule.flags)
+    rng = random.Random(4)
+    texts = ["".join(rng.choice(["eyJ", "a", ".", "-", " ", "eyJx.y.z"]) for _ in range(30)) for _ in range(3000)]
+    for text in texts:
+        assert [m.span() for m in secrets.matches(rule, pattern, text)] == [m.span() for m in pattern.finditer(text)]
+    begin = time.process_time()
+    assert not list(secrets.matches(rule, pattern, "eyJ" * 350_000))
+    assert time.process_time() - begin < 2
+
+
+def test_packing_with_little_memory_gives_the_same_ids(make_docs):
+    rows = texts_like_prose(40) + ODD
+    found = []
+    for memory in ({}, {"words_kept": 20, "piece_bytes": 500}):
+        ids = defaultdict(list)
+        for r in packing.pack_documents(make_docs(rows), BYTES, capacity=256, block_tokens=3000, **memory).collect():
+            ids[r.doc_id, r.doc_tokens].append((r.start, bytes(r.ids)))
+        found.append({k: b"".join(data for _, data in sorted(v)) for k, v in ids.items() if k[0] != 6})
+    assert found[0] == found[1]
