@@ -313,7 +313,7 @@ def drop_near_duplicates(docs: DataFrame, similar: tuple[int, int] = SIMILAR) ->
     Rows are the nodes here, so that of equal texts one stays also where doc_ids are null or
     repeat. The smallest doc_id comes first, null last, and among equal ones the first row.
     """
-    kept = stored(packed(docs), "rows")
+    kept = stored(packed(docs), "rows", "zstd")
     found = near_duplicates(kept.select(F.col(ROW_ID).alias("doc_id"), F.col("doc.text").alias("text")), similar)
     rank = F.struct(F.col("id").isNull().alias("none"), "id", ROW_ID)
     ids = kept.select(ROW_ID, F.col("doc.doc_id").alias("id"))

@@ -36,7 +36,7 @@ from loadwarden.llm.rows import BLANKS, ROW_ID, WORD, packed, row_id, stored, un
 BLOCK_WORDS = 1024
 SHARDS = 16
 #: Words that a task orders and writes; a shard of more is written as several ranges of its order.
-RANGE_WORDS = 1 << 22
+RANGE_WORDS = 1 << 20
 MAX_REPEATS = 3
 SEED = 17
 #: The last sources or shards that a plan may have to be broadcast; a row of it has some 100 bytes.
@@ -442,7 +442,7 @@ def mix_documents(
     of a shard are written in their shuffled order, by as many tasks as its words need, each with
     a range of it. A text is split into its blocks once, however many of them are taken.
     """
-    kept = stored(packed(docs).withColumn("_size", word_count(F.col("doc.text"))), "mixed")
+    kept = stored(packed(docs).withColumn("_size", word_count(F.col("doc.text"))), "mixed", "zstd")
     sizes = kept.select(ROW_ID, "doc.doc_id", "doc.source", F.col("_size").alias("size"))
     targets = stored(source_targets(sizes, weights, max_repeats), "targets")
     blocks = _dealt(sizes, targets, block_words, shards, seed)

@@ -21,10 +21,13 @@ WORD = r"[^\x20\x09-\x0D]+"
 BLANKS = r"[\x20\x09-\x0D]*"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in the shared scratch folder: computed once, and not lost with an executor."""
+def stored(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
+    """``df`` as a table in the shared scratch folder: computed once, and not lost with an executor.
+
+    ``compression`` is for copies of texts; other tables take the session's.
+    """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
