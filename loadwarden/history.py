@@ -1,4 +1,4 @@
-"""What was loaded when: a row for each load of a table, and one for each time a load was checked."""
+"""What was loaded when: a row for each load of a table, and one each for its publishing and its checks."""
 
 from __future__ import annotations
 
@@ -9,12 +9,12 @@ from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from loadwarden.frames import small_frame
 
-LOADED, CHECKED = "loaded", "checked"
+#: ``loaded`` is what a load was recorded as when publishing was not recorded: it counts as published.
+LOADED, WRITTEN, PUBLISHED, CHECKED = "loaded", "written", "published", "checked"
 
 HISTORY_SCHEMA = StructType(
     [
@@ -29,13 +29,14 @@ HISTORY_SCHEMA = StructType(
 
 @dataclass(frozen=True)
 class Load:
-    """One load: its rows, where they lie and with which columns; whether its quality was checked."""
+    """One load: its rows, where they lie and with which columns; whether it was checked and published."""
 
     load_id: str
     num_rows: int
     folder: str
     columns: StructType
     checked: bool
+    published: bool = True
 
     def read(self, spark: SparkSession) -> DataFrame:
         """The loaded rows, with the types they were written with."""
@@ -53,7 +54,11 @@ def new_load_id() -> str:
 
 
 def record_load(spark: SparkSession, target_path: str, load: Load) -> None:
-    _append(spark, target_path, load.load_id, LOADED, load)
+    _append(spark, target_path, load.load_id, WRITTEN, load)
+
+
+def record_publishing(spark: SparkSession, target_path: str, load: Load) -> None:
+    _append(spark, target_path, load.load_id, PUBLISHED, load)
 
 
 def record_check(spark: SparkSession, target_path: str, load: Load) -> None:
@@ -85,26 +90,22 @@ def read_loads(spark: SparkSession, target_path: str) -> list[Load]:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return []
-    # One row per load, that is per run of the job.
-    rows = (
-        stored.groupBy("load_id")
-        .agg(
-            F.max("num_rows").alias("num_rows"),
-            F.max("folder").alias("folder"),
-            F.max("columns").alias("columns"),
-            F.bool_or(F.col("event") == CHECKED).alias("checked"),
-        )
-        .collect()
-    )
+    # A few rows per run of the job, so they are put together here.
+    rows = stored.collect()
+    events: dict[str, set[str]] = {}
+    for row in rows:
+        events.setdefault(row["load_id"], set()).add(row["event"])
+    first = {row["load_id"]: row for row in rows}
     return [
         Load(
-            row["load_id"],
+            load_id,
             row["num_rows"],
             row["folder"],
             StructType.fromJson(json.loads(row["columns"])),
-            row["checked"],
+            CHECKED in events[load_id],
+            bool(events[load_id] & {LOADED, PUBLISHED, CHECKED}),
         )
-        for row in sorted(rows, key=lambda row: row["load_id"])
+        for load_id, row in sorted(first.items())
     ]
 
 
@@ -113,8 +114,8 @@ def baseline(loads: list[Load]) -> Load | None:
 
     That is the newest earlier load whose quality was checked: one that was not, because its
     run broke off or nobody ran the checks, must not become the measure of the next. Where
-    none was checked it is the oldest.
+    none was checked it is the oldest. One that was never published is no measure.
     """
-    earlier = loads[:-1]
+    earlier = [load for load in loads[:-1] if load.published]
     checked = [load for load in earlier if load.checked]
     return checked[-1] if checked else earlier[0] if earlier else None

@@ -4,6 +4,7 @@ from loadwarden.operators.checks import (
     RESULT_SCHEMA,
     column_count_check,
     combine_results,
+    manifest_checks,
     primary_key_check,
     quality_checks,
     row_count_drift,
@@ -40,6 +41,7 @@ __all__ = [
     "inner_join_using",
     "key_counts",
     "load_alert",
+    "manifest_checks",
     "merge_ledger",
     "primary_key_check",
     "quality_checks",

@@ -30,6 +30,7 @@ from loadwarden.labels import (
     PRIMARY_KEY_TEST,
     UNEXPECTED_TYPE,
 )
+from loadwarden.manifest import manifest_counts
 from loadwarden.operators.counts import key_counts, row_count
 
 RESULT_SCHEMA = StructType(
@@ -255,3 +256,19 @@ def quality_checks(
         results.append(_floor_result(minimum, table_name, checked_at))
     measures = row_count(df) if missing else key_counts(df, keys)
     return _rows(_with_previous(measures, previous), results)
+
+
+def manifest_checks(
+    manifest: DataFrame,
+    table_name: str,
+    *,
+    threshold: float,
+    previous: DataFrame | int | None = None,
+    minimum: int | None = None,
+    checked_at: Timestamp = None,
+) -> DataFrame:
+    """Growth and floor of a load from its manifest: no row of the table is read."""
+    results = [_drift_result(threshold, table_name, checked_at)]
+    if minimum is not None:
+        results.append(_floor_result(minimum, table_name, checked_at))
+    return _rows(_with_previous(manifest_counts(manifest).select("num_rows"), previous), results)

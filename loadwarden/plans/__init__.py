@@ -9,13 +9,14 @@ from loadwarden.plans.jobs import (
     unit_test_job,
     watched_ledger,
 )
-from loadwarden.plans.load import load_pipeline, publish, published_rows
+from loadwarden.plans.load import load_manifest, load_pipeline, publish, published_rows, write_load
 from loadwarden.plans.script import run_sql_script, script_statements, show_results
 
 __all__ = [
     "DailyRun",
     "analytics_job",
     "daily_run",
+    "load_manifest",
     "load_pipeline",
     "publish",
     "monitoring_job",
@@ -26,4 +27,5 @@ __all__ = [
     "show_results",
     "unit_test_job",
     "watched_ledger",
+    "write_load",
 ]

@@ -10,7 +10,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from loadwarden.config import LoadConfig
-from loadwarden.history import baseline, read_loads, record_check
+from loadwarden import journal as steps
+from loadwarden.history import Load, baseline, read_loads, record_check
 from loadwarden.labels import DATA_QUALITY, UNIT_TEST
 from loadwarden.operators import (
     column_count_check,
@@ -21,7 +22,7 @@ from loadwarden.operators import (
     status_rollup,
     with_missing,
 )
-from loadwarden.plans.load import load_pipeline, loaded, publish, script_params, script_text
+from loadwarden.plans.load import loaded, publish, published_loads, remove_old_loads, script_params, script_text, write_load
 from loadwarden.plans.script import run_sql_script
 from loadwarden.sinks import append_ledger, overwrite_parquet, write_results
 from loadwarden.sources import read_ledger, read_parquet, read_results
@@ -46,17 +47,18 @@ class DailyRun:
 
 def analytics_job(spark: SparkSession, config: LoadConfig, script: str) -> list[DataFrame]:
     """Publish the target table in this session and run a script text over it."""
-    publish(spark, config)
-    return _analysed(spark, config, script)
+    load = loaded(spark, config)
+    publish(spark, config, load)
+    return _analysed(spark, config, script, load)
 
 
-def _analysed(spark: SparkSession, config: LoadConfig, script: str) -> list[DataFrame]:
+def _analysed(spark: SparkSession, config: LoadConfig, script: str, load: Load) -> list[DataFrame]:
     """The results of a script's statements; those of queries are computed here, once, and stored.
 
     A query that fails fails the job. Column names that a result has twice get a number.
     """
     results = []
-    for number, found in enumerate(run_sql_script(spark, script, script_params(config, loaded(spark, config)))):
+    for number, found in enumerate(run_sql_script(spark, script, script_params(config, load))):
         if not found.columns or found.isLocal():  # a command has done its work
             results.append(found)
             continue
@@ -97,7 +99,7 @@ def unit_test_job(
     ``table`` saves another listing of the target files where the caller has it.
     """
     if table is None:
-        table = loaded(spark, config).read(spark)
+        table = published_loads(spark, config)[-1].read(spark)
     results = combine_results(
         schema_conformance(table, config.expected_columns, config.table, checked_at),
         column_count_check(table, len(config.expected_columns), config.table, checked_at),
@@ -119,9 +121,7 @@ def quality_job(
     compared with the newest earlier one that was checked, as the history of loads has it; a
     first load shows no growth.
     """
-    loads = read_loads(spark, config.target_path)
-    if not loads:
-        raise ValueError(f"no load of {config.target_path} was completed")
+    loads = published_loads(spark, config)
     if table is None:
         table = loads[-1].read(spark)
     if previous is None and (before := baseline(loads)) is not None:
@@ -157,21 +157,50 @@ def daily_run(
     run_date: Day = None,
     load_ts: Timestamp = None,
 ) -> DailyRun:
-    """Load, analytics, unit tests, quality checks and monitoring, in this order."""
-    logger.info("loading %s.%s", config.database, config.table)
-    table = load_pipeline(spark, config, load_ts)
+    """Load, analytics, unit tests, quality checks and monitoring, in this order.
+
+    Each step that is done is recorded. A run of the same day and settings that broke off is taken
+    up where it did: its load is not written again, nor are steps that were recorded done again. After
+    a run that came to its end, the next one is a new one.
+    """
+    today = run_date if run_date is not None else spark.sql("select current_date()").first()[0]
+    journal = steps.Journal(spark, config, today)
+    load = _load_of(spark, config, journal.done(steps.LOAD))
+    if load is None:
+        logger.info("loading %s.%s", config.database, config.table)
+        load = write_load(spark, config, load_ts)
+        journal.record(steps.LOAD, load_id=load.load_id)
+    else:
+        logger.info("going on with load %s of %s.%s", load.load_id, config.database, config.table)
+    table = publish(spark, config, load)
 
     analytics: list[DataFrame] = []
     if config.analytics_script is not None:
         script = script_text(spark, config.analytics_script)
-        analytics = _analysed(spark, config, script)
+        analytics = _analysed(spark, config, script, load)
 
     logger.info("checking %s", config.target_path)
-    unit_tests = unit_test_job(spark, config, run_date, load_ts, table)
-    quality = quality_job(spark, config, None, run_date, load_ts, table)
+    outcomes = []
+    for step, test_type, job in (
+        (steps.UNIT_TESTS, UNIT_TEST, lambda: unit_test_job(spark, config, run_date, load_ts, table)),
+        (steps.QUALITY, DATA_QUALITY, lambda: quality_job(spark, config, None, run_date, load_ts, table)),
+    ):
+        if journal.done(step) is None:
+            outcomes.append(job())
+            journal.record(step, load_id=load.load_id)
+        else:
+            path = f"{config.results_path}/{test_type}/{config.table}"
+            outcomes.append(read_results(spark, path, config.results_format))
 
     ledger = read_ledger(spark, config.ledger_path)
-    today = run_date if run_date is not None else spark.sql("select current_date()").first()[0]
     alert = load_alert(watched_ledger(spark, config, today))
+    remove_old_loads(spark, config)
+    journal.record(steps.END)
     logger.info("recorded the run in %s", config.ledger_path)
-    return DailyRun(table, analytics, unit_tests, quality, ledger, alert)
+    return DailyRun(table, analytics, *outcomes, ledger, alert)
+
+
+def _load_of(spark: SparkSession, config: LoadConfig, recorded: dict | None) -> Load | None:
+    """The load that a journal names, if it still is the newest one; None where it has to be made."""
+    loads = read_loads(spark, config.target_path) if recorded is not None else []
+    return loads[-1] if loads and loads[-1].load_id == recorded["load_id"] else None

@@ -1,13 +1,14 @@
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from loadwarden.config import LoadConfig
-from loadwarden.history import Load, loads_path, new_load_id, read_loads, record_load
+from loadwarden.history import Load, loads_path, new_load_id, read_loads, record_load, record_publishing
+from loadwarden.manifest import manifest_path, read_manifest, write_manifest
 from loadwarden.operators import add_audit_columns, inner_join_using
 from loadwarden.plans.script import run_sql_script
 from loadwarden.sinks import overwrite_parquet, publish_table
@@ -15,30 +16,47 @@ from loadwarden.sources import read_source, read_table
 
 
 def loaded(spark: SparkSession, config: LoadConfig) -> Load:
-    """The newest load of the target table."""
+    """The newest load of the target table, published or not."""
     loads = read_loads(spark, config.target_path)
     if not loads:
         raise ValueError(f"no load of {config.target_path} was completed")
     return loads[-1]
 
 
+def published_loads(spark: SparkSession, config: LoadConfig) -> list[Load]:
+    """The loads that were published, the oldest first: the last one is what the table shows."""
+    loads = [load for load in read_loads(spark, config.target_path) if load.published]
+    if not loads:
+        raise ValueError(f"no load of {config.target_path} was completed")
+    return loads
+
+
 def published_rows(spark: SparkSession, config: LoadConfig) -> int | None:
-    """Rows of the newest load; None if there never was one."""
-    loads = read_loads(spark, config.target_path)
+    """Rows of the newest published load; None if there never was one."""
+    loads = [load for load in read_loads(spark, config.target_path) if load.published]
     return loads[-1].num_rows if loads else None
 
 
-def publish(spark: SparkSession, config: LoadConfig) -> DataFrame:
-    """The newest load as the configured catalog table.
+def load_manifest(spark: SparkSession, config: LoadConfig, load: Load | None = None) -> DataFrame:
+    """The files of a load, by default the newest published one, with their rows, bytes and key ranges."""
+    load = published_loads(spark, config)[-1] if load is None else load
+    return read_manifest(spark, manifest_path(loads_path(config.target_path), load.load_id))
+
 
-    A configured DDL script is run after that, for what else it defines.
+def publish(spark: SparkSession, config: LoadConfig, load: Load | None = None) -> DataFrame:
+    """A load, by default the newest one, as the configured catalog table.
+
+    A configured DDL script is run after that, for what else it defines. Only then the load counts
+    as published: one whose script fails is not what later checks look at.
     """
-    load = loaded(spark, config)
+    load = loaded(spark, config) if load is None else load
     publish_table(
         spark, config.database, config.table, load.folder, load.columns, config.partition_by
     )
     if config.ddl_script is not None:
         run_sql_script(spark, script_text(spark, config.ddl_script), script_params(config, load))
+    if not load.published:
+        record_publishing(spark, config.target_path, load)
     return read_table(spark, config.database, config.table)
 
 
@@ -65,11 +83,11 @@ def _adopt(spark: SparkSession, config: LoadConfig) -> None:
         if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         return
-    record_load(
-        spark,
-        config.target_path,
-        Load("0-before", table.count(), config.target_path, table.schema, True),
-    )
+    path = manifest_path(loads_path(config.target_path), "0-before")
+    rows = write_manifest(table, config.key_columns, path)
+    load = Load("0-before", rows, config.target_path, table.schema, True)
+    record_load(spark, config.target_path, load)
+    record_publishing(spark, config.target_path, load)
 
 
 def load_pipeline(
@@ -80,6 +98,18 @@ def load_pipeline(
     Each load has a folder of its own beside the target path. The table is pointed to it only
     after all of it was written, so a load that fails leaves the former one as it is.
     """
+    load = write_load(spark, config, load_ts)
+    table = publish(spark, config, load)
+    remove_old_loads(spark, config)
+    return table
+
+
+def write_load(spark: SparkSession, config: LoadConfig, load_ts: dt.datetime | str | None = None) -> Load:
+    """Join, stamp and write a new load, with its manifest; it is recorded, but not published.
+
+    Rows are counted in the files that were written: a count in the tasks would count rows twice
+    that a lost executor's tasks wrote again.
+    """
     _adopt(spark, config)
     joined = inner_join_using(
         read_source(spark, config.left), read_source(spark, config.right), config.join_on
@@ -87,22 +117,16 @@ def load_pipeline(
     stamped = add_audit_columns(joined, config.batch_id, load_ts)
     load_id = new_load_id()
     folder = f"{loads_path(config.target_path)}/{load_id}"
-    seen = Observation()
-    overwrite_parquet(
-        stamped.observe(seen, F.count(F.lit(1)).alias("num_rows")),
-        folder,
-        config.partition_by,
-        config.max_records_per_file,
-    )
-    record_load(
-        spark, config.target_path, Load(load_id, seen.get["num_rows"], folder, stamped.schema, False)
-    )
-    table = publish(spark, config)
-    _remove_old(spark, config)
-    return table
+    overwrite_parquet(stamped, folder, config.partition_by, config.max_records_per_file)
+    load = Load(load_id, 0, folder, stamped.schema, False, False)
+    path = manifest_path(loads_path(config.target_path), load_id)
+    files = spark.read.schema(load.columns).parquet(folder)
+    load = dataclasses.replace(load, num_rows=write_manifest(files, config.key_columns, path))
+    record_load(spark, config.target_path, load)
+    return load
 
 
-def _remove_old(spark: SparkSession, config: LoadConfig) -> None:
+def remove_old_loads(spark: SparkSession, config: LoadConfig) -> None:
     """Remove the files of all but the newest ``keep_loads`` loads; the history keeps its rows."""
     if config.keep_loads is None:
         return

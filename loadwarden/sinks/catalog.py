@@ -1,7 +1,8 @@
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass, field
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from itertools import takewhile
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,8 @@ from pyspark.sql.types import StructType
 
 from loadwarden.names import checked_identifier, qualified_name
 
+_LIST_PARTITIONS = "spark.sql.hive.manageFilesourcePartitions"
+
 # Properties that Spark keeps for itself and takes from no statement.
 _OWN_PROPERTIES = ("spark.sql.", "transient_lastDdlTime", "numFiles", "totalSize", "EXTERNAL")
 
@@ -22,30 +25,36 @@ class _Definition:
     columns: StructType
     partitions: tuple[str, ...] = ()
     comment: str | None = None
-    properties: dict[str, str] = field(default_factory=dict)
+    listed: bool = False  # the catalog keeps a list of the partitions, each with its place
 
 
 def _definition(spark: SparkSession, name: str) -> _Definition:
     described = spark.sql(f"DESCRIBE FORMATTED {name}").collect()
     # The table's own columns come first and may have any name, so the last row wins.
     details = {row["col_name"]: row["data_type"] for row in described}
-    properties = {
-        row["key"]: row["value"]
-        for row in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
-        if not row["key"].startswith(_OWN_PROPERTIES)
-    }
-    database, table = (part.strip("`") for part in name.split("."))
-    columns = spark.catalog.listColumns(f"{database}.{table}")
+    names = [row["col_name"] for row in described]
+    partitions: list[str] = []
+    if "# Partition Information" in names:
+        begin = len(names) - names[::-1].index("# Partition Information") + 1
+        partitions = list(takewhile(lambda n: n != "", names[begin:]))
     return _Definition(
         kind=details["Type"],
         location=details["Location"],
         columns=spark.table(name).schema,
-        partitions=tuple(c.name for c in columns if c.isPartition),
+        partitions=tuple(partitions),
         comment=details.get("Comment"),
-        properties=properties,
+        listed=details.get("Partition Provider") == "Catalog",
     )
 
 
+def _properties(spark: SparkSession, name: str) -> dict[str, str]:
+    return {
+        row["key"]: row["value"]
+        for row in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
+        if not row["key"].startswith(_OWN_PROPERTIES)
+    }
+
+
 def qualified_path(spark: SparkSession, path: str) -> str:
     """The path with the scheme and the host that the session's file systems give it."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -85,8 +94,13 @@ def _create(
     columns: list[tuple[str, str]],
     partitions: Sequence[str],
     former: _Definition | None,
+    properties: Mapping[str, str],
 ) -> None:
-    """Define the table; comments and properties of a former definition are carried over."""
+    """Define the table; comments and properties of a former definition are carried over.
+
+    The catalog does not list the partitions of a partitioned table, which are found in its
+    folder: so the table moves, with all of its partitions, when its location is set.
+    """
     comments = {}
     if former is not None:
         comments = {
@@ -99,10 +113,15 @@ def _create(
     parts.append(f"LOCATION {_text(path)}")
     if former is not None and former.comment:
         parts.append(f"COMMENT {_text(former.comment)}")
-    if former is not None and former.properties:
-        listed = ", ".join(f"{_text(k)} = {_text(v)}" for k, v in former.properties.items())
+    if properties:
+        listed = ", ".join(f"{_text(k)} = {_text(v)}" for k, v in properties.items())
         parts.append(f"TBLPROPERTIES ({listed})")
-    spark.sql(" ".join(parts))
+    before = spark.conf.get(_LIST_PARTITIONS)
+    spark.conf.set(_LIST_PARTITIONS, "false")
+    try:
+        spark.sql(" ".join(parts))
+    finally:
+        spark.conf.set(_LIST_PARTITIONS, before)
 
 
 def publish_table(
@@ -117,8 +136,10 @@ def publish_table(
 
     ``schema`` is that of the written rows; without it, it is read from the files, and
     partition columns have the types that their folders' names look like. A
-    definition with the same columns is pointed to the path, and added columns are added to
-    it. For other changes it is created anew, with the comments and properties it had.
+    definition with the same columns is pointed to the path, partitioned or not, in one step of
+    the catalog: a reader finds the former rows before it and the new ones after it. Added columns
+    are added first. For other changes, and once for a partitioned table whose partitions the
+    catalog lists, it is created anew, with the comments and properties it had.
     Dropping an external table leaves its files; a managed one is never dropped.
     """
     name = qualified_name(database, table)
@@ -129,11 +150,9 @@ def publish_table(
     columns = _types(schema, partition_by)
     former = _definition(spark, name) if spark.catalog.tableExists(name) else None
     if former is None:
-        _create(spark, name, path, columns, partition_by, None)
+        _create(spark, name, path, columns, partition_by, None, {})
     else:
         _redefine(spark, name, path, columns, tuple(partition_by), former)
-    if partition_by:
-        spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
     spark.catalog.refreshTable(name)
     return spark.table(name)
 
@@ -148,17 +167,19 @@ def _redefine(
 ) -> None:
     known = _types(former.columns, former.partitions)
     moved = qualified_path(spark, former.location) != qualified_path(spark, path)
-    if known == columns and former.partitions == partitions and not moved:
+    same = former.partitions == partitions and not former.listed
+    if known == columns and same and not moved:
         return
     if former.kind != "EXTERNAL":
         raise ValueError(f"{name} is a {former.kind} table, dropping it would drop its data")
-    added = columns[len(known) :]
-    # The catalog keeps the place of every partition, so a partitioned table cannot just move.
-    if partitions or former.partitions or known != columns[: len(known)]:
+    # Partition columns are the last ones, and new ones are added before them.
+    data, had = (found[: len(found) - len(partitions)] for found in (columns, known))
+    if not same or data[: len(had)] != had or columns[len(data) :] != known[len(had) :]:
+        properties = _properties(spark, name)
         spark.sql(f"DROP TABLE {name}")
-        _create(spark, name, path, columns, partitions, former)
+        _create(spark, name, path, columns, partitions, former, properties)
         return
-    if added:
+    if added := data[len(had) :]:
         listed = ", ".join(_column(c, kind, {}) for c, kind in added)
         spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({listed})")
     if moved:

@@ -1,0 +1,224 @@
+"""Loads that break off, are read while they happen, or are recorded by several writers."""
+
+from __future__ import annotations
+
+import dataclasses
+import datetime as dt
+import threading
+from concurrent.futures import ThreadPoolExecutor
+
+import pytest
+
+from loadwarden.commits import create_once, names_in, read_text
+from loadwarden.config import LoadConfig
+from loadwarden.history import baseline, read_loads
+from loadwarden.journal import Journal, config_digest
+from loadwarden.manifest import files_with_key, manifest_counts, manifest_of
+from loadwarden.operators import manifest_checks
+from loadwarden.plans import daily_run, jobs, load_manifest, load_pipeline, published_rows, quality_job
+from loadwarden.sinks import append_ledger, overwrite_parquet, publish_table
+from loadwarden.sources import Source, read_ledger
+from loadwarden.sources.ledger import COMMITS, STAGED, commit_ledger, settle_ledger, stored_ledger
+
+DAY = dt.date(2024, 1, 1)
+LOAD_TS = "2024-01-01 06:00:00"
+LEDGER = "table_name string, status string, test_type string, date date"
+
+
+@pytest.fixture
+def config(spark, tmp_path, request):
+    spark.range(0, 600, 1, 3).selectExpr("id", "cast(id % 3 as string) as side").write.parquet(str(tmp_path / "left"))
+    spark.range(0, 600, 1, 2).selectExpr("id", "id * 2 as twice").write.parquet(str(tmp_path / "right"))
+    return LoadConfig(
+        left=Source(str(tmp_path / "left"), "parquet"),
+        right=Source(str(tmp_path / "right"), "parquet"),
+        join_on=["id"],
+        database="db_safe_" + "".join(c for c in request.node.name if c.isalnum()).lower(),
+        table="t",
+        target_path=str(tmp_path / "out" / "t"),
+        results_path=str(tmp_path / "monitoring"),
+        ledger_path=str(tmp_path / "monitoring" / "ledger"),
+        key_columns=["id"],
+        expected_columns=[("id", "bigint"), ("side", "string"), ("twice", "bigint"), ("batch_id", "string"), ("load_date", "string")],
+    )
+
+
+def less(spark, config, tmp_path):
+    """The same load over a smaller left side."""
+    spark.range(0, 400).selectExpr("id", "cast(id % 2 as string) as side").write.mode("overwrite").parquet(str(tmp_path / "less"))
+    return dataclasses.replace(config, left=Source(str(tmp_path / "less"), "parquet"))
+
+
+# --- publishing
+
+
+@pytest.mark.parametrize("partition_by", [(), ("side",)])
+def test_a_reader_during_reloads_never_fails_and_always_finds_rows(spark, config, tmp_path, partition_by):
+    config = dataclasses.replace(config, partition_by=partition_by)
+    load_pipeline(spark, config, LOAD_TS)
+    found, stop = [], threading.Event()
+
+    def read():
+        while not stop.is_set():
+            found.append(spark.sql(f"SELECT count(twice) FROM {config.database}.t").first()[0])
+
+    with ThreadPoolExecutor(1) as pool:
+        reader = pool.submit(read)
+        try:
+            for one in (less(spark, config, tmp_path), config, less(spark, config, tmp_path)):
+                load_pipeline(spark, one, LOAD_TS)
+        finally:
+            stop.set()
+        reader.result()
+    assert set(found) <= {600, 400} and len(found) > 3
+    assert spark.table(f"{config.database}.t").count() == 400
+
+
+def test_partitions_and_new_columns_follow_the_location(spark, rows, tmp_path):
+    paths = [str(tmp_path / str(k)) for k in range(3)]
+    frames = [
+        spark.range(4).selectExpr("id", "lpad(id % 2, 2, '0') as part"),
+        spark.range(6).selectExpr("id", "lpad(id % 3, 2, '0') as part"),
+        spark.range(2).selectExpr("id", "'x' as extra", "'07' as part"),
+    ]
+    for path, frame in zip(paths, frames):
+        overwrite_parquet(frame, path, ["part"])
+        table = publish_table(spark, "db_safe_parts", "t", path, frame.schema, ["part"])
+        assert rows(table.select(*frame.columns)) == rows(frame)
+        pruned = table.where("part = '01'")._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(part" in pruned
+    details = {r["col_name"]: r["data_type"] for r in spark.sql("describe formatted db_safe_parts.t").collect()}
+    assert details["Type"] == "EXTERNAL" and "Partition Provider" not in details
+
+
+def test_a_table_whose_partitions_the_catalog_lists_is_taken_over(spark, rows, tmp_path):
+    old, new = str(tmp_path / "old"), str(tmp_path / "new")
+    frame = spark.range(4).selectExpr("id", "id % 2 as part")
+    overwrite_parquet(frame, old, ["part"])
+    spark.sql("create database if not exists db_safe_listed")
+    spark.sql(f"create table db_safe_listed.t (id bigint, part bigint) using parquet partitioned by (part) location '{old}'")
+    spark.sql("msck repair table db_safe_listed.t")
+    overwrite_parquet(frame.where("id > 0"), new, ["part"])
+    assert publish_table(spark, "db_safe_listed", "t", new, frame.schema, ["part"]).count() == 3
+    overwrite_parquet(frame.where("id > 2"), old, ["part"])
+    assert rows(publish_table(spark, "db_safe_listed", "t", old, frame.schema, ["part"])) == [(3, 1)]
+
+
+def test_a_load_whose_ddl_fails_is_not_published(spark, config, tmp_path):
+    load_pipeline(spark, config, LOAD_TS)
+    (tmp_path / "ddl.sql").write_text("ALTER TABLE ${db_name}.nothing SET TBLPROPERTIES ('a' = 'b')")
+    broken = dataclasses.replace(less(spark, config, tmp_path), ddl_script=str(tmp_path / "ddl.sql"))
+    with pytest.raises(Exception, match="(?i)not.found"):
+        load_pipeline(spark, broken, LOAD_TS)
+    loads = read_loads(spark, config.target_path)
+    assert [(load.num_rows, load.published) for load in loads] == [(600, True), (400, False)]
+    assert published_rows(spark, config) == 600
+    (outcome,) = [r for r in quality_job(spark, config, None, DAY).collect() if r.test_name == "test_count_increase"]
+    assert outcome.status == "PASS"
+    load_pipeline(spark, config, LOAD_TS)
+    loads = read_loads(spark, config.target_path)
+    assert loads[-1].published and baseline(loads).load_id == loads[0].load_id and loads[0].checked
+
+
+# --- manifests
+
+
+def test_manifest_tells_what_a_scan_would(spark, config, rows):
+    config = dataclasses.replace(config, partition_by=("side",), max_records_per_file=90)
+    table = load_pipeline(spark, config, LOAD_TS)
+    manifest = load_manifest(spark, config)
+    counts = manifest_counts(manifest).first()
+    assert counts.num_rows == table.count() == 600 and counts.num_files == len(table.inputFiles()) >= 7
+    ranges = manifest.selectExpr("key_ranges[0].key as name", "cast(key_ranges[0].least as int) a", "cast(key_ranges[0].most as int) b").collect()
+    assert {r.name for r in ranges} == {"id"} and (min(r.a for r in ranges), max(r.b for r in ranges)) == (0, 599)
+    folder = read_loads(spark, config.target_path)[-1].folder
+    with_key = {r.file for r in files_with_key(manifest, "id", "321", "bigint").collect()}
+    holding = spark.read.parquet(folder).where("id = 321").selectExpr("_metadata.file_path").first()[0]
+    assert holding in with_key and len(with_key) < counts.num_files
+    checks = manifest_checks(manifest, "t", threshold=10, previous=500, minimum=601)
+    assert [(r.test_name, r.status) for r in checks.collect()] == [("test_count_increase", "FAIL"), ("test_count_floor", "FAIL")]
+    assert config.target_path not in checks._jdf.queryExecution().optimizedPlan().toString().replace("-loads/manifests", "")
+
+
+def test_manifest_of_nothing_and_of_missing_keys(spark, tmp_path):
+    spark.range(0).write.parquet(str(tmp_path / "none"))
+    none = manifest_of(spark.read.parquet(str(tmp_path / "none")), ["id"])
+    assert manifest_counts(none).first().num_rows == 0
+    spark.sql("select cast(null as int) as k, 1 as v").write.parquet(str(tmp_path / "nulls"))
+    (row,) = manifest_of(spark.read.parquet(str(tmp_path / "nulls")), ["k", "gone"]).collect()
+    assert (row.num_rows, [tuple(r) for r in row.key_ranges]) == (1, [("k", None, None)])
+
+
+# --- runs that are taken up again
+
+
+def test_a_run_that_broke_off_goes_on_with_its_load(spark, config, monkeypatch):
+    real, ran = jobs.quality_job, []
+
+    def broken(*args, **kwargs):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(jobs, "quality_job", broken)
+    with pytest.raises(RuntimeError, match="lost"):
+        daily_run(spark, config, DAY, LOAD_TS)
+    monkeypatch.setattr(jobs, "quality_job", real)
+    unit_tests = jobs.unit_test_job
+    monkeypatch.setattr(jobs, "unit_test_job", lambda *a, **k: ran.append(1) or unit_tests(*a, **k))
+    run = daily_run(spark, config, DAY, LOAD_TS)
+    assert len(read_loads(spark, config.target_path)) == 1 and ran == []
+    assert run.ledger.count() == 2 and run.unit_tests.count() == 6 and not run.alert.first().any_fail
+    # It came to its end, so the next run of the day is a new one; so is one with other settings.
+    daily_run(spark, config, DAY, LOAD_TS)
+    assert len(read_loads(spark, config.target_path)) == 2 and ran == [1]
+    other = dataclasses.replace(config, threshold_percentage=20)
+    assert config_digest(other) != config_digest(config)
+    assert Journal(spark, other, DAY).steps() == []
+
+
+def test_a_recorded_load_that_is_not_the_newest_is_made_anew(spark, config):
+    load_pipeline(spark, config, LOAD_TS)
+    Journal(spark, config, DAY).record("load", load_id="20000101T000000-gone")
+    daily_run(spark, config, DAY, LOAD_TS)
+    assert len(read_loads(spark, config.target_path)) == 2
+
+
+# --- several writers
+
+
+def test_a_file_is_created_once(spark, tmp_path):
+    path = str(tmp_path / "folder" / "1")
+    with ThreadPoolExecutor(8) as pool:
+        made = list(pool.map(lambda k: (create_once(spark, path, str(k)), k), range(8)))
+    (winner,) = [k for won, k in made if won]
+    assert read_text(spark, path) == str(winner)
+    assert names_in(spark, str(tmp_path / "folder")) == ["1"] and names_in(spark, str(tmp_path / "none")) == []
+    assert len(list((tmp_path / "folder").iterdir())) == 1
+
+
+def test_writers_at_the_same_time_store_each_row_once(spark, rows, tmp_path):
+    path = str(tmp_path / "ledger")
+    new = [
+        spark.createDataFrame([("t", "PASS", "UnitTest", DAY), (f"own {k}", "FAIL", "UnitTest", DAY)], LEDGER) for k in range(4)
+    ]
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda df: append_ledger(df, path), new))
+    expected = sorted([("t", "PASS", "UnitTest", DAY)] + [(f"own {k}", "FAIL", "UnitTest", DAY) for k in range(4)], key=repr)
+    assert rows(stored_ledger(spark, path)) == expected == rows(read_ledger(spark, path))
+    assert len(names_in(spark, f"{path}/{COMMITS}")) == 4 and names_in(spark, f"{path}/{STAGED}") == []
+
+
+def test_a_killed_writer_leaves_all_or_nothing(spark, rows, tmp_path):
+    path = str(tmp_path / "ledger")
+    first = spark.createDataFrame([("t", "PASS", "UnitTest", DAY)], LEDGER)
+    append_ledger(first, path)
+    second = spark.createDataFrame([("u", "FAIL", "UnitTest", DAY)], LEDGER)
+    second.write.partitionBy("date").parquet(f"{path}/{STAGED}/killed")  # written, not committed
+    assert rows(read_ledger(spark, path)) == rows(first)
+    (day,) = [n for n in names_in(spark, f"{path}/{STAGED}/killed") if "=" in n]
+    files = [f"{day}/{n}" for n in names_in(spark, f"{path}/{STAGED}/killed/{day}")]
+    assert not commit_ledger(spark, path, 0, "killed", files)
+    assert commit_ledger(spark, path, 1, "killed", files)  # committed, and killed before its files were moved
+    assert rows(read_ledger(spark, path)) == rows(first.union(second))
+    assert settle_ledger(spark, path) == 2
+    append_ledger(second, path)
+    assert rows(stored_ledger(spark, path)) == rows(first.union(second))
