@@ -179,9 +179,13 @@ def hot_digests(found: DataFrame) -> DataFrame:
         total = 0
         for bucket, batch in enumerate(batches, 1):
             total += batch.num_rows
-            for pair in pc.value_counts(batch.column("digest")).to_pylist():
-                entry = met.setdefault(pair["values"], [0, bucket - 1])
-                entry[0] += pair["counts"]
+            values, counts = pc.value_counts(batch.column("digest")).flatten()
+            # What is met once here, and is not known yet, would be forgotten at once.
+            lasts = pc.greater(counts, 1)
+            if met:
+                lasts = pc.or_(lasts, pc.is_in(values, pa.array(list(met), pa.binary())))
+            for digest, n in zip(values.filter(lasts).to_pylist(), counts.filter(lasts).to_pylist()):
+                met.setdefault(digest, [0, bucket - 1])[0] += n
             met = {d: e for d, e in met.items() if sum(e) > bucket}
         most = [(d, n) for d, (n, missed) in met.items() if (n + missed) * HOT_SHARE >= total]
         columns = [pa.array([d for d, _ in most], pa.binary()), pa.array([n for _, n in most], pa.int64())]
