@@ -9,7 +9,14 @@ from loadwarden.plans.jobs import (
     unit_test_job,
     watched_ledger,
 )
-from loadwarden.plans.load import load_manifest, load_pipeline, publish, published_rows, write_load
+from loadwarden.plans.load import (
+    load_manifest,
+    load_pipeline,
+    publish,
+    published_rows,
+    rejected_records,
+    write_load,
+)
 from loadwarden.plans.script import run_sql_script, script_statements, show_results
 
 __all__ = [
@@ -22,6 +29,7 @@ __all__ = [
     "monitoring_job",
     "published_rows",
     "quality_job",
+    "rejected_records",
     "run_sql_script",
     "script_statements",
     "show_results",

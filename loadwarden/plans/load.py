@@ -5,14 +5,20 @@ import datetime as dt
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
+from loadwarden.commits import file_system, names_in
 from loadwarden.config import LoadConfig
 from loadwarden.history import Load, loads_path, new_load_id, read_loads, record_load, record_publishing
+from loadwarden.intake import REJECTED, REJECTED_SCHEMA, ROWS, take_in_csv
 from loadwarden.manifest import manifest_path, read_manifest, write_manifest
-from loadwarden.operators import add_audit_columns, inner_join_using
+from loadwarden.operators import add_audit_columns, inner_join_using, rename_columns
 from loadwarden.plans.script import run_sql_script
 from loadwarden.sinks import overwrite_parquet, publish_table
-from loadwarden.sources import read_source, read_table
+from loadwarden.sources import Source, read_source, read_table
+
+LEFT, RIGHT = "left", "right"
 
 
 def loaded(spark: SparkSession, config: LoadConfig) -> Load:
@@ -111,11 +117,13 @@ def write_load(spark: SparkSession, config: LoadConfig, load_ts: dt.datetime | s
     that a lost executor's tasks wrote again.
     """
     _adopt(spark, config)
-    joined = inner_join_using(
-        read_source(spark, config.left), read_source(spark, config.right), config.join_on
+    load_id = new_load_id()
+    left, right = (
+        _taken_in(spark, source, f"{_intake_path(config, load_id)}/{side}")
+        for source, side in ((config.left, LEFT), (config.right, RIGHT))
     )
+    joined = inner_join_using(left, right, config.join_on)
     stamped = add_audit_columns(joined, config.batch_id, load_ts)
-    load_id = new_load_id()
     folder = f"{loads_path(config.target_path)}/{load_id}"
     overwrite_parquet(stamped, folder, config.partition_by, config.max_records_per_file)
     load = Load(load_id, 0, folder, stamped.schema, False, False)
@@ -123,15 +131,51 @@ def write_load(spark: SparkSession, config: LoadConfig, load_ts: dt.datetime | s
     files = spark.read.schema(load.columns).parquet(folder)
     load = dataclasses.replace(load, num_rows=write_manifest(files, config.key_columns, path))
     record_load(spark, config.target_path, load)
+    for side in (LEFT, RIGHT):
+        # The rows are in the load now; what was rejected stays.
+        _remove(spark, f"{_intake_path(config, load_id)}/{side}/kind={ROWS}")
     return load
 
 
+def _intake_path(config: LoadConfig, load_id: str) -> str:
+    return f"{loads_path(config.target_path)}/intake/{load_id}"
+
+
+def _taken_in(spark: SparkSession, source: Source, folder: str) -> DataFrame:
+    """The rows of a source under their new names, taken in by one pass where records may be set aside."""
+    if source.most_rejected is None:
+        return read_source(spark, source)
+    intake = take_in_csv(
+        spark, source.path, folder, source.schema, most_rejected=source.most_rejected, **source.options
+    )
+    return rename_columns(intake.rows, source.rename)
+
+
+def rejected_records(spark: SparkSession, config: LoadConfig, load: Load | None = None) -> DataFrame:
+    """What a load, by default the newest one, set aside: side, file, text and reason.
+
+    A load that took nothing in by way of setting records aside has none.
+    """
+    load = loaded(spark, config) if load is None else load
+    found = spark.createDataFrame([], StructType([StructField("side", StringType()), *REJECTED_SCHEMA.fields]))
+    for side in (LEFT, RIGHT):
+        folder = f"{_intake_path(config, load.load_id)}/{side}"
+        if f"kind={REJECTED}" in names_in(spark, folder):
+            stored = spark.read.schema(REJECTED_SCHEMA).parquet(f"{folder}/kind={REJECTED}")
+            found = found.unionByName(stored.withColumn("side", F.lit(side)))
+    return found
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    system, folder = file_system(spark, path)
+    system.delete(folder, True)
+
+
 def remove_old_loads(spark: SparkSession, config: LoadConfig) -> None:
     """Remove the files of all but the newest ``keep_loads`` loads; the history keeps its rows."""
     if config.keep_loads is None:
         return
-    path = spark._jvm.org.apache.hadoop.fs.Path
     for load in read_loads(spark, config.target_path)[: -config.keep_loads]:
         if load.folder.startswith(loads_path(config.target_path)):
-            folder = path(load.folder)
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+            _remove(spark, load.folder)
+            _remove(spark, _intake_path(config, load.load_id))

@@ -12,17 +12,26 @@ from loadwarden.operators.columns import rename_columns
 
 @dataclass(frozen=True)
 class Source:
-    """One input table: where it lies, how to read it and which columns to rename."""
+    """One input table: where it lies, how to read it and which columns to rename.
+
+    With ``most_rejected``, a load takes a CSV table in by one pass and sets up to that many records
+    aside that do not fit; without it, one that does not fit ends the load.
+    """
 
     path: str
     format: str = "csv"
     schema: StructType | str | None = None
     rename: Mapping[str, str] = field(default_factory=dict)
     options: Mapping[str, str] = field(default_factory=dict)
+    most_rejected: int | None = None
+
+    def __post_init__(self) -> None:
+        if self.most_rejected is not None and self.format != "csv":
+            raise ValueError(f"records are set aside from CSV tables only, not from {self.format!r}")
 
 
 # What is no value stays told from an empty one; with Spark's own null value both are NULL.
-_CSV_FIDELITY = {"nullValue": "\u0000", "escape": '"'}
+CSV_FIDELITY = {"nullValue": "\u0000", "escape": '"'}
 _CSV_STRICT = {"enforceSchema": False, "mode": "FAILFAST"}
 
 
@@ -37,7 +46,7 @@ def read_csv(
     A field with nothing in it is NULL, a quoted empty one is an empty text, and a quote
     in a quoted field is doubled. ``options`` win over all of that.
     """
-    settings = {**_CSV_FIDELITY, **options}
+    settings = {**CSV_FIDELITY, **options}
     if schema is None:
         return spark.read.options(header=True, **settings).csv(path, inferSchema=True)
     settings = {**_CSV_STRICT, **settings}
@@ -52,7 +61,7 @@ def read_headed_csv(
     A field with nothing in it is NULL, a quoted empty one is an empty text; with
     Spark's own null value both would be NULL.
     """
-    stored = spark.read.options(header=True, **_CSV_FIDELITY).csv(path)
+    stored = spark.read.options(header=True, **CSV_FIDELITY).csv(path)
     return stored.select(
         *(
             F.col(f"`{headings[column.name]}`").cast(column.dataType).alias(column.name)
