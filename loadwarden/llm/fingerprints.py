@@ -9,13 +9,13 @@ double, and the steps between the lengths, up to a bound; a likeness of 1 means
 equal fingerprints, 0 no more alike than unrelated texts.
 
 ``fingerprint_neighbours`` compares each document with the next one in
-descending order of doc_id. Documents are dealt to tasks in ranges of doc_id
-and each task streams through its own; only the last document of a range needs
-the first one of another, so one text per range is passed on.
+descending order of doc_id. Documents are dealt to tasks in ranges of that order, which
+splits rows with equal or null ids as well, and each task streams through its own; only the last
+document of a range needs the first one of another, so one text per range is passed on, by the other's number.
 
 Cases: a null text is empty; texts below three bytes have no triplets; null
-doc_ids come last and rows with equal doc_ids are ordered by text; the only
-document is its own neighbour; other columns play no part.
+doc_ids come last and rows with equal doc_ids are ordered by the first characters of their texts, then
+by a hash of them; the only document is its own neighbour; other columns play no part.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from loadwarden.llm.rows import arrow_map, stored
+from loadwarden.llm.rows import ROW_ID, arrow_map, row_id, stored
 
 BUCKETS = 256
 LENGTH_STEP = 1.1
@@ -93,6 +93,22 @@ def _compared(doc_id, text: str, mark: str, following: str, following_mark: str)
     )
 
 
+def in_order(docs: DataFrame, ranges: int) -> DataFrame:
+    """doc_id and text in descending order of doc_id, in ranges of about as many rows each.
+
+    Where ids are equal or null, the row number is the last part of the order: a third of all rows
+    with one id, or with one text, is more than one range.
+    """
+    order = [F.col("doc_id").desc_nulls_last(), F.col("head"), F.col("hash"), F.col(ROW_ID)]
+    text = F.coalesce("text", F.lit(""))
+    return (
+        docs.select("doc_id", text.alias("text"), F.substring(text, 1, 16).alias("head"), F.xxhash64(text).alias("hash"), row_id().alias(ROW_ID))
+        .repartitionByRange(ranges, *order)
+        .sortWithinPartitions(*order)
+        .select("doc_id", "text")
+    )
+
+
 def fingerprint_neighbours(docs: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Each document's fingerprint, that of its edited text, and how like it and the next document are."""
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -122,31 +138,17 @@ def fingerprint_neighbours(docs: DataFrame, rows_per_range: int = ROWS_PER_RANGE
             yield _ends([first, before], names, key_type, part)
 
     columns = f"{result}, part bigint, role string, text string"
-    ordered = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).repartitionByRange(
-        ranges, F.col("doc_id").desc_nulls_last()
-    )
-    done = stored(
-        arrow_map(
-            ordered.sortWithinPartitions(F.col("doc_id").desc_nulls_last(), "text"), compare, columns
-        ),
-        "fingerprints",
-    )
+    done = stored(arrow_map(in_order(docs, ranges), compare, columns), "fingerprints")
     # A row per range: its last document, and the first one of the range after it, or of the first range.
     firsts = done.where("role = 'first'").select("part", "text", "fingerprint")
     lasts = done.where("role = 'last'").select("part", "doc_id", F.col("text").alias("own"), F.col("fingerprint").alias("mark"))
     order = W.orderBy("part")
-    following = F.struct("text", "fingerprint")
-    paired = (
-        lasts.join(firsts, "part")
-        .withColumn(
-            "after",
-            F.coalesce(
-                F.lead(following).over(order),
-                F.first(following).over(order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)),
-            ),
-        )
-        .select("doc_id", "own", "mark", F.col("after.text").alias("text"), F.col("after.fingerprint").alias("next"))
-    )
+    # Numbers alone go through the window of all ranges; texts are joined to them.
+    numbers = firsts.select("part")
+    whole = order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    turns = numbers.select("part", F.coalesce(F.lead("part").over(order), F.min("part").over(whole)).alias("after"))
+    following = firsts.select(F.col("part").alias("after"), "text", F.col("fingerprint").alias("next"))
+    paired = lasts.join(turns, "part").join(following, "after").select("doc_id", "own", "mark", "text", "next")
 
     def finish(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -30,7 +30,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loadwarden.llm.rans import Coder, scaled
-from loadwarden.llm.rows import arrow_map, pieces, stored
+from loadwarden.llm.rows import ROW_ID, arrow_map, pieces, row_id, stored
 from loadwarden.llm.tokens import loaded, with_end
 
 BLOCK_IDS = 1 << 20
@@ -75,6 +75,21 @@ def id_counts(ids: DataFrame, vocabulary: int) -> DataFrame:
     return counted.groupBy("id").agg(F.sum("n").alias("n"))
 
 
+def in_order(ids: DataFrame, parts: int) -> DataFrame:
+    """Ids of documents in ascending order of doc_id, in parts of about as many rows each.
+
+    Documents with equal or null ids are ordered by their number of ids, by a hash of them and by row, so
+    that a third of all rows with one id, or with one text, is more than one part.
+    """
+    order = ["doc_id", "n_tokens", "hash", ROW_ID]
+    return (
+        ids.select("doc_id", "n_tokens", "ids", F.xxhash64("ids").alias("hash"), row_id().alias(ROW_ID))
+        .repartitionByRange(parts, *order)
+        .sortWithinPartitions(*order)
+        .select("doc_id", "n_tokens", "ids")
+    )
+
+
 def write_tokens(
     docs: DataFrame,
     tokenizer_path: str,
@@ -119,9 +134,8 @@ def write_tokens(
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     n_parts = min(max(total // part_ids, docs.sparkSession.sparkContext.defaultParallelism), MOST_PARTS)
-    ordered = ids.repartitionByRange(int(n_parts), "doc_id").sortWithinPartitions("doc_id", "n_tokens", "ids")
     blocks = arrow_map(
-        ordered,
+        in_order(ids, int(n_parts)),
         code,
         f"part bigint, block bigint, doc_ids array<{kind}>, lengths array<bigint>, n_ids bigint,"
         " stream binary, states binary, words binary, checksum bigint",

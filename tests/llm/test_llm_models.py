@@ -7,6 +7,7 @@ import random
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 from tests_llm_data import ODD, sentence, texts_like_prose
 
 from loadwarden.llm import fingerprints, language, quality
@@ -195,3 +196,20 @@ def test_a_doc_id_that_repeats_teaches_one_text(spark, make_docs):
     once = quality.fit_quality(make_docs(good + bad), labels)
     again = quality.fit_quality(make_docs(good + bad + [(3, good[3][1], "en", "s")] * 200), labels)
     assert once.dictionaries == again.dictionaries
+
+
+def test_neighbours_where_a_third_has_no_id(make_docs):
+    rows = [(None, "the same text, again and again") for _ in range(300)] + texts_like_prose(600)
+    docs = make_docs(rows)
+    counts = [r["count"] for r in fingerprints.in_order(docs, 9).groupBy(F.spark_partition_id()).count().collect()]
+    assert len(counts) == 9 and max(counts) < 2 * len(rows) / 9
+    found = fingerprints.fingerprint_neighbours(docs, rows_per_range=50).collect()
+    assert len(found) == len(rows)
+    # All but the last one have a neighbour that says the same; the last one is followed by the first document.
+    assert sorted(r.near_next for r in found if r.doc_id is None)[1:] == [1.0] * 299
+    by_id, texts = {r.doc_id: r for r in found if r.doc_id is not None}, dict(rows)
+    for doc_id in range(2, 601):
+        changed = fingerprints.edited(texts[doc_id], texts[doc_id - 1])
+        assert by_id[doc_id].edited_sha256 == hashlib.sha256(changed.encode()).hexdigest()
+    changed = fingerprints.edited(rows[0][1], texts[600])
+    assert hashlib.sha256(changed.encode()).hexdigest() in {r.edited_sha256 for r in found if r.doc_id is None}

@@ -13,6 +13,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 from tests_llm_data import ODD, texts_like_prose
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from loadwarden.llm import packing, secrets, token_files, trigrams
@@ -211,3 +212,20 @@ def test_packing_with_little_memory_gives_the_same_ids(make_docs):
             ids[r.doc_id, r.doc_tokens].append((r.start, bytes(r.ids)))
         found.append({k: b"".join(data for _, data in sorted(v)) for k, v in ids.items() if k[0] != 6})
     assert found[0] == found[1]
+
+
+def test_documents_without_ids_are_dealt_to_all_parts(spark, make_docs):
+    """A third of the rows has no id, and half of those has the same text."""
+    rows = [(None, "the same text" if i % 2 else f"text number {i}") for i in range(600)]
+    rows += [(i, t) for i, t in texts_like_prose(1200)]
+    ids = token_files.tokenized(make_docs(rows), WORDS, 2)
+    counts = [r["count"] for r in token_files.in_order(ids, 8).groupBy(F.spark_partition_id()).count().collect()]
+    assert len(counts) == 8 and max(counts) < 2 * len(rows) / 8
+    folder = scratch_path(spark, "tokens")
+    token_files.write_tokens(make_docs(rows), WORDS, folder, end_id=2, block_ids=5000, part_ids=10_000)
+    read = token_files.read_tokens(spark, folder, 49_408).orderBy("start").collect()
+    tokenizer = Tokenizer.from_file(WORDS)
+    expected = [(d, np.array([*tokenizer.encode(t, add_special_tokens=False).ids, 2], "<u4").tobytes()) for d, t in rows]
+    assert sorted(((r.doc_id or 0, bytes(r.ids)) for r in read)) == sorted((d or 0, ids) for d, ids in expected)
+    assert [r.doc_id or 0 for r in read] == sorted(d or 0 for d, _ in rows)
+    assert [r.start for r in read] == [0, *np.cumsum([r.n_tokens for r in read])[:-1].tolist()]
