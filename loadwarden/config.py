@@ -36,6 +36,8 @@ class LoadConfig:
     results_format: str = "parquet"
     #: Loads whose files are kept; None keeps all of them.
     keep_loads: int | None = None
+    #: Joined rows from which a key is dealt to several tasks; None leaves hot keys to adaptive execution.
+    hot_key_rows: int | None = None
 
     @classmethod
     def from_mapping(cls, settings: Mapping[str, Any], **overrides: Any) -> LoadConfig:
@@ -93,10 +95,12 @@ class LoadConfig:
                 raise ValueError(f"the target {self.target_path} and the source {side.path} overlap")
         if self.keep_loads is not None and self.keep_loads < 1:
             raise ValueError("keep_loads is 1 at least")
+        if self.hot_key_rows is not None and self.hot_key_rows < 1:
+            raise ValueError("hot_key_rows is 1 at least")
 
 
 # Fields with a default that a config file may set.
-_OPTIONAL = ("minimum_rows", "batch_id", "partition_by", "max_records_per_file", "results_format", "keep_loads")
+_OPTIONAL = ("minimum_rows", "batch_id", "partition_by", "max_records_per_file", "results_format", "keep_loads", "hot_key_rows")
 
 
 def _overlap(a: str, b: str) -> bool:

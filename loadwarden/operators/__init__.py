@@ -19,7 +19,7 @@ from loadwarden.operators.counts import (
     key_counts,
     row_count,
 )
-from loadwarden.operators.joins import inner_join_using
+from loadwarden.operators.joins import hot_keys, inner_join_hot, inner_join_using
 from loadwarden.operators.status import (
     failing_rows,
     load_alert,
@@ -38,6 +38,8 @@ __all__ = [
     "duplicate_keys",
     "failing_rows",
     "group_count",
+    "hot_keys",
+    "inner_join_hot",
     "inner_join_using",
     "key_counts",
     "load_alert",

@@ -1,8 +1,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType, LongType, StructField, StructType
+
+from loadwarden.frames import small_frame
+
+#: A key that gives more joined rows than this is dealt to several tasks.
+CELL_ROWS = 10_000_000
+#: Keys that a sketch reports, and those that it keeps counters for.
+REPORTED, TRACKED = 256, 16_384
+
+_GRID = StructType([StructField(name, LongType()) for name in ("key", "rows", "columns")])
 
 
 def inner_join_using(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -15,3 +27,99 @@ def inner_join_using(left: DataFrame, right: DataFrame, on: Sequence[str]) -> Da
     tasks.
     """
     return left.join(right, on=list(on), how="inner")
+
+
+def hot_keys(
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str],
+    *,
+    cell_rows: int = CELL_ROWS,
+    reported: int = REPORTED,
+    tracked: int = TRACKED,
+) -> list[tuple[int, int, int]]:
+    """Hashes of the keys that give more than ``cell_rows`` joined rows, and a grid for each.
+
+    Each side's heaviest keys come from a sketch of fixed size, built in every task and merged, over the key columns
+    alone; at most ``reported`` of a side come to the driver. A key that only one side reports
+    has at most as many rows in the other as the lightest that is reported there. In a cell of
+    ``rows`` by ``columns`` of them meet about ``cell_rows`` rows.
+    """
+    (lefts, left_rest), (rights, right_rest) = (_heaviest(df, on, reported, tracked) for df in (left, right))
+    found = []
+    for key in sorted(lefts.keys() | rights.keys()):
+        in_left, in_right = lefts.get(key, left_rest), rights.get(key, right_rest)
+        if in_left * in_right > cell_rows:
+            # Square cells copy the fewest rows; a side with less than an edge is not cut.
+            edge = max(int(cell_rows**0.5), 1)
+            high = min(in_left, max(edge, cell_rows // in_right))
+            wide = min(in_right, max(cell_rows // high, 1))
+            found.append((key, ceil(in_left / high), ceil(in_right / wide)))
+    return found
+
+
+def _heaviest(df: DataFrame, on: Sequence[str], reported: int, tracked: int) -> tuple[dict[int, int], int]:
+    """Rows of the heaviest keys by their hash, and how many any other key has at most."""
+    keys = df.select(*(f"`{name}`" for name in on)).na.drop()
+    top = keys.select(F.xxhash64(*keys.columns).alias("key")).agg(
+        F.expr(f"approx_top_k(key, {reported}, {tracked})").alias("top")
+    )
+    rows = top.first()["top"] or []
+    return {row["item"]: row["count"] for row in rows}, rows[-1]["count"] if len(rows) == reported else 0
+
+
+def inner_join_hot(
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str],
+    *,
+    cell_rows: int = CELL_ROWS,
+    reported: int = REPORTED,
+    tracked: int = TRACKED,
+) -> DataFrame:
+    """``inner_join_using`` where keys may be hot on both sides.
+
+    The joined rows of a hot key form a grid: each row of the left lies in one of its rows and is copied to
+    all of its columns, each row of the right the other way round, and every pair meets in one
+    cell. The cells of a key are dealt like keys of their own, so that no task gets them all, also
+    without adaptive execution, which can split only one side's rows and copies the other side whole. All
+    other keys have a single cell. What a sketch misses or overrates costs balance, never a row.
+
+    A row's place in the grid is its number, so the sides have to give the same rows when a lost task runs
+    again, as scans do. Keys have the same types on both sides, and floating point is refused, since
+    keys that are equal have to have equal hashes. NULLs join nothing.
+    """
+    on = list(on)
+    for name in on:
+        kinds = {df.select(f"`{name}`").schema[0].dataType for df in (left, right)}
+        if len(kinds) > 1 or kinds & {FloatType(), DoubleType()}:
+            listed = " and ".join(sorted(kind.simpleString() for kind in kinds))
+            raise ValueError(f"the key {name} is {listed}; one type is needed that is no floating point")
+    hot = hot_keys(left, right, on, cell_rows=cell_rows, reported=reported, tracked=tracked)
+    if not hot:
+        return inner_join_using(left, right, on)
+    taken = {name.lower() for df in (left, right) for name in df.columns}
+    key, rows, columns = (_free_name(name, taken) for name in _GRID.names)
+    grid = small_frame(left.sparkSession, [dict(zip(_GRID.names, cells)) for cells in hot], _GRID).toDF(key, rows, columns)
+
+    def placed(df: DataFrame, own: str, other: str) -> DataFrame:
+        number = F.monotonically_increasing_id()
+        place = F.struct(
+            F.coalesce(F.pmod(number, F.col(own)), F.lit(0)).alias("own"),
+            F.sequence(F.lit(0).cast("long"), F.coalesce(F.col(other), F.lit(1)) - 1).alias("other"),
+        )
+        keyed = df.withColumn(key, F.xxhash64(*(F.col(f"`{name}`") for name in on)))
+        # At most twice ``reported`` rows are broadcast.
+        joined = keyed.join(F.broadcast(grid), key, "left")
+        names = [F.col(f"`{name}`") for name in df.columns]
+        cells = joined.select(*names, place.alias(key))
+        return cells.select(*names, F.col(key)["own"].alias(own), F.explode(F.col(key)["other"]).alias(other))
+
+    cells = inner_join_using(placed(left, rows, columns), placed(right, columns, rows), [*on, rows, columns])
+    return cells.drop(rows, columns)
+
+
+def _free_name(name: str, taken: set[str]) -> str:
+    while f"_{name}" in taken:
+        name = f"_{name}"
+    return f"_{name}"

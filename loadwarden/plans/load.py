@@ -13,7 +13,7 @@ from loadwarden.config import LoadConfig
 from loadwarden.history import Load, loads_path, new_load_id, read_loads, record_load, record_publishing
 from loadwarden.intake import REJECTED, REJECTED_SCHEMA, ROWS, take_in_csv
 from loadwarden.manifest import manifest_path, read_manifest, write_manifest
-from loadwarden.operators import add_audit_columns, inner_join_using, rename_columns
+from loadwarden.operators import add_audit_columns, inner_join_hot, inner_join_using, rename_columns
 from loadwarden.plans.script import run_sql_script
 from loadwarden.sinks import overwrite_parquet, publish_table
 from loadwarden.sources import Source, read_source, read_table
@@ -122,7 +122,10 @@ def write_load(spark: SparkSession, config: LoadConfig, load_ts: dt.datetime | s
         _taken_in(spark, source, f"{_intake_path(config, load_id)}/{side}")
         for source, side in ((config.left, LEFT), (config.right, RIGHT))
     )
-    joined = inner_join_using(left, right, config.join_on)
+    if config.hot_key_rows is None:
+        joined = inner_join_using(left, right, config.join_on)
+    else:
+        joined = inner_join_hot(left, right, config.join_on, cell_rows=config.hot_key_rows)
     stamped = add_audit_columns(joined, config.batch_id, load_ts)
     folder = f"{loads_path(config.target_path)}/{load_id}"
     overwrite_parquet(stamped, folder, config.partition_by, config.max_records_per_file)
