@@ -20,6 +20,7 @@ from loadwarden.operators.counts import (
     row_count,
 )
 from loadwarden.operators.joins import hot_keys, inner_join_hot, inner_join_using
+from loadwarden.operators.schemas import nested_conformance, schema_differences
 from loadwarden.operators.status import (
     failing_rows,
     load_alert,
@@ -45,6 +46,7 @@ __all__ = [
     "load_alert",
     "manifest_checks",
     "merge_ledger",
+    "nested_conformance",
     "primary_key_check",
     "quality_checks",
     "rename_columns",
@@ -52,6 +54,7 @@ __all__ = [
     "row_count_drift",
     "row_count_floor",
     "schema_conformance",
+    "schema_differences",
     "status_gate",
     "status_rollup",
     "with_missing",

@@ -77,7 +77,7 @@ def combine_results(*results: DataFrame) -> DataFrame:
 # --- checks on the schema: they read metadata only
 
 
-def _known_results(
+def known_results(
     df: DataFrame,
     table_name: str,
     results: Sequence[tuple[str, bool, str]],
@@ -115,7 +115,7 @@ def schema_conformance(
         else:
             reason = UNEXPECTED_TYPE.format(expected=expected_type, actual=actual)
         results.append((column + DATA_TYPE_TEST_SUFFIX, actual == expected_type, reason))
-    return _known_results(df, table_name, results, checked_at)
+    return known_results(df, table_name, results, checked_at)
 
 
 def column_count_check(
@@ -127,7 +127,7 @@ def column_count_check(
     if count != expected_count:
         reason += f", but got {count}"
     result = (COLUMN_COUNT_TEST, count == expected_count, reason)
-    return _known_results(df, table_name, [result], checked_at)
+    return known_results(df, table_name, [result], checked_at)
 
 
 # --- checks on counts: each is a condition on one row of measures
