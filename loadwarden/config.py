@@ -38,6 +38,8 @@ class LoadConfig:
     keep_loads: int | None = None
     #: Joined rows from which a key is dealt to several tasks; None leaves hot keys to adaptive execution.
     hot_key_rows: int | None = None
+    #: Appends to the ledger after which they are put into a snapshot; None leaves all of them as files.
+    compact_ledger_after: int | None = None
 
     @classmethod
     def from_mapping(cls, settings: Mapping[str, Any], **overrides: Any) -> LoadConfig:
@@ -97,10 +99,21 @@ class LoadConfig:
             raise ValueError("keep_loads is 1 at least")
         if self.hot_key_rows is not None and self.hot_key_rows < 1:
             raise ValueError("hot_key_rows is 1 at least")
+        if self.compact_ledger_after is not None and self.compact_ledger_after < 1:
+            raise ValueError("compact_ledger_after is 1 at least")
 
 
 # Fields with a default that a config file may set.
-_OPTIONAL = ("minimum_rows", "batch_id", "partition_by", "max_records_per_file", "results_format", "keep_loads", "hot_key_rows")
+_OPTIONAL = (
+    "minimum_rows",
+    "batch_id",
+    "partition_by",
+    "max_records_per_file",
+    "results_format",
+    "keep_loads",
+    "hot_key_rows",
+    "compact_ledger_after",
+)
 
 
 def _overlap(a: str, b: str) -> bool:

@@ -7,15 +7,19 @@ import json
 import uuid
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException, PySparkException
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from loadwarden.commits import file_system, names_in
 from loadwarden.frames import small_frame
 
 #: ``loaded`` is what a load was recorded as when publishing was not recorded: it counts as published.
 LOADED, WRITTEN, PUBLISHED, CHECKED = "loaded", "written", "published", "checked"
 
+#: Files of a history from which a new load puts them into one.
+MOST_FILES = 100
+
 HISTORY_SCHEMA = StructType(
     [
         StructField("load_id", StringType()),
@@ -54,6 +58,7 @@ def new_load_id() -> str:
 
 
 def record_load(spark: SparkSession, target_path: str, load: Load) -> None:
+    compact_history(spark, target_path)
     _append(spark, target_path, load.load_id, WRITTEN, load)
 
 
@@ -78,20 +83,32 @@ def _append(spark: SparkSession, target_path: str, load_id: str, event: str, loa
     )
 
 
+def compact_history(spark: SparkSession, target_path: str, most_files: int = MOST_FILES) -> bool:
+    """Put the history's files into one if there are ``most_files`` or more; whether it did.
+
+    The new file appears whole, and only then the ones that it was made of are removed. A reader in between, or after a
+    run that was killed there, finds events twice, which counts as once. Two that do it at once remove
+    no file whose rows are not in a file that stays.
+    """
+    path = f"{loads_path(target_path)}/history"
+    files = [f"{path}/{name}" for name in names_in(spark, path) if name.endswith(".parquet")]
+    if len(files) < most_files:
+        return False
+    events = spark.read.schema(HISTORY_SCHEMA).parquet(*files).distinct()
+    events.coalesce(1).write.mode("append").parquet(path)
+    for file in files:
+        system, hadoop = file_system(spark, file)
+        system.delete(hadoop, False)
+    return True
+
+
 def read_loads(spark: SparkSession, target_path: str) -> list[Load]:
     """All loads that were completed, the oldest first; none if there never was one.
 
     A history that is there but cannot be read is an error.
     """
-    path = f"{loads_path(target_path)}/history"
-    try:
-        stored = spark.read.schema(HISTORY_SCHEMA).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return []
     # A few rows per run of the job, so they are put together here.
-    rows = stored.collect()
+    rows = _events(spark, f"{loads_path(target_path)}/history")
     events: dict[str, set[str]] = {}
     for row in rows:
         events.setdefault(row["load_id"], set()).add(row["event"])
@@ -109,6 +126,20 @@ def read_loads(spark: SparkSession, target_path: str) -> list[Load]:
     ]
 
 
+def _events(spark: SparkSession, path: str, tries: int = 3) -> list[Row]:
+    """The rows of all files; listed again where some were put into one in the meantime."""
+    try:
+        return spark.read.schema(HISTORY_SCHEMA).parquet(path).collect()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    except PySparkException as error:
+        if tries == 1 or "FILE_NOT_EXIST" not in str(error):
+            raise
+    return _events(spark, path, tries - 1)
+
+
 def baseline(loads: list[Load]) -> Load | None:
     """The load that the newest one is compared with, or None if it is the first.
 

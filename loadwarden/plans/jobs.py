@@ -25,7 +25,7 @@ from loadwarden.operators import (
 from loadwarden.plans.load import loaded, publish, published_loads, remove_old_loads, script_params, script_text, write_load
 from loadwarden.plans.script import run_sql_script
 from loadwarden.sinks import append_ledger, overwrite_parquet, write_results
-from loadwarden.sources import read_ledger, read_parquet, read_results
+from loadwarden.sources import compact_ledger, read_ledger, read_parquet, read_results
 
 logger = logging.getLogger(__name__)
 
@@ -84,6 +84,8 @@ def _record(
     write_results(results, path, config.results_format)
     written = read_results(spark, path, config.results_format)
     append_ledger(status_rollup(written, test_type, run_date), config.ledger_path)
+    if config.compact_ledger_after is not None:
+        compact_ledger(spark, config.ledger_path, config.compact_ledger_after)
     return written
 
 
