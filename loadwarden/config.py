@@ -40,6 +40,9 @@ class LoadConfig:
     hot_key_rows: int | None = None
     #: Appends to the ledger after which they are put into a snapshot; None leaves all of them as files.
     compact_ledger_after: int | None = None
+    #: Columns by whose hash the rows are dealt to ``num_buckets`` buckets, for work by these keys without a shuffle.
+    bucket_by: Sequence[str] = ()
+    num_buckets: int | None = None
 
     @classmethod
     def from_mapping(cls, settings: Mapping[str, Any], **overrides: Any) -> LoadConfig:
@@ -87,7 +90,7 @@ class LoadConfig:
         return cls(**values)
 
     def __post_init__(self) -> None:
-        for name in ("join_on", "key_columns", "expected_columns", "partition_by"):
+        for name in ("join_on", "key_columns", "expected_columns", "partition_by", "bucket_by"):
             value = getattr(self, name)
             if isinstance(value, str):
                 raise ValueError(f"{name} is a list, not the text {value!r}")
@@ -99,6 +102,10 @@ class LoadConfig:
             raise ValueError("keep_loads is 1 at least")
         if self.hot_key_rows is not None and self.hot_key_rows < 1:
             raise ValueError("hot_key_rows is 1 at least")
+        if bool(self.bucket_by) != (self.num_buckets is not None) or self.num_buckets is not None and self.num_buckets < 1:
+            raise ValueError("bucket_by names columns and num_buckets is 1 at least, or neither is given")
+        if self.bucket_by and self.partition_by:
+            raise ValueError("a table has partition_by or bucket_by, not both")
         if self.compact_ledger_after is not None and self.compact_ledger_after < 1:
             raise ValueError("compact_ledger_after is 1 at least")
 
@@ -113,6 +120,8 @@ _OPTIONAL = (
     "keep_loads",
     "hot_key_rows",
     "compact_ledger_after",
+    "bucket_by",
+    "num_buckets",
 )
 
 

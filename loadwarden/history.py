@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 import json
 import uuid
@@ -13,6 +14,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from loadwarden.commits import file_system, names_in
 from loadwarden.frames import small_frame
+from loadwarden.sinks.files import Buckets
 
 #: ``loaded`` is what a load was recorded as when publishing was not recorded: it counts as published.
 LOADED, WRITTEN, PUBLISHED, CHECKED = "loaded", "written", "published", "checked"
@@ -27,6 +29,7 @@ HISTORY_SCHEMA = StructType(
         StructField("num_rows", LongType()),
         StructField("folder", StringType()),
         StructField("columns", StringType()),
+        StructField("buckets", StringType()),
     ]
 )
 
@@ -41,6 +44,7 @@ class Load:
     columns: StructType
     checked: bool
     published: bool = True
+    buckets: Buckets | None = None
 
     def read(self, spark: SparkSession) -> DataFrame:
         """The loaded rows, with the types they were written with."""
@@ -77,6 +81,7 @@ def _append(spark: SparkSession, target_path: str, load_id: str, event: str, loa
         "num_rows": load.num_rows,
         "folder": load.folder,
         "columns": load.columns.json(),
+        "buckets": None if load.buckets is None else json.dumps(dataclasses.asdict(load.buckets)),
     }
     small_frame(spark, [row], HISTORY_SCHEMA).write.mode("append").parquet(
         f"{loads_path(target_path)}/history"
@@ -121,11 +126,19 @@ def read_loads(spark: SparkSession, target_path: str) -> list[Load]:
             StructType.fromJson(json.loads(row["columns"])),
             CHECKED in events[load_id],
             bool(events[load_id] & {LOADED, PUBLISHED, CHECKED}),
+            _buckets(row["buckets"]),
         )
         for load_id, row in sorted(first.items())
     ]
 
 
+def _buckets(recorded: str | None) -> Buckets | None:
+    if recorded is None:
+        return None
+    found = json.loads(recorded)
+    return Buckets(tuple(found["keys"]), found["number"])
+
+
 def _events(spark: SparkSession, path: str, tries: int = 3) -> list[Row]:
     """The rows of all files; listed again where some were put into one in the meantime."""
     try:

@@ -77,3 +77,9 @@ def files_with_key(manifest: DataFrame, key: str, value: str, kind: str) -> Data
     ranges = F.filter("key_ranges", lambda r: r["key"] == key)
     holds = F.exists(ranges, lambda r: F.lit(value).cast(kind).between(r["least"].cast(kind), r["most"].cast(kind)))
     return manifest.where(holds)
+
+
+def bucket_rows(manifest: DataFrame) -> DataFrame:
+    """Rows per bucket of files that Spark wrote by bucket, which have its number in their names."""
+    number = F.regexp_extract("file", r"_(\d+)(?:\.[^/]*)?$", 1).cast("int")
+    return manifest.groupBy(number.alias("bucket")).agg(F.sum("num_rows").alias("num_rows"))

@@ -15,6 +15,7 @@ from loadwarden.plans.load import (
     publish,
     published_rows,
     rejected_records,
+    rows_by_key,
     write_load,
 )
 from loadwarden.plans.script import run_sql_script, script_statements, show_results
@@ -30,6 +31,7 @@ __all__ = [
     "published_rows",
     "quality_job",
     "rejected_records",
+    "rows_by_key",
     "run_sql_script",
     "script_statements",
     "show_results",

@@ -22,7 +22,16 @@ from loadwarden.operators import (
     status_rollup,
     with_missing,
 )
-from loadwarden.plans.load import loaded, publish, published_loads, remove_old_loads, script_params, script_text, write_load
+from loadwarden.plans.load import (
+    loaded,
+    publish,
+    published_loads,
+    remove_old_loads,
+    rows_by_key,
+    script_params,
+    script_text,
+    write_load,
+)
 from loadwarden.plans.script import run_sql_script
 from loadwarden.sinks import append_ledger, overwrite_parquet, write_results
 from loadwarden.sources import compact_ledger, read_ledger, read_parquet, read_results
@@ -125,7 +134,7 @@ def quality_job(
     """
     loads = published_loads(spark, config)
     if table is None:
-        table = loads[-1].read(spark)
+        table = rows_by_key(spark, config, loads[-1])
     if previous is None and (before := baseline(loads)) is not None:
         previous = before.num_rows
     results = quality_checks(
@@ -182,10 +191,11 @@ def daily_run(
         analytics = _analysed(spark, config, script, load)
 
     logger.info("checking %s", config.target_path)
+    keyed = table if load.buckets is None else rows_by_key(spark, config, load)
     outcomes = []
     for step, test_type, job in (
         (steps.UNIT_TESTS, UNIT_TEST, lambda: unit_test_job(spark, config, run_date, load_ts, table)),
-        (steps.QUALITY, DATA_QUALITY, lambda: quality_job(spark, config, None, run_date, load_ts, table)),
+        (steps.QUALITY, DATA_QUALITY, lambda: quality_job(spark, config, None, run_date, load_ts, keyed)),
     ):
         if journal.done(step) is None:
             outcomes.append(job())

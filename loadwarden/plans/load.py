@@ -12,14 +12,17 @@ from loadwarden.commits import file_system, names_in
 from loadwarden.config import LoadConfig
 from loadwarden.history import Load, loads_path, new_load_id, read_loads, record_load, record_publishing
 from loadwarden.intake import REJECTED, REJECTED_SCHEMA, ROWS, take_in_csv
-from loadwarden.manifest import manifest_path, read_manifest, write_manifest
+from loadwarden.manifest import bucket_rows, manifest_path, read_manifest, write_manifest
 from loadwarden.operators import add_audit_columns, inner_join_hot, inner_join_using, rename_columns
 from loadwarden.plans.script import run_sql_script
-from loadwarden.sinks import overwrite_parquet, publish_table
+from loadwarden.sinks import Buckets, overwrite_buckets, overwrite_parquet, publish_table, table_shows
 from loadwarden.sources import Source, read_source, read_table
 
 LEFT, RIGHT = "left", "right"
 
+#: How many times the mean a bucket's rows may be for work by bucket.
+HOT_BUCKET = 2
+
 
 def loaded(spark: SparkSession, config: LoadConfig) -> Load:
     """The newest load of the target table, published or not."""
@@ -57,7 +60,7 @@ def publish(spark: SparkSession, config: LoadConfig, load: Load | None = None) -
     """
     load = loaded(spark, config) if load is None else load
     publish_table(
-        spark, config.database, config.table, load.folder, load.columns, config.partition_by
+        spark, config.database, config.table, load.folder, load.columns, config.partition_by, load.buckets
     )
     if config.ddl_script is not None:
         run_sql_script(spark, script_text(spark, config.ddl_script), script_params(config, load))
@@ -66,6 +69,21 @@ def publish(spark: SparkSession, config: LoadConfig, load: Load | None = None) -
     return read_table(spark, config.database, config.table)
 
 
+def rows_by_key(spark: SparkSession, config: LoadConfig, load: Load) -> DataFrame:
+    """The rows of a load for counts and joins by its keys.
+
+    Where they lie in buckets, and the table shows them, it is the table: grouping or joining by the keys then needs
+    no shuffle. A bucket is one task's work there, so with one of over ``HOT_BUCKET`` times the mean, which a hot
+    key makes, it is the plain files, whose groups are counted before a shuffle.
+    """
+    if load.buckets is None or not table_shows(spark, config.database, config.table, load.folder):
+        return load.read(spark)
+    largest = bucket_rows(load_manifest(spark, config, load)).agg(F.max("num_rows")).first()[0] or 0
+    if largest * load.buckets.number > HOT_BUCKET * load.num_rows:
+        return load.read(spark)
+    return read_table(spark, config.database, config.table)
+
+
 def script_text(spark: SparkSession, path: str) -> str:
     """A script file's text, from any file system the session can read."""
     return spark.read.text(path, wholetext=True).first()["value"]
@@ -128,8 +146,12 @@ def write_load(spark: SparkSession, config: LoadConfig, load_ts: dt.datetime | s
         joined = inner_join_hot(left, right, config.join_on, cell_rows=config.hot_key_rows)
     stamped = add_audit_columns(joined, config.batch_id, load_ts)
     folder = f"{loads_path(config.target_path)}/{load_id}"
-    overwrite_parquet(stamped, folder, config.partition_by, config.max_records_per_file)
-    load = Load(load_id, 0, folder, stamped.schema, False, False)
+    buckets = Buckets(config.bucket_by, config.num_buckets) if config.num_buckets is not None else None
+    if buckets is None:
+        overwrite_parquet(stamped, folder, config.partition_by, config.max_records_per_file)
+    else:
+        overwrite_buckets(stamped, folder, buckets, config.database, config.max_records_per_file)
+    load = Load(load_id, 0, folder, stamped.schema, False, False, buckets)
     path = manifest_path(loads_path(config.target_path), load_id)
     files = spark.read.schema(load.columns).parquet(folder)
     load = dataclasses.replace(load, num_rows=write_manifest(files, config.key_columns, path))

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from itertools import takewhile
@@ -9,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from loadwarden.names import checked_identifier, qualified_name
+from loadwarden.sinks.files import Buckets
 
 _LIST_PARTITIONS = "spark.sql.hive.manageFilesourcePartitions"
 
@@ -26,6 +28,7 @@ class _Definition:
     partitions: tuple[str, ...] = ()
     comment: str | None = None
     listed: bool = False  # the catalog keeps a list of the partitions, each with its place
+    buckets: Buckets | None = None
 
 
 def _definition(spark: SparkSession, name: str) -> _Definition:
@@ -37,6 +40,11 @@ def _definition(spark: SparkSession, name: str) -> _Definition:
     if "# Partition Information" in names:
         begin = len(names) - names[::-1].index("# Partition Information") + 1
         partitions = list(takewhile(lambda n: n != "", names[begin:]))
+    about = {row["col_name"]: row["data_type"] for row in described[names.index("# Detailed Table Information") :]}
+    buckets = None
+    if "Num Buckets" in about:
+        keys = re.findall(r"`((?:[^`]|``)+)`", about["Bucket Columns"])
+        buckets = Buckets(tuple(key.replace("``", "`") for key in keys), int(about["Num Buckets"]))
     return _Definition(
         kind=details["Type"],
         location=details["Location"],
@@ -44,6 +52,7 @@ def _definition(spark: SparkSession, name: str) -> _Definition:
         partitions=tuple(partitions),
         comment=details.get("Comment"),
         listed=details.get("Partition Provider") == "Catalog",
+        buckets=buckets,
     )
 
 
@@ -95,6 +104,7 @@ def _create(
     partitions: Sequence[str],
     former: _Definition | None,
     properties: Mapping[str, str],
+    buckets: Buckets | None = None,
 ) -> None:
     """Define the table; comments and properties of a former definition are carried over.
 
@@ -110,6 +120,9 @@ def _create(
     parts = [f"CREATE TABLE {name} ({listed}) USING parquet"]
     if partitions:
         parts.append("PARTITIONED BY (" + ", ".join(f"`{p}`" for p in partitions) + ")")
+    if buckets is not None:
+        keys = ", ".join("`" + key.replace("`", "``") + "`" for key in buckets.keys)
+        parts.append(f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {buckets.number} BUCKETS")
     parts.append(f"LOCATION {_text(path)}")
     if former is not None and former.comment:
         parts.append(f"COMMENT {_text(former.comment)}")
@@ -131,6 +144,7 @@ def publish_table(
     path: str,
     schema: StructType | None = None,
     partition_by: Sequence[str] = (),
+    buckets: Buckets | None = None,
 ) -> DataFrame:
     """Make the Parquet table at ``path`` readable as ``database.table``.
 
@@ -138,7 +152,7 @@ def publish_table(
     partition columns have the types that their folders' names look like. A
     definition with the same columns is pointed to the path, partitioned or not, in one step of
     the catalog: a reader finds the former rows before it and the new ones after it. Added columns
-    are added first. For other changes, and once for a partitioned table whose partitions the
+    are added first. For other changes, as other buckets are, and once for a partitioned table whose partitions the
     catalog lists, it is created anew, with the comments and properties it had.
     Dropping an external table leaves its files; a managed one is never dropped.
     """
@@ -150,13 +164,21 @@ def publish_table(
     columns = _types(schema, partition_by)
     former = _definition(spark, name) if spark.catalog.tableExists(name) else None
     if former is None:
-        _create(spark, name, path, columns, partition_by, None, {})
+        _create(spark, name, path, columns, partition_by, None, {}, buckets)
     else:
-        _redefine(spark, name, path, columns, tuple(partition_by), former)
+        _redefine(spark, name, path, columns, tuple(partition_by), former, buckets)
     spark.catalog.refreshTable(name)
     return spark.table(name)
 
 
+def table_shows(spark: SparkSession, database: str, table: str, path: str) -> bool:
+    """Whether the catalog has the table and it lies at ``path``."""
+    name = qualified_name(database, table)
+    if not spark.catalog.tableExists(name):
+        return False
+    return qualified_path(spark, _definition(spark, name).location) == qualified_path(spark, path)
+
+
 def _redefine(
     spark: SparkSession,
     name: str,
@@ -164,10 +186,11 @@ def _redefine(
     columns: list[tuple[str, str]],
     partitions: tuple[str, ...],
     former: _Definition,
+    buckets: Buckets | None,
 ) -> None:
     known = _types(former.columns, former.partitions)
     moved = qualified_path(spark, former.location) != qualified_path(spark, path)
-    same = former.partitions == partitions and not former.listed
+    same = former.partitions == partitions and not former.listed and former.buckets == buckets
     if known == columns and same and not moved:
         return
     if former.kind != "EXTERNAL":
@@ -177,7 +200,7 @@ def _redefine(
     if not same or data[: len(had)] != had or columns[len(data) :] != known[len(had) :]:
         properties = _properties(spark, name)
         spark.sql(f"DROP TABLE {name}")
-        _create(spark, name, path, columns, partitions, former, properties)
+        _create(spark, name, path, columns, partitions, former, properties, buckets)
         return
     if added := data[len(had) :]:
         listed = ", ".join(_column(c, kind, {}) for c, kind in added)

@@ -1,10 +1,22 @@
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loadwarden.names import checked_identifier, qualified_name
+
+
+@dataclass(frozen=True)
+class Buckets:
+    """Rows dealt by a hash of the keys to a fixed number of buckets, sorted by the keys in each file."""
+
+    keys: tuple[str, ...]
+    number: int
+
 
 def overwrite_parquet(
     df: DataFrame,
@@ -29,6 +41,36 @@ def overwrite_parquet(
     writer.parquet(path)
 
 
+def overwrite_buckets(
+    df: DataFrame, path: str, buckets: Buckets, database: str, max_records_per_file: int | None = None
+) -> None:
+    """Replace the Parquet table at ``path``, which ``df`` must not read from, by files of buckets.
+
+    One shuffle by the keys brings a bucket's rows together; adaptive execution splits one that holds
+    most of the rows, whose bucket then has several files. Spark writes buckets of catalog tables only, so for
+    the time of the write there is a definition of another name in ``database``, over the same files.
+    """
+    spark = df.sparkSession
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{checked_identifier(database)}`")
+    name = qualified_name(database, f"loading_{uuid.uuid4().hex}")
+    first, *others = buckets.keys
+    quoted = ("`" + key.replace("`", "``") + "`" for key in buckets.keys)
+    writer = (
+        df.hint("rebalance", buckets.number, *quoted)
+        .write.mode("overwrite")
+        .format("parquet")
+        .option("path", path)
+        .bucketBy(buckets.number, first, *others)
+        .sortBy(first, *others)
+    )
+    if max_records_per_file is not None:
+        writer = writer.option("maxRecordsPerFile", max_records_per_file)
+    try:
+        writer.saveAsTable(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def _with_named_partitions(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """``df``, failing on an empty text in a partition column: as a folder's name it would be NULL."""
     types = dict(df.dtypes)
