@@ -141,8 +141,10 @@ class LanguageModel:
     def label(self, texts: pa.Array) -> tuple[list[str], np.ndarray, pa.Array]:
         """The language, its share of the letters and the spans, for each text."""
         # Marks alone are no letters; with letters around they are parts of words.
-        letters = pc.match_substring_regex(texts.fill_null(""), r"\pL")
-        words, texts_of, starts, ends = _placed_words(pc.if_else(letters, texts, pa.scalar(None, texts.type)))
+        # Arrow's lowering is wrong on what if_else and a cast after it make of a slice, so the cast comes first.
+        texts = texts.cast(pa.large_string()).fill_null("")
+        letters = pc.match_substring_regex(texts, r"\pL")
+        words, texts_of, starts, ends = _placed_words(pc.if_else(letters, texts, pa.scalar("", texts.type)))
         coded = words.dictionary_encode()
         places, lengths = coded.indices.to_numpy(), ends - starts
         sizes = np.bincount(texts_of, minlength=len(texts))

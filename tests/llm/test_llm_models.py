@@ -7,6 +7,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 from tests_llm_data import ODD, sentence, texts_like_prose
 
@@ -213,3 +214,16 @@ def test_neighbours_where_a_third_has_no_id(make_docs):
         assert by_id[doc_id].edited_sha256 == hashlib.sha256(changed.encode()).hexdigest()
     changed = fingerprints.edited(rows[0][1], texts[600])
     assert hashlib.sha256(changed.encode()).hexdigest() in {r.edited_sha256 for r in found if r.doc_id is None}
+
+
+def test_languages_of_slices_are_those_of_the_texts_alone():
+    texts = [None if i % 97 == 5 else "\u0301" if i % 97 == 6 else f"Été {i} Ünter Ждать {'ßo ' * (i % 30)}" for i in range(3000)]
+    counts = language._counted(language._words(pa.array([t or "" for t in texts])).flatten())
+    model = language.LanguageModel(["a", "b"], np.stack([counts[0], counts[0][::-1]]), np.stack([counts[1]] * 2))
+    whole = pa.array(texts)
+    for start in (0, 500, 1701):
+        names, score, spans = model.label(whole.slice(start, 500))
+        alone = [model.label(pa.array([t], pa.string())) for t in texts[start : start + 500]]
+        assert names == [a[0][0] for a in alone]
+        assert spans.to_pylist() == [a[2].to_pylist()[0] for a in alone]
+        assert np.array_equal(score, [a[1][0] for a in alone])
