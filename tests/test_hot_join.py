@@ -55,6 +55,20 @@ def test_hot_keys_are_those_of_both_sides(spark, tmp_path):
     assert hot_keys(left.limit(0), right, ["k"], cell_rows=1) == []
 
 
+def test_copies_are_few_and_never_broadcast(spark, tmp_path):
+    left, right = sides(spark, tmp_path)
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    joined = inner_join_hot(left, right, ["k"], cell_rows=1)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    # The two that are left have the grid.
+    assert plan.count("SortMergeJoin") == 1 and plan.count("BroadcastHashJoin") == 2
+    assert joined.count() == 2000 * 1500 + 3000
+    ((_, rows, columns),) = hot_keys(left, right, ["k"], cell_rows=1, most_cells=64 * partitions)
+    assert 64 * partitions <= rows * columns <= 2 * 64 * partitions
+    assert plan.count(f",{rows},{columns}]") == 2
+    assert hot_keys(left, right, ["k"], cell_rows=1)[0][1:] == (2000, 1500)
+
+
 @given(st.lists(st.tuples(st.sampled_from([None, 0, 0, 0, 1, 2]), st.sampled_from(["a", "a", None])), max_size=25),
        st.lists(st.tuples(st.sampled_from([None, 0, 0, 1, 3]), st.sampled_from(["a", "a", None])), max_size=25))
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
