@@ -100,6 +100,38 @@ def test_ids_are_those_of_the_library():
                 assert ids[bounds[i] : bounds[i + 1]].tolist() == expected, text
 
 
+class Counting:
+    def __init__(self, tokenizer):
+        self.tokenizer, self.strings = tokenizer, 0
+
+    def encode_batch_fast(self, texts, **options):
+        self.strings += len(texts)
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+def test_new_words_are_encoded_in_lines():
+    rng = random.Random(2)
+    letters = [chr(c) for c in range(0x41, 0x460) if chr(c).isalpha()]
+    words = ["".join(rng.choices(letters, k=rng.randint(1, 12))) for _ in range(3000)]
+    texts = [" ".join(words[i : i + 50]) + rng.choice([".", "!\n", "'s", " 7"]) for i in range(0, 3000, 50)]
+    plain = Tokenizer.from_file(WORDS)
+    tokenizer = WordTokenizer(WORDS)
+    assert WordTokenizer(BYTES).ends is None
+    counting = tokenizer.tokenizer = Counting(tokenizer.tokenizer)
+    ids, bounds = tokenizer.encode(pa.array(texts))
+    for i, text in enumerate(texts):
+        assert ids[bounds[i] : bounds[i + 1]].tolist() == plain.encode(text, add_special_tokens=False).ids, text
+    prose = [" ".join("".join(rng.choices("abcdefghij", k=9)) for _ in range(50)) for _ in range(60)]
+    counting.strings = 0
+    ids, bounds = tokenizer.encode(pa.array(prose))
+    assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [plain.encode(t, add_special_tokens=False).ids for t in prose]
+    assert counting.strings < 3000 / 50
+    # Ids that cannot be told apart are found piece by piece.
+    tokenizer.ends[:] = False
+    ids, _ = tokenizer.encode(pa.array(["unseenwordone unseenwordtwo"]))
+    assert ids.tolist() == plain.encode("unseenwordone unseenwordtwo", add_special_tokens=False).ids
+
+
 def test_coding_is_undone():
     rng = np.random.default_rng(1)
     ids = (rng.zipf(1.3, 40_000) % 3000).astype(np.uint32)
