@@ -2,17 +2,16 @@
 
 A phrase is a run of up to ``longest`` words in a piece of a text; how often it has to
 occur in all texts of a language is its support. A shard is a bounded number of words that a
-task reads. In it every phrase is found whose count is at least the support times the
-shard's share of the language's bytes, level by level, since the parts of a phrase are no
-rarer than itself. What is frequent in no shard cannot be frequent over all. The union
-of what is frequent in one is the candidates; it leaves as 64-bit digests, with what a
-count is above the least that could go unseen in a shard, so that sums over all
-shards rule out more: with very many shards, whose local support is 1, they are exact.
-
-Then every shard counts the candidates again, exactly and as words. It knows them by a
-Bloom filter of fixed size, which may let others through, but counts of those are whole as
-well, and below the support. Counts are summed before the shuffle; nothing is
-sampled or cut. Scores are worked out with integers of any size.
+task reads. The parts of a phrase are no rarer than itself, so that the candidates are found in two
+rounds: words and pairs of words first, then longer phrases, of which only those are looked
+at whose pairs all have the support. In each round a shard counts its phrases, which
+leave it as 64-bit digests with their counts, and Spark adds them up: rows grow with the
+words of the texts, by at most two a word in the first round, whatever the number of shards.
+
+Then every shard counts the candidates again, exactly and as words. What has the support is known to a
+round by a Bloom filter of bounded size, which may let others through, but counts of those are whole as
+well, and below the support, like those of digests that are equal by chance. Counts are summed
+before the shuffle; nothing is sampled or cut. Scores are worked out with integers of any size.
 
 Cases: A-Z are lowered, and other letters left alone; a null or empty text has no words; a null
 language is ``und``, and counts with it where that is a language; repeated rows and null or
@@ -36,8 +35,10 @@ from loadwarden.llm.rows import arrow_map, pieces, stored
 
 UNKNOWN = "und"
 SUPPORT, LONGEST, TOP = 100, 5, 2000
-#: Words that are mined together: some 350 MB of a worker. Smaller shards have a lower local support.
-SHARD_WORDS = 1 << 23
+#: Words that are mined together. In smaller shards fewer phrases are met again, and more rows leave.
+SHARD_WORDS = 1 << 22
+#: Digests that leave a task at once.
+BATCH_ROWS = 1 << 17
 #: Parts, by digest, in which the phrases of a shard are counted one after the other.
 GROUPS = 8
 #: Text that a counting task reads at least, where there is enough for all cores, and phrases that it adds up before they leave.
@@ -74,15 +75,13 @@ class Shard:
     def __init__(self) -> None:
         self.numbers: dict[str, int] = {}
         self.parts: dict[str, list[np.ndarray]] = {}
-        self.bytes: dict[str, int] = {}
-        self.total: dict[str, int] = {}
         self.n = 0
 
     def add(self, batch: pa.RecordBatch) -> None:
         texts = batch.column("text")
         flat, counts = _tokens(texts)
         coded = flat.dictionary_encode()
-        words = coded.dictionary.to_pylist()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         numbers = self.numbers
         known = np.fromiter(
             (-2 if not w else -1 if w == _END else numbers.setdefault(w, len(numbers)) for w in words),
@@ -93,15 +92,11 @@ class Shard:
         langs = batch.column("lang").dictionary_encode()
         names = langs.dictionary.to_pylist()
         of_text = langs.indices.to_numpy()
-        sizes = np.bincount(of_text, pc.binary_length(texts).fill_null(0).to_numpy(), len(names))
         of_token = np.repeat(of_text, counts)
-        totals = batch.column("total").to_numpy()
         for k, name in enumerate(names):
             mine = tokens if len(names) == 1 else tokens[of_token == k]
             mine = mine[mine != -2]
             self.parts.setdefault(name, []).append(mine)
-            self.bytes[name] = self.bytes.get(name, 0) + int(sizes[k])
-            self.total[name] = int(totals[np.flatnonzero(of_text == k)[0]])
             self.n += len(mine)
 
     def by_language(self) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
@@ -114,11 +109,11 @@ class Shard:
                 yield name, tokens, _mixed(plain ^ lang)
 
 
-def _levels(tokens: np.ndarray, digests: np.ndarray, longest: int, keep) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(words, counts, first places) of the phrases that ``keep`` keeps, level by level.
+def _levels(tokens: np.ndarray, digests: np.ndarray, longest: int, keep) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(words, counts, first places, digests) of the phrases that ``keep`` keeps, level by level.
 
-    ``keep(digests, phrase numbers)`` gives the numbers anew, -1 for what goes. A
-    phrase of the next level is two kept ones that overlap in all words but one.
+    ``keep(words, digests)`` tells which places stay. A phrase of the next level is
+    two kept ones that overlap in all words but one.
     """
     numbers, code = tokens, np.zeros(len(tokens), np.uint64)
     places = np.flatnonzero(tokens >= 0).astype(np.int32)
@@ -130,14 +125,11 @@ def _levels(tokens: np.ndarray, digests: np.ndarray, longest: int, keep) -> Iter
         if not len(places):
             return
         code[places] = _mixed(code[places] * _ODD + digests[tokens[places + k - 1]])
-        places = places[keep(code[places])]
+        places = places[keep(k, code[places])]
         phrase, counts, first = _numbered(numbers, places, code, k)
-        kept = yield k, counts, first, code[first]
-        if kept is not None:
-            phrase = np.where(kept, np.cumsum(kept, dtype=np.int32) - 1, -1)[phrase]
+        yield k, counts, first, code[first]
         numbers = np.full(len(tokens), -1, np.int32)
         numbers[places] = phrase
-        places = places[phrase >= 0]
 
 
 def _numbered(numbers: np.ndarray, places: np.ndarray, code: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
@@ -173,44 +165,27 @@ def _shards(batches: Iterable[pa.RecordBatch], most: int) -> Iterator[Shard]:
         yield shard
 
 
-def _everything(digests: np.ndarray) -> np.ndarray:
-    return np.ones(len(digests), bool)
-
-
-def mine_shards(texts: DataFrame, support: int, longest: int, shard_words: int) -> DataFrame:
-    """What is frequent in a shard: (lang, digest, excess); and for each shard and language a row of sums.
+def _all_with_support(texts: DataFrame, support: int, shortest: int, longest: int, shard_words: int, known: Filter | None = None) -> DataFrame:
+    """``digest`` of all phrases of ``shortest`` to ``longest`` words that have the support.
 
-    ``excess`` is the count less the most that a phrase can have there without being frequent. Rows of
-    sums have no digest, the words as ``words`` and that most as ``unseen``.
+    Only those are counted whose parts of less than ``shortest`` words are all known to the filter. Digests
+    tell languages apart.
     """
-    names = ["lang", "digest", "excess", "words", "unseen"]
+    shared = None if known is None else texts.sparkSession.sparkContext.broadcast(known)
 
-    def mine(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def keep(k: int, digests: np.ndarray) -> np.ndarray:
+        return shared.value.has(digests) if k < shortest else np.ones(len(digests), bool)
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard in _shards(batches, shard_words):
-            for lang, tokens, digests in shard.by_language():
-                least = max(1, -(-support * shard.bytes[lang] // shard.total[lang]))
-                steps = _levels(tokens, digests, longest, _everything)
-                kept = None
-                while True:
-                    try:
-                        _, counts, _, code = steps.send(kept)
-                    except StopIteration:
-                        break
-                    kept = counts >= least
-                    n = int(kept.sum())
-                    if n:
-                        columns = [
-                            pa.array([lang] * n, pa.string()),
-                            pa.array(code[kept].view(np.int64)),
-                            pa.array(counts[kept] - (least - 1)),
-                            pa.nulls(n, pa.int64()),
-                            pa.nulls(n, pa.int64()),
-                        ]
-                        yield pa.RecordBatch.from_arrays(columns, names)
-                sums = [pa.array([lang], pa.string()), *(pa.array([v], pa.int64()) for v in (None, None, int((tokens >= 0).sum()), least - 1))]
-                yield pa.RecordBatch.from_arrays(sums, names)
-
-    return arrow_map(texts, mine, "lang string, digest bigint, excess bigint, words bigint, unseen bigint")
+            for _, tokens, digests in shard.by_language():
+                for k, counts, _, code in _levels(tokens, digests, longest, keep):
+                    if k >= shortest:
+                        columns = [pa.array(code.view(np.int64)), pa.array(counts)]
+                        yield from pa.Table.from_arrays(columns, ["digest", "n"]).to_batches(BATCH_ROWS)
+
+    counted = arrow_map(texts, count, "digest bigint, n bigint")
+    return counted.groupBy("digest").agg(F.sum("n").alias("n")).where(F.col("n") >= support).select("digest")
 
 
 class Filter:
@@ -267,7 +242,10 @@ def filter_of(candidates: DataFrame, bits: int | None = None) -> Filter:
 
 
 def count_candidates(texts: DataFrame, candidates: Filter, longest: int, shard_words: int) -> DataFrame:
-    """(lang, phrase, words, f): how often each candidate, and what else the filter lets through, occurs."""
+    """(lang, phrase, words, f): how often each candidate, and what else the filter lets through, occurs.
+
+    A row of each language without a phrase, of no words, has the number of all its words.
+    """
     shared = texts.sparkSession.sparkContext.broadcast(candidates)
     names = ["lang", "phrase", "words", "f"]
 
@@ -280,12 +258,14 @@ def count_candidates(texts: DataFrame, candidates: Filter, longest: int, shard_w
         for shard in _shards(batches, shard_words):
             words = pa.array(list(shard.numbers), pa.large_string())
             for lang, tokens, digests in shard.by_language():
-                for k, counts, first, _ in _levels(tokens, digests, longest, shared.value.has):
+                every = [pa.array([v], t) for v, t in zip((lang, None, 0, int((tokens >= 0).sum())), schema.types)]
+                held.append(pa.table(every, names).cast(held_schema))
+                for k, counts, first, _ in _levels(tokens, digests, longest, lambda _, digests: shared.value.has(digests)):
                     parts = [words.take(pa.array(tokens[first + j])) for j in range(k)]
                     phrase = pc.binary_join_element_wise(*parts, _BLANK) if k > 1 else parts[0]
                     n = len(first)
                     columns = [pa.array([lang] * n, pa.string()), phrase, pa.array([k] * n, pa.int32()), pa.array(counts)]
-                    held.append(pa.table(columns, names))
+                    held.append(pa.table(columns, names).cast(held_schema))
             # Shards of a task have most of their phrases in common.
             held = [summed(held)] if held else []
             if held and held[0].num_rows > HELD_PHRASES:
@@ -294,6 +274,7 @@ def count_candidates(texts: DataFrame, candidates: Filter, longest: int, shard_w
             yield from held.pop().cast(schema).to_batches(1 << 14)
 
     schema = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("words", pa.int32()), ("f", pa.int64())])
+    held_schema = schema.set(1, pa.field("phrase", pa.large_string()))
     found = arrow_map(texts, count, "lang string, phrase string, words int, f bigint")
     return found.groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f"))
 
@@ -304,28 +285,14 @@ def frequent_phrases(
     """(lang, phrase, words, f) of all phrases with the support, single words too; and (lang, n), all words."""
     lang = F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang")
     texts = docs.select(lang, F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    sizes = texts.groupBy("lang").agg(F.sum(F.octet_length("text").cast("long")).alias("total"))
-    # Stored, so that its size is known and Spark can join it without a shuffle of the texts.
-    sizes = stored(sizes, "sizes")
-    texts = texts.join(sizes, "lang").where("total > 0")
-    mined = stored(mine_shards(texts, support, longest, shard_words), "mined")
-    sums = stored(
-        mined.where("digest is null").groupBy("lang").agg(F.sum("words").alias("n"), F.sum("unseen").alias("_unseen")),
-        "words",
-    )
-    candidates = (
-        mined.where("digest is not null")
-        .groupBy("lang", "digest")
-        .agg(F.sum("excess").alias("_excess"))
-        .join(sums.select("lang", "_unseen"), "lang")
-        .where(F.col("_excess") + F.col("_unseen") >= support)
-        .select("digest")
-    )
-    known = filter_of(stored(candidates, "candidates"))
-    every = sizes.agg(F.coalesce(F.sum("total"), F.lit(0))).first()[0]
+    pairs = stored(_all_with_support(texts, support, 1, min(longest, 2), shard_words), "pairs")
+    longer = _all_with_support(texts, support, 3, longest, shard_words, filter_of(pairs)) if longest > 2 else pairs.limit(0)
+    known = filter_of(stored(pairs.union(longer), "candidates"))
+    every = texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     tasks = max(docs.sparkSession.sparkContext.defaultParallelism, -(-every // COUNT_BYTES))
-    counted = count_candidates(texts.coalesce(tasks), known, longest, shard_words).where(F.col("f") >= support)
-    return stored(counted, "phrases"), sums.select("lang", "n")
+    counted = count_candidates(texts.coalesce(tasks), known, longest, shard_words)
+    counted = stored(counted.where((F.col("f") >= support) | (F.col("words") == 0)), "phrases")
+    return counted.where("words > 0"), counted.where("words = 0").select("lang", F.col("f").alias("n"))
 
 
 def _scored(cuts: DataFrame) -> DataFrame:

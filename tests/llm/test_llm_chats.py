@@ -310,6 +310,16 @@ def test_a_full_filter_changes_nothing(spark, monkeypatch):
     assert {(r.lang, r.phrase): r.f for r in found.collect()} == every and len(every) > 50
 
 
+def test_a_round_gives_at_most_two_rows_a_word(spark, make_docs, monkeypatch):
+    made, plain = [], collocations.arrow_map
+    monkeypatch.setattr(collocations, "arrow_map", lambda *given: made.append(plain(*given)) or made[-1])
+    words = [f"w{n}" for n in range(1200)]
+    docs = make_docs([(n, " ".join([*words[30 * n : 30 * n + 30], "the same six words each time"])) for n in range(40)])
+    phrases, totals = collocations.frequent_phrases(docs.repartition(20), 10, 5, 50)
+    assert phrases.count() == 6 + 5 + 4 + 3 + 2 and totals.first().n == 1200 + 240
+    assert max(df.count() for df in made) <= 2 * (1200 + 240)
+
+
 def test_words_of_a_slice_are_those_of_its_texts():
     texts = [f"ÀÉ {'x' * i} Öß.ÇA É" for i in range(50)]
     flat, counts = collocations._tokens(pa.array(texts).slice(7, 3))
