@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadwarden.llm.rows import stored
+from loadwarden.llm.rows import join_side, stored
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -21,7 +21,9 @@ def components(edges: DataFrame) -> DataFrame:
     )
     nodes = left.select(F.col("a").alias("node")).union(left.select("b")).distinct()
     found = nodes.withColumn("at", F.col("node"))
-    while not left.isEmpty():
+    # An edge has two nodes, so no table of a round has more rows than twice its edges.
+    all_edges = edges_left = left.count()
+    while edges_left:
         both = left.union(left.select("b", "a"))
         rank = F.struct(F.xxhash64(F.col("b")).alias("h"), F.col("b").alias("to"))
         own = F.struct(F.xxhash64(F.col("a")).alias("h"), F.col("a").alias("to"))
@@ -29,8 +31,8 @@ def components(edges: DataFrame) -> DataFrame:
             both.groupBy("a").agg(F.min(rank).alias("m")).select("a", F.least("m", own)["to"].alias("to")),
             "joined",
         )
-        to_a = joined.select("a", F.col("to").alias("_a"))
-        to_b = joined.select(F.col("a").alias("b"), F.col("to").alias("_b"))
+        to_a = join_side(joined.select("a", F.col("to").alias("_a")), 2 * edges_left)
+        to_b = join_side(joined.select(F.col("a").alias("b"), F.col("to").alias("_b")), 2 * edges_left)
         left = stored(
             left.join(to_a, "a")
             .join(to_b, "b")
@@ -39,8 +41,9 @@ def components(edges: DataFrame) -> DataFrame:
             .distinct(),
             "edges",
         )
-        step = joined.select(F.col("a").alias("at"), F.col("to").alias("_to"))
+        step = join_side(joined.select(F.col("a").alias("at"), F.col("to").alias("_to")), 2 * edges_left)
         found = found.join(step, "at", "left").select("node", F.coalesce("_to", "at").alias("at"))
+        edges_left = left.count()
     found = stored(found, "roots")
     smallest = found.groupBy("at").agg(F.min("node").alias("component"))
-    return stored(found.join(smallest, "at").select("node", "component"), "components")
+    return stored(found.join(join_side(smallest, 2 * all_edges), "at").select("node", "component"), "components")

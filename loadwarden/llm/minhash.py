@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from loadwarden.llm.blocks import Merger, block_pairs, each_block_pair
 from loadwarden.llm.components import components
-from loadwarden.llm.rows import ROW_ID, arrow_map, packed, pieces, stored, unpacked
+from loadwarden.llm.rows import ROW_ID, arrow_map, join_side, packed, pieces, stored, unpacked
 
 WIDTH = 5
 COORDINATES = 64
@@ -150,7 +150,8 @@ def _posted(classes: DataFrame, matches: int) -> DataFrame:
     )
     shared = postings.groupBy("posting").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     own = (
-        postings.join(shared, "posting")
+        # Spark takes the size of an exploded table for that of the rows before, and would broadcast it.
+        postings.join(shared.hint("merge"), "posting")
         .groupBy("node")
         .agg(F.sort_array(F.collect_list(F.struct("n", "posting"))).alias("all"))
     )
@@ -171,7 +172,8 @@ def candidates(classes: DataFrame, similar: tuple[int, int] = SIMILAR) -> DataFr
         F.bit_xor(F.xxhash64(F.lit(3), "node")).alias("y"),
     )
     once = lists.where("n > 1").groupBy("n", "x", "y").agg(F.min("posting").alias("posting")).select("posting")
-    rows = posted.join(once, "posting").join(classes.select("node", "signature", "n_shingles"), "node")
+    marked = classes.select("node", "signature", "n_shingles")
+    rows = posted.join(once.hint("merge"), "posting").join(join_side(marked), "node")
     paired = block_pairs(rows, "posting", "node", LIST_BLOCK)
 
     def compare(table: pa.Table) -> pa.RecordBatch | None:
@@ -225,7 +227,7 @@ def confirmed(docs: DataFrame, classes: DataFrame, groups: DataFrame, similar: t
     ``groups`` has the candidates as (node, component); a link needs ``similar[1]`` times the
     common digests to be at least ``similar[0]`` times those of either set.
     """
-    members = classes.join(groups, "node").select("node", "key", "signature", "component")
+    members = classes.join(join_side(groups), "node").select("node", "key", "signature", "component")
 
     def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["node", "component", "signature", "n_shingles", "digests"]
@@ -241,7 +243,7 @@ def confirmed(docs: DataFrame, classes: DataFrame, groups: DataFrame, similar: t
             yield pa.RecordBatch.from_arrays(columns, names).filter(same)
 
     # Of rows with the same doc_id those with other words drop out by the key.
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(members, "node")
+    texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(members.hint("merge"), "node")
     rows = arrow_map(
         texts.select("node", "component", "signature", "key", "text"),
         sets,
@@ -292,10 +294,10 @@ def near_duplicates(docs: DataFrame, similar: tuple[int, int] = SIMILAR) -> Data
     groups = components(candidates(classes, similar))
     links = confirmed(docs, classes, groups, similar)
     # Documents of a class are linked with its first one, also if their doc_id has other rows.
-    copies = with_set.select("doc_id", "key").join(classes.select("key", "node"), "key")
+    copies = with_set.select("doc_id", "key").join(join_side(classes.select("key", "node")), "key")
     edges = links.union(copies.where("doc_id <> node").select("doc_id", "node"))
     found = components(edges)
-    return rows.join(found, F.col("doc_id") == F.col("node"), "left").select(
+    return rows.join(join_side(found), F.col("doc_id") == F.col("node"), "left").select(
         "doc_id",
         "n_shingles",
         F.coalesce("component", "doc_id").alias("component_id"),

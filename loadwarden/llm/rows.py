@@ -20,6 +20,9 @@ ROW_ID = "_row_id"
 WORD = r"[^\x20\x09-\x0D]+"
 BLANKS = r"[\x20\x09-\x0D]*"
 
+#: The most rows of a stored table that Spark may broadcast; of some numbers each they take about 10 MB.
+BROADCAST_ROWS = 100_000
+
 
 def stored(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """``df`` as a table in the shared scratch folder: computed once, and not lost with an executor.
@@ -31,6 +34,14 @@ def stored(df: DataFrame, name: str, compression: str | None = None) -> DataFram
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def join_side(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """A stored table, or columns of one, as a side of a join; sorted and never broadcast if it has many ``rows``.
+
+    Spark takes the size of compressed files for that of the rows, many of which then may not fit the driver.
+    """
+    return df if (df.count() if rows is None else rows) <= BROADCAST_ROWS else df.hint("merge")
+
+
 def row_id() -> Column:
     """A number for each row of a scan; rows of a frame that is computed again may get others."""
     return F.monotonically_increasing_id()

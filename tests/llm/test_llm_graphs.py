@@ -11,6 +11,7 @@ import numpy as np
 from tests_llm_data import ODD, sentence, texts_like_prose, words
 
 from loadwarden.llm import minhash, substring_dedup, vectors
+from loadwarden.llm import rows as row_helpers
 from loadwarden.llm.components import components
 
 
@@ -106,6 +107,18 @@ def test_dropping_near_duplicates_keeps_the_rest(make_docs):
     assert minhash.drop_near_duplicates(docs.limit(0)).collect() == []
 
 
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_exploded_postings_are_not_broadcast(make_docs):
+    classes = row_helpers.stored(minhash.signed(make_docs(texts_like_prose(30, first=1, seed=3))), "classes")
+    posted = minhash._posted(classes.selectExpr("doc_id as node", "signature"), 40)
+    plan = _plan(posted)
+    # Spark takes the 64 postings of a document to be as large as one row.
+    assert "BroadcastHashJoin" not in plan and plan.count("SortMergeJoin") == 1
+
+
 def test_links_from_four_fifths_on(make_docs):
     rng, rows, between = random.Random(12), [], 0
     for i in range(60):  # one pair each, whose similarity lies between 0.74 and 0.9
