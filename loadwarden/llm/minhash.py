@@ -319,7 +319,10 @@ def drop_near_duplicates(docs: DataFrame, similar: tuple[int, int] = SIMILAR) ->
     found = near_duplicates(kept.select(F.col(ROW_ID).alias("doc_id"), F.col("doc.text").alias("text")), similar)
     rank = F.struct(F.col("id").isNull().alias("none"), "id", ROW_ID)
     ids = kept.select(ROW_ID, F.col("doc.doc_id").alias("id"))
-    of_row = stored(found.select(F.col("doc_id").alias(ROW_ID), "component_id").join(ids, ROW_ID), "of_row")
+    n_rows = kept.count()
+    of_row = stored(
+        found.select(F.col("doc_id").alias(ROW_ID), "component_id").join(join_side(ids, n_rows), ROW_ID), "of_row"
+    )
     first = of_row.groupBy("component_id").agg(F.min(rank).alias("first")).select(F.col(f"first.{ROW_ID}").alias(ROW_ID))
-    gone = of_row.select(ROW_ID).join(first, ROW_ID, "left_anti")
-    return unpacked(kept.join(gone, ROW_ID, "left_anti"), docs)
+    gone = stored(of_row.select(ROW_ID).join(join_side(first, n_rows), ROW_ID, "left_anti"), "gone")
+    return unpacked(kept.join(join_side(gone), ROW_ID, "left_anti"), docs)

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from loadwarden.llm.rows import BLANKS, ROW_ID, WORD, packed, row_id, stored, unpacked
+from loadwarden.llm.rows import BLANKS, ROW_ID, WORD, join_side, packed, row_id, stored, unpacked
 
 BLOCK_WORDS = 1024
 SHARDS = 16
@@ -469,7 +469,7 @@ def mix_documents(
     first_words = F.array_join(
         F.slice(F.regexp_extract_all("_part", blank_words, F.lit(0)), F.lit(1), F.col("words").cast("int")), ""
     )
-    mixed = parts.join(taken, [ROW_ID, "block"]).withColumn(
+    mixed = parts.join(join_side(taken), [ROW_ID, "block"]).withColumn(
         "_part", F.when(F.regexp_count("_part", F.lit(WORD)) > F.col("words"), first_words).otherwise(F.col("_part"))
     )
     new = {"text": F.col("_part"), "n_chars": F.length("_part")}

@@ -119,6 +119,19 @@ def test_exploded_postings_are_not_broadcast(make_docs):
     assert "BroadcastHashJoin" not in plan and plan.count("SortMergeJoin") == 1
 
 
+def test_many_rows_are_joined_without_a_broadcast(spark, make_docs, monkeypatch):
+    docs = row_helpers.stored(make_docs(_copied(20, 3)), "docs")
+    chain = spark.range(20).selectExpr("id as a", "id + 1 as b")
+    found = [{tuple(r) for r in f(docs).collect()} for f in (minhash.near_duplicates, minhash.drop_near_duplicates)]
+    few = _plan(minhash.drop_near_duplicates(docs))
+    monkeypatch.setattr(row_helpers, "BROADCAST_ROWS", 3)
+    many = _plan(minhash.drop_near_duplicates(docs))
+    assert (few.count("BroadcastHashJoin"), many.count("BroadcastHashJoin")) == (1, 0)
+    assert "BroadcastHashJoin" not in _plan(minhash.near_duplicates(docs))
+    assert [{tuple(r) for r in f(docs).collect()} for f in (minhash.near_duplicates, minhash.drop_near_duplicates)] == found
+    assert {tuple(r) for r in components(chain).collect()} == {(x, 0) for x in range(21)}
+
+
 def test_links_from_four_fifths_on(make_docs):
     rng, rows, between = random.Random(12), [], 0
     for i in range(60):  # one pair each, whose similarity lies between 0.74 and 0.9

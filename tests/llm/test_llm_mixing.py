@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tests_llm_data import ODD, words
 
 from loadwarden.llm import mixing
+from loadwarden.llm import rows as row_helpers
 
 
 def _filled(sizes, weights, repeats):
@@ -155,3 +156,18 @@ def test_ranges_of_shards_and_one_very_long_text(make_docs, monkeypatch):
     assert mixed() == whole
     targets = {r.source: r.target for r in mixing.source_targets(mixing.measured(docs)).collect()}
     assert abs(sum(len(t.split()) for i, t in whole if i == 2000) - targets["long"]) <= 0.5 + 1e-9
+
+
+def test_many_blocks_are_joined_without_a_broadcast(make_docs, monkeypatch):
+    docs = row_helpers.stored(make_docs(_documents()), "docs")
+
+    def mixed():
+        df = mixing.mix_documents(docs, block_words=50, shards=3)
+        return df._jdf.queryExecution().executedPlan().toString(), Counter((r.doc_id, r.text) for r in df.collect())
+
+    few, expected = mixed()
+    monkeypatch.setattr(row_helpers, "BROADCAST_ROWS", 3)
+    many, found = mixed()
+    # The rows of sources and shards are broadcast in both.
+    assert (few.count("BroadcastHashJoin"), many.count("BroadcastHashJoin")) == (2, 1)
+    assert found == expected
