@@ -9,7 +9,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from loadwarden.operators import hot_keys, inner_join_hot, inner_join_using
+from loadwarden.operators import hot_keys, inner_join_hot, inner_join_using, joins
 
 
 @pytest.fixture
@@ -69,6 +69,41 @@ def test_copies_are_few_and_never_broadcast(spark, tmp_path):
     assert hot_keys(left, right, ["k"], cell_rows=1)[0][1:] == (2000, 1500)
 
 
+def test_cells_do_not_grow_by_64_for_each_partition(spark, tmp_path):
+    left, right = sides(spark, tmp_path)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        plan = inner_join_hot(left, right, ["k"], cell_rows=1)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    ((_, rows, columns),) = hot_keys(left, right, ["k"], cell_rows=1, most_cells=4 * 200)
+    assert 4 * 200 <= rows * columns <= 2 * 4 * 200
+    assert plan.count(f",{rows},{columns}]") == 2
+    # Packing the right's rows takes no shuffle of its own.
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_short_runs_of_the_right_come_again_and_again(spark, tmp_path, monkeypatch):
+    left, right = sides(spark, tmp_path, 600, 600)
+    monkeypatch.setattr(joins, "PACKED_ROWS", 30)
+    found = inner_join_hot(left, right, ["k"], cell_rows=5000).where("k = 0").select(F.spark_partition_id(), "l", "r").collect()
+    assert len({(r.l, r.r) for r in found}) == len(found) == 200 * 200
+    windows = [found[i : i + 60] for i in range(0, len(found), 60)]
+    within = sorted(len({r.r for r in window}) for window in windows)
+    # Row by row of the left, a window would have a value of its own in nearly every row.
+    assert within[len(within) // 2] <= 20
+
+
+def test_columns_are_those_of_the_plain_join(spark, tmp_path):
+    left, right = sides(spark, tmp_path, 60, 60)
+    left, right = left.withColumn("x", F.col("l") + 1), right.selectExpr("k as K", "r", "array(r, null) as x", "_key as _packed")
+    for one, other in ((left, right), (left, right.select("K")), (left.select("k"), right), (right, left)):
+        found, plain = (join(one, other, ["k"], **more) for join, more in ((inner_join_hot, {"cell_rows": 5}), (inner_join_using, {})))
+        assert [(f.name, f.dataType) for f in found.schema] == [(f.name, f.dataType) for f in plain.schema]
+        assert Counter(map(str, found.collect())) == Counter(map(str, plain.collect()))
+
+
 @given(st.lists(st.tuples(st.sampled_from([None, 0, 0, 0, 1, 2]), st.sampled_from(["a", "a", None])), max_size=25),
        st.lists(st.tuples(st.sampled_from([None, 0, 0, 1, 3]), st.sampled_from(["a", "a", None])), max_size=25))
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
